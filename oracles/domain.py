@@ -107,8 +107,11 @@ dim_zones AS (
          CASE WHEN n_nationkey % 7 = 0 THEN 'SAT - ' || n_name ELSE n_name END AS zone_name,
          CAST(n_regionkey AS BIGINT) AS sys_zone_group_id,
          r_name AS zone_group_name,
-         CAST(n_nationkey AS DOUBLE) AS lon1,
-         CAST(n_nationkey AS DOUBLE) + 0.1 AS lon2
+         [{{'lon': CAST(n_nationkey AS DOUBLE), 'lat': 40.0}},
+          {{'lon': CAST(n_nationkey AS DOUBLE) + 0.1, 'lat': 40.0}},
+          {{'lon': CAST(n_nationkey AS DOUBLE) + 0.1, 'lat': 40.1}},
+          {{'lon': CAST(n_nationkey AS DOUBLE), 'lat': 40.1}},
+          {{'lon': CAST(n_nationkey AS DOUBLE), 'lat': 40.0}}] AS polygon
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 ),
 dim_resto AS (

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.adapter import driver_catalog
-from . import reorders
+from . import reorders, staging
 from .params import FIXTURE_PARAMS
 
 FLAGSHIP = "reorder_info"
@@ -25,6 +25,11 @@ def reorder_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reorders.build(_cat(spark, sf_dir), FIXTURE_PARAMS)
 
 
+def delivery_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.build(_cat(spark, sf_dir), FIXTURE_PARAMS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reorder_info": reorder_info,
+    "delivery_staging": delivery_staging,
 }
