@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.adapter import driver_catalog
-from . import reorders, staging
+from . import reorders, staging, summary, tickets
 from .params import FIXTURE_PARAMS
 
 FLAGSHIP = "reorder_info"
@@ -29,7 +29,22 @@ def delivery_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.build(_cat(spark, sf_dir), FIXTURE_PARAMS)
 
 
+def ticket_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = _cat(spark, sf_dir)
+    return tickets.build(cat, FIXTURE_PARAMS, staging.build(cat, FIXTURE_PARAMS))
+
+
+def pooling_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = _cat(spark, sf_dir)
+    m1 = reorders.build(cat, FIXTURE_PARAMS)
+    m2 = staging.build(cat, FIXTURE_PARAMS)
+    m3 = tickets.build(cat, FIXTURE_PARAMS, m2)
+    return summary.build(cat, spark, m2, m1, m3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reorder_info": reorder_info,
     "delivery_staging": delivery_staging,
+    "ticket_info": ticket_info,
+    "pooling_summary": pooling_summary,
 }
