@@ -466,3 +466,162 @@ def queries() -> dict[str, str]:  # noqa: F811
     q["pooling_summary"] = (PRELUDE + REORDER_CTES + STAGING_CTES + TICKET_CTES + SUMMARY_CTES
                             + "\nSELECT * FROM pooling_summary")
     return q
+
+
+def _contacts_sql(name: str, likes: list[str]) -> str:
+    cond = " OR ".join(f"query_type LIKE '{x}'" for x in likes)
+    return f"""
+  SELECT DISTINCT order_id_local,
+         CASE WHEN count(ticket_id_local) >= 1 THEN 1 ELSE 0 END AS {name}
+  FROM ticket_heads
+  WHERE order_date_local BETWEEN {R_START} AND {R_END}
+    AND country_code = 'IE' AND ({cond})
+  GROUP BY 1"""
+
+
+REFUND_CTES = f""",
+m5_rejection_counts AS (
+  SELECT sys_delivery_id, count(DISTINCT sys_courier_id) AS rejections
+  FROM bridge_blacklisted_couriers WHERE tenant_id = 'ie' GROUP BY sys_delivery_id
+),
+m5_net_adjustments AS (
+  SELECT sys_order_id,
+         string_agg(DISTINCT CAST(scenario AS VARCHAR), ', ' ORDER BY CAST(scenario AS VARCHAR)) AS all_scenarios,
+         round(sum(company_net_adjustment), 3) AS total_company_net_adjustment
+  FROM fact_order_net_adjustments WHERE tenant_id = 'ie' GROUP BY sys_order_id
+),
+m5_late AS ({_contacts_sql('late_order_contact', ['%rds_late%', '%late_order%'])}
+),
+m5_food AS ({_contacts_sql('food_quality_contact', ['%food_quality%', '%quality_of_food%'])}
+),
+m5_lvl1 AS (
+  SELECT fd.tenant_id, fd.sys_courier_delivery_zone_id, fo.sys_order_id, fo.order_date, fd.ctod_sec,
+    fd.delivery_created_time_local AS payment_utc,
+    cd.is_multi_collect, fd.deliver_original_total_driving_time_min,
+    coalesce(rj.rejections, 0) AS rejections,
+    coalesce(loc.late_order_contact, 0) AS late_order_contacts,
+    coalesce(fqc.food_quality_contact, 0) AS food_quality_contacts,
+    na.total_company_net_adjustment AS voucher_refunds_issued_total_amount,
+    na.all_scenarios AS voucher_refund_reason,
+    cd.multi_collect_sequence,
+    {ms_trunc('fd.collect_completed_time_local', 'fd.collect_accepted_time_local')} AS accept_to_collect_sec,
+    {ms_trunc('fd.collect_in_transit_time_local', 'fd.collect_accepted_time_local')} AS accept_to_drive_to_rest_sec,
+    {ms_trunc('fd.collect_arrived_time_local', 'fd.collect_accepted_time_local')} AS accept_to_arrive_at_rest_sec,
+    {ms_trunc('fd.collect_completed_time_local', 'fd.collect_arrived_time_local')} AS arrive_at_rest_to_collect_sec,
+    fd.resto_hold_sec, dz.name AS delivery_zone_name, fd.delivery_status,
+    CASE WHEN fd.delivery_completion_slack_min BETWEEN 0 AND 10 THEN 1 ELSE 0 END AS is_on_time_order,
+    {slack_bin('fd.delivery_completion_slack_min')} AS delivery_completion_slack_bin,
+    ifnull(fo.is_asap_order, 0) AS is_asap_order,
+    fd.delivery_begin_parking_time_local,
+    CASE WHEN cd.sys_delivery_id IS NOT NULL THEN cd.ccdd_id ELSE fd.sys_delivery_id END AS del_key,
+    dr.resto_type,
+    CASE WHEN crp."grouping" = 'McDonald%s' OR dr.resto_name_short LIKE '%McDonald%s%' THEN 1 ELSE 0 END AS is_mcdonalds
+  FROM fact_deliveries fd
+  JOIN fact_orders_resto fo ON fo.sys_order_id = fd.sys_order_id
+  LEFT JOIN dim_resto dr ON dr.sys_resto_id = fd.sys_resto_id
+  LEFT JOIN bridge_multi_collect cd ON cd.sys_delivery_id = fd.sys_delivery_id
+  LEFT JOIN dim_zones dz ON dz.sys_courier_delivery_zone_id = fd.sys_courier_delivery_zone_id
+  LEFT JOIN m5_net_adjustments na ON na.sys_order_id = fd.sys_order_id
+  LEFT JOIN m5_rejection_counts rj ON rj.sys_delivery_id = fd.sys_delivery_id
+  LEFT JOIN dim_resto_grouping crp ON crp.sys_resto_id = dr.sys_resto_id
+  LEFT JOIN m5_late loc ON loc.order_id_local = fo.just_eat_order_number
+  LEFT JOIN m5_food fqc ON fqc.order_id_local = fo.just_eat_order_number
+  WHERE fo.order_date BETWEEN {R_START} AND {R_END}
+    AND fd.delivery_created_time_local BETWEEN {R_START} AND {R_END}
+    AND fd.delivery_status = 'DELIVERED' AND fd.tenant_id = 'ie' AND fo.tenant_id = 'ie'
+),
+m5_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY sys_order_id
+                               ORDER BY payment_utc NULLS FIRST, del_key NULLS FIRST,
+                                        multi_collect_sequence NULLS FIRST) AS record_rank
+  FROM m5_lvl1
+),
+refund_detail AS (
+  SELECT
+    row_number() OVER (PARTITION BY del_key, record_rank ORDER BY payment_utc ASC NULLS FIRST, sys_order_id) AS payment_sequence,
+    dense_rank() OVER (PARTITION BY del_key ORDER BY payment_utc ASC NULLS FIRST) AS payment_sequence_dense_rank,
+    CASE WHEN record_rank = 1 THEN TRUE ELSE FALSE END AS non_dup_record_flag,
+    *
+  FROM m5_ranked
+),
+refunds_summary AS (
+  SELECT tenant_id, sys_courier_delivery_zone_id, delivery_zone_name, resto_type, is_multi_collect,
+    multi_collect_sequence, is_mcdonalds, delivery_status, is_on_time_order, delivery_completion_slack_bin,
+    is_asap_order,
+    CASE WHEN voucher_refunds_issued_total_amount < 0 THEN 1 ELSE 0 END AS is_negative_company_net_adjustment,
+    CASE WHEN delivery_begin_parking_time_local IS NOT NULL THEN 1 ELSE 0 END AS has_begin_parking_time,
+    payment_sequence_dense_rank, deliver_original_total_driving_time_min,
+    CASE WHEN floor(ctod_sec / 60) >= 30 THEN '+30' WHEN floor(ctod_sec / 60) < 0 THEN '0'
+         ELSE CAST(CAST(floor(ctod_sec / 60) AS BIGINT) AS VARCHAR) END AS ctod_min,
+    count(DISTINCT sys_order_id) AS delco_orders,
+    count(DISTINCT CASE WHEN is_multi_collect = 1 THEN sys_order_id END) AS md_orders,
+    count(DISTINCT CASE WHEN contains(lower(voucher_refund_reason), 'food_quality') THEN sys_order_id END)
+      AS orders_w_food_quality_refund,
+    count(DISTINCT CASE WHEN contains(lower(voucher_refund_reason), 'delivery_service') THEN sys_order_id END)
+      AS orders_w_delivery_service_refund,
+    count(DISTINCT CASE WHEN contains(lower(voucher_refund_reason), 'complaint_on_order_item') = TRUE
+                          OR contains(lower(voucher_refund_reason), 'entire_order_incorrect') = TRUE
+                          OR contains(lower(voucher_refund_reason), 'incorrect_or_missed_item') = TRUE
+                          OR contains(lower(voucher_refund_reason), 'complaint_on_entire_order') = TRUE
+                          OR contains(lower(voucher_refund_reason), 'missing_incorrect_items') = TRUE
+                        THEN sys_order_id END) AS orders_w_missing_item_refund
+  FROM refund_detail
+  WHERE tenant_id = 'ie'
+  GROUP BY ALL
+),
+order_counts AS (
+  SELECT tenant_id, order_date, sys_courier_delivery_zone_id, delivery_zone_name, resto_type, is_multi_collect,
+    multi_collect_sequence, is_mcdonalds, delivery_status, is_on_time_order, delivery_completion_slack_bin,
+    is_asap_order,
+    CASE WHEN voucher_refunds_issued_total_amount < 0 THEN 1 ELSE 0 END AS is_negative_company_net_adjustment,
+    CASE WHEN delivery_begin_parking_time_local IS NOT NULL THEN 1 ELSE 0 END AS has_begin_parking_time,
+    voucher_refund_reason, payment_sequence,
+    count(DISTINCT sys_order_id) AS delco_orders
+  FROM refund_detail
+  WHERE tenant_id = 'ie'
+  GROUP BY ALL
+)"""
+
+UTIL_CTES = f""",
+m8_deliveries AS (
+  SELECT DISTINCT fo.order_date, dz.zone_name, fo.tenant_id,
+    round(CAST(sum(fd.handle_time_sec) AS DOUBLE) / 60.0, 2) AS handle_time_min_sum,
+    round(CAST(sum(CASE WHEN coalesce(ccdd.is_multi_collect, 0) = 1 THEN ccdd.ccdd_courier_analysis_handle_time_sec
+                        ELSE fd.handle_time_sec END) AS DOUBLE) / 60.0, 2) AS ccdd_handle_time_min_sum
+  FROM fact_orders_resto fo
+  JOIN fact_deliveries fd ON fd.sys_order_id = fo.sys_order_id
+  JOIN bridge_shift_delivery cs ON fd.sys_delivery_id = cs.sys_delivery_id
+  JOIN dim_zones dz ON fd.sys_courier_delivery_zone_id = dz.sys_delivery_zone_id
+  LEFT JOIN bridge_multi_collect ccdd ON ccdd.sys_delivery_id = fd.sys_delivery_id
+  WHERE fd.delivery_status = 'DELIVERED' AND fo.order_date BETWEEN {START} AND {END}
+  GROUP BY fo.order_date, dz.zone_name, fo.tenant_id
+),
+m8_worked AS (
+  SELECT s.tenant_id, s.start_date AS courier_shift_start_date, dz.zone_name,
+    round(CAST(sum(s.shift_time_sec - coalesce(s.dnu_time_sec, 0)) AS DOUBLE) / 60.0, 2) AS time_on_shift_min_sum
+  FROM dim_courier_shifts s
+  LEFT JOIN dim_couriers c ON c.sys_courier_id = s.sys_courier_id
+  LEFT JOIN dim_zones dz ON s.delivery_zone_id = dz.sys_delivery_zone_id
+  WHERE s.start_date BETWEEN {START} AND {END}
+  GROUP BY s.tenant_id, s.start_date, dz.zone_name
+),
+utilisation AS (
+  SELECT DISTINCT del.order_date, del.tenant_id, del.zone_name, worked.time_on_shift_min_sum,
+    del.handle_time_min_sum, del.ccdd_handle_time_min_sum
+  FROM m8_deliveries del
+  LEFT JOIN m8_worked worked ON del.tenant_id = del.tenant_id
+                            AND del.zone_name = worked.zone_name
+                            AND del.order_date = worked.courier_shift_start_date
+  WHERE del.zone_name NOT LIKE 'SAT - %'
+)"""
+
+_base_queries3 = queries
+
+
+def queries() -> dict[str, str]:  # noqa: F811
+    q = _base_queries3()
+    q["refund_detail"] = PRELUDE + REFUND_CTES + "\nSELECT * FROM refund_detail"
+    q["refunds_summary"] = PRELUDE + REFUND_CTES + "\nSELECT * FROM refunds_summary"
+    q["order_counts"] = PRELUDE + REFUND_CTES + "\nSELECT * FROM order_counts"
+    q["utilisation"] = PRELUDE + UTIL_CTES + "\nSELECT * FROM utilisation"
+    return q

@@ -69,3 +69,25 @@ def wide_rollup(df: DataFrame, keys: Sequence[str], measures: Sequence[Column])
     """GROUP BY many keys with many measures in one aggregation (one shuffle,
     partial aggregation on the map side)."""
     return df.groupBy(*keys).agg(*measures)
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], id_col: str,
+                    counts: Sequence[tuple[str, Column | None]]) -> DataFrame:
+    """Several ``COUNT(DISTINCT CASE WHEN pred THEN id END)`` over one id column.
+
+    Spark evaluates k distinct aggregates of different expressions by
+    expanding every input row k times.  Here rows are first collapsed to one
+    per (keys, id) with, per measure, whether its predicate held on any row
+    (a partial aggregation that combines before the shuffle), then counted.
+    A ``None`` predicate counts every non-null id.  The result equals the
+    distinct counts exactly; null ids are never counted, but a key group whose
+    ids are all null still appears (with zero counts).
+    """
+    flags = []
+    known = F.col(id_col).isNotNull()
+    for i, (_, pred) in enumerate(counts):
+        hit = known if pred is None else (known & F.coalesce(pred, F.lit(False)))
+        flags.append(F.max(hit.cast("int")).alias(f"__hit{i}"))
+    per_id = df.groupBy(*keys, id_col).agg(*flags)
+    return per_id.groupBy(*keys).agg(
+        *[F.sum(F.col(f"__hit{i}")).cast("long").alias(name) for i, (name, _) in enumerate(counts)])

@@ -49,10 +49,11 @@ def lead_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequence[str],
-                         order: Sequence[Column], row_name: str, dense_name: str) -> DataFrame:
+                         order: Sequence[Column], row_name: str, dense_name: str,
+                         row_tiebreak: Sequence[Column] = ()) -> DataFrame:
     """``ROW_NUMBER`` within (group, sub_group) and ``DENSE_RANK`` within group,
-    both by ``order``."""
-    w_row = Window.partitionBy(*group, *sub_group).orderBy(*order)
+    both by ``order``; ``row_tiebreak`` makes the row numbers repeatable."""
+    w_row = Window.partitionBy(*group, *sub_group).orderBy(*order, *row_tiebreak)
     w_dense = Window.partitionBy(*group).orderBy(*order)
     return (df.withColumn(row_name, F.row_number().over(w_row).cast("long"))
               .withColumn(dense_name, F.dense_rank().over(w_dense).cast("long")))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.adapter import driver_catalog
-from . import reorders, staging, summary, tickets
+from . import refunds, reorders, staging, summary, tickets, utilisation
 from .params import FIXTURE_PARAMS
 
 FLAGSHIP = "reorder_info"
@@ -42,9 +42,29 @@ def pooling_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.build(cat, spark, m2, m1, m3)
 
 
+def refund_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refunds.refund_detail(_cat(spark, sf_dir), FIXTURE_PARAMS)
+
+
+def refunds_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refunds.refunds_summary(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
+
+
+def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refunds.order_counts(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
+
+
+def utilisation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return utilisation.build(_cat(spark, sf_dir), FIXTURE_PARAMS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reorder_info": reorder_info,
     "delivery_staging": delivery_staging,
     "ticket_info": ticket_info,
     "pooling_summary": pooling_summary,
+    "refund_detail": refund_detail,
+    "refunds_summary": refunds_summary,
+    "order_counts": order_counts,
+    "utilisation": utilisation_mart,
 }
