@@ -57,3 +57,14 @@ def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequenc
     w_dense = Window.partitionBy(*group).orderBy(*order)
     return (df.withColumn(row_name, F.row_number().over(w_row).cast("long"))
               .withColumn(dense_name, F.dense_rank().over(w_dense).cast("long")))
+
+
+def group_window(key: str, spread_by: str, num_spread: int = 512):
+    """``Window.partitionBy(key)`` for small groups (a pool's legs) where
+    rows without a group (null key) are many: those rows are spread over
+    ``num_spread`` window partitions by a hash instead of forming one huge
+    partition.  Callers must ignore window results on null-key rows, which
+    the reference discards as well."""
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(num_spread))) \
+            .otherwise(F.lit(0).cast("long"))
+    return Window.partitionBy(F.col(key), salt)

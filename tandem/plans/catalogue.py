@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from ..sources.adapter import driver_catalog
 from . import refunds, reorders, staging, summary, tickets, utilisation
 from .params import FIXTURE_PARAMS
@@ -21,6 +22,14 @@ def _cat(spark: SparkSession, sf_dir: str):
     return driver_catalog(spark, sf_dir)
 
 
+def _materialized(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """An upstream mart as its readers see it in the job: computed once and
+    stored (here a reliable checkpoint in the shared checkpoint folder), so a
+    mart read several times is not recomputed and its lineage is cut."""
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def reorder_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reorders.build(_cat(spark, sf_dir), FIXTURE_PARAMS)
 
@@ -31,13 +40,13 @@ def delivery_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ticket_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = _cat(spark, sf_dir)
-    return tickets.build(cat, FIXTURE_PARAMS, staging.build(cat, FIXTURE_PARAMS))
+    return tickets.build(cat, FIXTURE_PARAMS, _materialized(spark, staging.build(cat, FIXTURE_PARAMS)))
 
 
 def pooling_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = _cat(spark, sf_dir)
     m1 = reorders.build(cat, FIXTURE_PARAMS)
-    m2 = staging.build(cat, FIXTURE_PARAMS)
+    m2 = _materialized(spark, staging.build(cat, FIXTURE_PARAMS))
     m3 = tickets.build(cat, FIXTURE_PARAMS, m2)
     return summary.build(cat, spark, m2, m1, m3)
 
@@ -47,11 +56,11 @@ def refund_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refunds_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refunds.refunds_summary(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
+    return refunds.refunds_summary(_materialized(spark, refund_detail(spark, sf_dir)), FIXTURE_PARAMS)
 
 
 def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refunds.order_counts(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
+    return refunds.order_counts(_materialized(spark, refund_detail(spark, sf_dir)), FIXTURE_PARAMS)
 
 
 def utilisation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

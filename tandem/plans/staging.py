@@ -22,9 +22,8 @@ from ..functions import buckets as B
 from ..functions import dates as D
 from ..functions.geo import ring_area_km2
 from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, extract_all, is_mcdonalds, token_count
-from ..operators.joins import left_join_on_nullable
 from ..operators.rollup import any_and_count
-from ..operators.windows import latest_per_key
+from ..operators.windows import group_window, latest_per_key
 from ..sources.catalog import Catalog
 from .params import ReportParams
 
@@ -84,10 +83,6 @@ SIDE_COLUMNS = [
 ]
 MART_COLUMNS = STAGING_COLUMNS + SIDE_COLUMNS
 
-_POOL_COLUMNS = ["collect_total_driving_time_sec_max_ccdd", "delivery_total_driving_time_min_previous_leg",
-                 "pooling_capacity_gains_sec"]
-
-
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
@@ -125,6 +120,17 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
            .join(ga, _c("ga_sys_delivery_id") == _c("fd_sys_delivery_id"), "left"))
 
     tz = _c("fd_timezone")
+    # Each local time is shifted to UTC once (a projection of its own, which
+    # Catalyst keeps because the shifts are reused).
+    local_times = ["delivery_created_time_local", "collect_accepted_time_local",
+                   "collect_in_transit_time_local", "collect_arrived_time_local",
+                   "collect_completed_time_local", "delivery_in_transit_time_local",
+                   "delivery_arrived_time_local", "delivery_begin_parking_time_local"]
+    j = j.select("*", *[D.local_to_utc(_c("fd_" + n), tz).alias("utc_" + n) for n in local_times])
+
+    def u(n):
+        return _c("utc_" + n)
+
     created, accepted = _c("fd_delivery_created_time_local"), _c("fd_collect_accepted_time_local")
     in_transit, arrived = _c("fd_collect_in_transit_time_local"), _c("fd_collect_arrived_time_local")
     completed = _c("fd_collect_completed_time_local")
@@ -187,27 +193,27 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
         "deliver_original_total_driving_time_min": _c("fd_deliver_original_total_driving_time_min"),
         "resto_food_prep_min": F.coalesce(_c("fo_resto_food_prep_min"), zero),
         "resto_delay_requested_min": F.coalesce(_c("fo_resto_delay_requested_min"), zero),
-        "ptov_sec": F.when(asap, F.coalesce(D.elapsed_sec(accepted, created, tz), zero)),
+        "ptov_sec": F.when(asap, F.coalesce(D.boundary_diff(u("collect_accepted_time_local"), u("delivery_created_time_local")), zero)),
         "collect_leg_delay_sec": F.when(asap, F.coalesce(D.boundary_diff(
-            D.add_minutes(D.local_to_utc(in_transit, tz),
+            D.add_minutes(u("collect_in_transit_time_local"),
                           F.coalesce(_c("fd_collect_accessibility_minutes"), zero)
                           + F.coalesce(_c("fd_collect_original_total_driving_time_min"), zero)),
-            D.add_minutes(D.local_to_utc(created, tz),
+            D.add_minutes(u("delivery_created_time_local"),
                           F.coalesce(_c("fo_resto_food_prep_min"), zero)
                           + F.coalesce(_c("fo_resto_delay_requested_min"), zero))), zero)),
-        "vtoa_sec": F.coalesce(D.elapsed_sec(in_transit, accepted, tz), zero),
-        "atoar_sec": F.coalesce(D.elapsed_sec(arrived, in_transit, tz), zero),
+        "vtoa_sec": F.coalesce(D.boundary_diff(u("collect_in_transit_time_local"), u("collect_accepted_time_local")), zero),
+        "atoar_sec": F.coalesce(D.boundary_diff(u("collect_arrived_time_local"), u("collect_in_transit_time_local")), zero),
         "resto_hold_sec": _c("fd_resto_hold_sec"),
-        "drive_to_custo_sec": F.coalesce(D.elapsed_sec(_c("fd_delivery_arrived_time_local"),
-                                                       _c("fd_delivery_in_transit_time_local"), tz), zero),
-        "accept_to_drive_to_resto_sec": D.truncated_ms_sec(in_transit, accepted, tz),
-        "accept_to_arrive_at_resto_sec": D.truncated_ms_sec(arrived, accepted, tz),
+        "drive_to_custo_sec": F.coalesce(D.boundary_diff(u("delivery_arrived_time_local"),
+                                                         u("delivery_in_transit_time_local")), zero),
+        "accept_to_drive_to_resto_sec": D.truncated_ms_sec(u("collect_in_transit_time_local"), u("collect_accepted_time_local")),
+        "accept_to_arrive_at_resto_sec": D.truncated_ms_sec(u("collect_arrived_time_local"), u("collect_accepted_time_local")),
         "custo_hold_sec": _c("fd_custo_hold_sec"),
-        "end_to_end_time_sec": D.elapsed_sec(_c("fd_delivery_begin_parking_time_local"), created, tz),
-        "in_resto_time_sec": D.elapsed_sec(completed, arrived, tz)
+        "end_to_end_time_sec": D.boundary_diff(u("delivery_begin_parking_time_local"), u("delivery_created_time_local")),
+        "in_resto_time_sec": D.boundary_diff(u("collect_completed_time_local"), u("collect_arrived_time_local"))
                              - F.lit(2) * (_c("fd_collect_accessibility_minutes") * F.lit(60)),
         "accept_to_collect_sec": D.truncated_ms_sec(completed, accepted),
-        "route_time_sec": D.elapsed_sec(arrived, created, tz),
+        "route_time_sec": D.boundary_diff(u("collect_arrived_time_local"), u("delivery_created_time_local")),
         "collect_delay": F.round(F.coalesce(_c("fd_collect_total_driving_time_min"), zero)
                                  - F.coalesce(_c("fd_collect_original_total_driving_time_min"), zero), 0),
         "deliver_delay": F.round(F.coalesce(_c("fd_delivery_total_driving_time_min"), zero)
@@ -215,7 +221,7 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
         "is_mcdonalds": is_mcdonalds(_c("crp_grouping"), _c("dr_resto_name_short")),
         "pos_injection_time_utc": _c("ij_injection_time").cast("timestamp_ntz"),
         "pos_fire_into_pos_time_min": _c("ij_fire_into_pos_time"),
-        "collect_in_transit_time_utc": D.local_to_utc(in_transit, tz),
+        "collect_in_transit_time_utc": u("collect_in_transit_time_local"),
         "is_on_time_order": B.on_time_flag(slack),
         "delivery_completion_slack_bin": B.slack_bin(slack),
         "ctod_min_bin": B.ctod_bin(_c("fd_ctod_sec")),
@@ -278,22 +284,41 @@ def assignment_flags(cat: Catalog) -> DataFrame:
         F.max(F.col("assigned_as_multi_collect").cast("long")).alias("is_assigned_as_multi_collect"))
 
 
-def build(cat: Catalog, p: ReportParams) -> DataFrame:
-    ds = staged_deliveries(cat, p)
+def with_pool_columns(df: DataFrame) -> DataFrame:
+    """Pool measures of the reference's windows over ``ccdd_id``, for the
+    second leg only, and the first leg's predicted drive time for every leg.
 
-    # Pool statistics, computed on pooled rows only (an aggregate: a large
-    # pool costs partial maxima, not one big window partition).
-    pooled = ds.where(F.col("ccdd_id").isNotNull())
+    One window pass on the pool id (a pool is a courier's few legs; rows
+    outside any pool are spread by hash), so no aggregate-and-join-back.  The
+    first-leg value comes as a list of the pool's leg-1 rows, exploded, which
+    is exactly the reference's join to its leg-1 relation (several leg-1 rows
+    give several output rows; none gives one row with null).
+    """
+    pool = group_window("ccdd_id", "sys_delivery_id")
+    by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
     seq = F.col("multi_collect_sequence")
-    before_leg2 = seq < F.lit(2)
-    pool_stats = pooled.groupBy("ccdd_id").agg(
-        F.max("collect_total_driving_time_min").alias("__pool_max_collect_min"),
-        F.max_by(F.when(before_leg2, F.col("delivery_total_driving_time_min")),
-                 F.when(before_leg2, F.struct(seq, F.col("sys_delivery_id")))).alias("__prev_leg_delivery_min"))
-    first_legs = pooled.where(seq == F.lit(1)).select(
-        "ccdd_id", F.col("deliver_original_total_driving_time_min")
-        .alias("first_order_deliver_original_total_driving_time_min"))
-    pool_side = pool_stats.join(first_legs, "ccdd_id", "left")
+    leg2 = seq == F.lit(2)
+    pooled = F.col("ccdd_id").isNotNull()
+    pool_max_sec = F.max("collect_total_driving_time_min").over(pool) * F.lit(60)
+    prev_sec = F.lag("delivery_total_driving_time_min", 1).over(by_leg) * F.lit(60)
+    first_legs = F.collect_list(F.when(seq == F.lit(1), F.struct(
+        F.col("deliver_original_total_driving_time_min").alias("v")))).over(pool)
+    no_match = F.array(F.lit(None).cast("struct<v:double>"))
+    zero = F.lit(0.0)
+    return (df
+            .withColumn("collect_total_driving_time_sec_max_ccdd", F.when(leg2, pool_max_sec).otherwise(zero))
+            .withColumn("delivery_total_driving_time_min_previous_leg", F.when(leg2, prev_sec).otherwise(zero))
+            .withColumn("pooling_capacity_gains_sec",
+                        F.when(leg2, pool_max_sec + F.col("ccdd_courier_analysis_handle_time_sec") - prev_sec)
+                         .otherwise(zero))
+            .withColumn("__first_legs", F.when(pooled & (F.size(first_legs) > 0), first_legs).otherwise(no_match))
+            .withColumn("__first_leg", F.explode("__first_legs"))
+            .withColumn("first_order_deliver_original_total_driving_time_min", F.col("__first_leg.v"))
+            .drop("__first_legs", "__first_leg"))
+
+
+def build(cat: Catalog, p: ReportParams) -> DataFrame:
+    ds = staged_deliveries(cat, p)
 
     # Delivery-keyed side facts.  Rejection sums count once per staging row of
     # the delivery, as the reference's join-then-group does.
@@ -313,18 +338,9 @@ def build(cat: Catalog, p: ReportParams) -> DataFrame:
         side = side.withColumn(f"{f}_count", F.col(f"{f}_count") * F.col("__rows"))
         side = side.withColumn(f, F.coalesce(F.col(f), F.lit(0).cast("long")))
 
-    out = left_join_on_nullable(side, pool_side, "ccdd_id", "ccdd_id", ["sys_delivery_id"])
-    leg2 = seq == F.lit(2)
-    pool_max_sec = F.col("__pool_max_collect_min") * F.lit(60)
-    prev_sec = F.col("__prev_leg_delivery_min") * F.lit(60)
-    zero = F.lit(0.0)
+    out = with_pool_columns(side)
     tz = F.col("timezone")
     out = (out
-           .withColumn("collect_total_driving_time_sec_max_ccdd", F.when(leg2, pool_max_sec).otherwise(zero))
-           .withColumn("delivery_total_driving_time_min_previous_leg", F.when(leg2, prev_sec).otherwise(zero))
-           .withColumn("pooling_capacity_gains_sec",
-                       F.when(leg2, pool_max_sec + F.col("ccdd_courier_analysis_handle_time_sec") - prev_sec)
-                        .otherwise(zero))
            .withColumn("ptov_min_bin", B.ptov_bin(F.col("ptov_sec"), F.col("is_asap_order")))
            .withColumn("time_window_start_local", D.utc_to_local(F.col("time_window_start_utc"), tz))
            .withColumn("time_window_end_local", D.utc_to_local(F.col("time_window_end_utc"), tz))

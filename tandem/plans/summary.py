@@ -10,12 +10,12 @@ all of those joins, then once more for the rollup.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators.joins import left_join_on_nullable
 from ..operators.rollup import wide_rollup, with_euro_rate
+from ..operators.windows import group_window
 from ..sources.catalog import Catalog
 from .params import ReportParams
 from .reorders import ORDINALS
@@ -69,30 +69,29 @@ def rejection_counts(cat: Catalog) -> DataFrame:
     return bc.groupBy("sys_delivery_id").agg(F.count_distinct("sys_courier_id").alias("rejections_count"))
 
 
-def pooling_kpi(ds: DataFrame) -> DataFrame:
-    """Per staging row: gaps to the previous leg's assignment and acceptance,
-    and the time from the pool's first drive-off to this leg's parking."""
-    pooled = ds.where(F.col("ccdd_id").isNotNull())
-    first_drive = (pooled.where((F.col("is_multi_collect") == 1) & (F.col("multi_collect_sequence") == 1))
-                   .groupBy("ccdd_id")
-                   .agg(F.min("delivery_in_transit_time_local").alias("first_delivery_in_transit_time_local")))
-    w = Window.partitionBy("ccdd_id").orderBy("multi_collect_sequence")
-    gaps = pooled.select(
-        F.col("sys_delivery_id").alias("__gap_delivery"), F.col("ccdd_id").alias("__gap_ccdd"),
-        F.abs(D.boundary_diff(F.col("collect_assigned_time_local"),
-                              F.lag("collect_assigned_time_local").over(w))).alias("assignment_time_gap_sec"),
-        F.abs(D.boundary_diff(F.col("collect_accepted_time_local"),
-                              F.lag("collect_accepted_time_local").over(w))).alias("accepted_time_gap_sec"))
-    rows = ds.select("sys_delivery_id", "ccdd_id", "delivery_begin_parking_time_local", "timezone")
-    with_first = left_join_on_nullable(rows, first_drive, "ccdd_id", "ccdd_id", ["sys_delivery_id"])
-    joined = with_first.join(
-        gaps, (F.col("sys_delivery_id") == F.col("__gap_delivery")) & (F.col("ccdd_id") == F.col("__gap_ccdd")),
-        "left")
+def with_pooling_kpi(ds: DataFrame) -> DataFrame:
+    """Adds, per staging row: gaps to the previous leg's assignment and
+    acceptance, and the time from the pool's first drive-off (its first
+    pooled leg) to this leg's parking, in UTC.
+
+    One window pass on the pool id (unpooled rows spread by hash; the
+    reference's joins give them nulls, as here).  Equal to the reference's
+    join-back when each delivery has one staging row.
+    """
+    pool = group_window("ccdd_id", "sys_delivery_id")
+    by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
+    pooled = F.col("ccdd_id").isNotNull()
+    lead_leg = (F.col("is_multi_collect") == 1) & (F.col("multi_collect_sequence") == 1)
+    first_drive = F.min(F.when(lead_leg, F.col("delivery_in_transit_time_local"))).over(pool)
     tz = F.col("timezone")
-    return joined.select(
-        "sys_delivery_id", "assignment_time_gap_sec", "accepted_time_gap_sec",
-        D.elapsed_sec(F.col("delivery_begin_parking_time_local"),
-                      F.col("first_delivery_in_transit_time_local"), tz).alias("pooling_kpi_sec"))
+
+    def gap(c: str) -> Column:
+        return F.when(pooled, F.abs(D.boundary_diff(F.col(c), F.lag(c).over(by_leg))))
+
+    return (ds.withColumn("assignment_time_gap_sec", gap("collect_assigned_time_local"))
+              .withColumn("accepted_time_gap_sec", gap("collect_accepted_time_local"))
+              .withColumn("pooling_kpi_sec", F.when(pooled, D.elapsed_sec(
+                  F.col("delivery_begin_parking_time_local"), first_drive, tz))))
 
 
 def measures() -> list[Column]:
@@ -151,11 +150,10 @@ def build(cat: Catalog, spark: SparkSession, staging_mart: DataFrame, reorder_ma
     rc = reorder_mart.select(*[F.col(c).alias("rc_" + c) for c in reorder_mart.columns])
     ti = ticket_mart.select(F.col("sys_delivery_id").alias("ti_sys_delivery_id"),
                             F.col("has_ticket").alias("ti_has_ticket"))
-    kpi = pooling_kpi(ds).withColumnRenamed("sys_delivery_id", "tt_sys_delivery_id")
     rj = rejection_counts(cat).withColumnRenamed("sys_delivery_id", "rj_sys_delivery_id")
     did = F.col("sys_delivery_id")
-    joined = (ds.join(rj, did == F.col("rj_sys_delivery_id"), "left")
-                .join(kpi, did == F.col("tt_sys_delivery_id"), "left")
+    joined = (with_pooling_kpi(ds)
+                .join(rj, did == F.col("rj_sys_delivery_id"), "left")
                 .join(rc, did == F.col("rc_sys_delivery_id"), "left")
                 .join(ti, did == F.col("ti_sys_delivery_id"), "left"))
     joined = with_euro_rate(joined, spark)
