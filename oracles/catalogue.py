@@ -625,3 +625,13 @@ def queries() -> dict[str, str]:  # noqa: F811
     q["order_counts"] = PRELUDE + REFUND_CTES + "\nSELECT * FROM order_counts"
     q["utilisation"] = PRELUDE + UTIL_CTES + "\nSELECT * FROM utilisation"
     return q
+
+
+_base_queries4 = queries
+
+
+def queries() -> dict[str, str]:  # noqa: F811
+    from . import units
+    q = _base_queries4()
+    q.update(units.queries())
+    return q

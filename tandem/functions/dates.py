@@ -86,6 +86,13 @@ def _ticks(ts: Column, unit: str) -> Column:
     return micros - F.pmod(micros, F.lit(_UNIT_MICROS[unit]))
 
 
+def trunc_to_second(ts) -> Column:
+    """``ts`` with its fraction of a second dropped (wall time, no zone involved)."""
+    ts = _as_col(ts)
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), ts)
+    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(1_000_000)), ts)
+
+
 def boundary_diff(end, start, unit: str = "SECOND") -> Column:
     """Number of ``unit`` boundaries crossed from ``start`` to ``end``.
 

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 from ..sources.adapter import driver_catalog
-from . import refunds, reorders, staging, summary, tickets, utilisation
+from . import refunds, reorders, staging, summary, tickets, unit_queries, utilisation
 from .params import FIXTURE_PARAMS
 
-FLAGSHIP = "reorder_info"
+FLAGSHIP = "pooling_summary"
 
 
 def _cat(spark: SparkSession, sf_dir: str):
@@ -77,3 +77,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_counts": order_counts,
     "utilisation": utilisation_mart,
 }
+QUERIES.update(unit_queries.QUERIES)

@@ -26,16 +26,17 @@ def reorder_columns(depth: int = 4) -> list[str]:
     return cols
 
 
-def delivered_orders(cat: Catalog, p: ReportParams) -> DataFrame:
+def delivered_orders(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame:
     """Delivered deliveries of the tenant with their order, inside the window.
 
     The reference LEFT JOINs the order and then filters on its date, which
     makes it an inner join; written as one here.
     """
     start, end = p.window()
-    fd = (cat["fact_deliveries"]
-          .where((F.col("delivery_status") == "DELIVERED") & (F.col("tenant_id") == p.tenant))
-          .select("tenant_id", "sys_delivery_id", "sys_order_id"))
+    keep = F.col("delivery_status") == "DELIVERED"
+    if not all_tenants:
+        keep = keep & (F.col("tenant_id") == p.tenant)
+    fd = cat["fact_deliveries"].where(keep).select("tenant_id", "sys_delivery_id", "sys_order_id")
     fo = (cat["fact_orders_resto"]
           .where(F.col("order_date").between(start, end))
           .select("sys_order_id", "sys_custo_id", "order_date", "order_datetime", "food_subtotal"))
@@ -52,9 +53,10 @@ def gap_filter(max_days: int, depth: int = 4) -> Column:
     return cond
 
 
-def build(cat: Catalog, p: ReportParams) -> DataFrame:
+def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame:
+    """Each delivery with its customer's next ``depth`` orders (no gap rule)."""
     depth = p.reorder_depth
-    staged = delivered_orders(cat, p)
+    staged = delivered_orders(cat, p, all_tenants)
     chained = lead_chain(
         staged,
         keys=["tenant_id", "sys_custo_id"],
@@ -72,4 +74,8 @@ def build(cat: Catalog, p: ReportParams) -> DataFrame:
                 day_diff(F.col(f"__date_{n}"), prev_date).cast("long").alias(names[base + 1]),
                 F.col(f"__sub_{n}").alias(names[base + 2])]
         prev_date = F.col(f"__date_{n}")
-    return chained.select(*out).where(gap_filter(p.max_reorder_gap_days, depth))
+    return chained.select(*out)
+
+
+def build(cat: Catalog, p: ReportParams) -> DataFrame:
+    return chain(cat, p).where(gap_filter(p.max_reorder_gap_days, p.reorder_depth))
