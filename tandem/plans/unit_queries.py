@@ -52,6 +52,14 @@ def reorder_chain(spark, sf_dir):
     return reorders.chain(driver_catalog(spark, sf_dir), P, all_tenants=True)
 
 
+def reorder_chain_hot_split(spark, sf_dir):
+    """The same chain with a tiny hot-group threshold, so the null customer
+    and every customer above 8 deliveries take the positional path; the
+    oracle is the plain window."""
+    from dataclasses import replace
+    return reorders.chain(driver_catalog(spark, sf_dir), replace(P, hot_group_rows=8), all_tenants=True)
+
+
 def date_window_filter(spark, sf_dir):
     start, end = D.date_window(F.lit(P.as_of), _dt.date(1999, 12, 31), P.floor)
     o = _read(spark, sf_dir, "orders")
@@ -334,6 +342,7 @@ def mart_roundtrip(spark, sf_dir):
 
 QUERIES = {
     "reorder_chain": reorder_chain,
+    "reorder_chain_hot_split": reorder_chain_hot_split,
     "date_window_filter": date_window_filter,
     "latest_event_per_user": latest_event_per_user,
     "duplicate_line_rank": duplicate_line_rank,
