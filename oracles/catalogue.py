@@ -82,8 +82,17 @@ def queries() -> dict[str, str]:
 
 
 def utc(ts: str, tz: str = "fd.timezone") -> str:
-    """Local wall time in zone tz -> UTC wall time."""
-    return f"timezone('UTC', timezone({tz}, {ts}))"
+    """Local wall time in zone tz -> UTC wall time.
+
+    A local time that occurs twice (clocks going back) resolves to the earlier
+    instant, as the warehouse dialect and Spark do; DuckDB's ICU picks the
+    later one, so the earlier is chosen explicitly (the zones used shift by
+    whole hours).  Non-existent local times agree in both engines.
+    """
+    first = f"timezone({tz}, {ts})"
+    earlier = f"({first} - INTERVAL 1 HOUR)"
+    pick = f"(CASE WHEN timezone({tz}, {earlier}) = {ts} THEN {earlier} ELSE {first} END)"
+    return f"timezone('UTC', {pick})"
 
 
 def local(ts: str, tz: str) -> str:

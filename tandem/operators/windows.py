@@ -146,16 +146,25 @@ def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequenc
     both by ``order``; ``row_tiebreak`` makes the row numbers repeatable."""
     w_row = Window.partitionBy(*group, *sub_group).orderBy(*order, *row_tiebreak)
     w_dense = Window.partitionBy(*group).orderBy(*order)
-    return (df.withColumn(row_name, F.row_number().over(w_row).cast("long"))
-              .withColumn(dense_name, F.dense_rank().over(w_dense).cast("long")))
+    # The coarser window first: its hash partitioning on ``group`` also
+    # serves the finer one, so both share one exchange.
+    return (df.withColumn(dense_name, F.dense_rank().over(w_dense).cast("long"))
+              .withColumn(row_name, F.row_number().over(w_row).cast("long")))
 
 
-def group_window(key: str, spread_by: str, num_spread: int = 512):
-    """``Window.partitionBy(key)`` for small groups (a pool's legs) where
-    rows without a group (null key) are many: those rows are spread over
-    ``num_spread`` window partitions by a hash instead of forming one huge
-    partition.  Callers must ignore window results on null-key rows, which
-    the reference discards as well."""
+def with_group_salt(df: DataFrame, key: str, spread_by: str, name: str = "__salt",
+                    num_spread: int = 512) -> DataFrame:
+    """Adds the salt column used by :func:`group_window`."""
     salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(num_spread))) \
             .otherwise(F.lit(0).cast("long"))
-    return Window.partitionBy(F.col(key), salt)
+    return df.withColumn(name, salt)
+
+
+def group_window(key: str, salt: str = "__salt"):
+    """``Window.partitionBy(key)`` for small groups (a pool's legs) where
+    rows without a group (null key) are many: with the salt column from
+    :func:`with_group_salt`, those rows are spread over many window partitions
+    by a hash instead of forming one huge partition.  Callers must ignore
+    window results on null-key rows, which the reference discards as well.
+    The salt is a real column so every window over it shares one exchange."""
+    return Window.partitionBy(F.col(key), F.col(salt))

@@ -23,7 +23,7 @@ from ..functions import dates as D
 from ..functions.geo import ring_area_km2
 from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, extract_all, is_mcdonalds, token_count
 from ..operators.rollup import any_and_count
-from ..operators.windows import group_window, latest_per_key
+from ..operators.windows import group_window, latest_per_key, with_group_salt
 from ..sources.catalog import Catalog
 from .params import ReportParams
 
@@ -294,27 +294,30 @@ def with_pool_columns(df: DataFrame) -> DataFrame:
     is exactly the reference's join to its leg-1 relation (several leg-1 rows
     give several output rows; none gives one row with null).
     """
-    pool = group_window("ccdd_id", "sys_delivery_id")
+    pool = group_window("ccdd_id")
     by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
     seq = F.col("multi_collect_sequence")
     leg2 = seq == F.lit(2)
     pooled = F.col("ccdd_id").isNotNull()
-    pool_max_sec = F.max("collect_total_driving_time_min").over(pool) * F.lit(60)
-    prev_sec = F.lag("delivery_total_driving_time_min", 1).over(by_leg) * F.lit(60)
     first_legs = F.collect_list(F.when(seq == F.lit(1), F.struct(
         F.col("deliver_original_total_driving_time_min").alias("v")))).over(pool)
+    windowed = (with_group_salt(df, "ccdd_id", "sys_delivery_id")
+                .withColumn("__pool_max_sec", F.max("collect_total_driving_time_min").over(pool) * F.lit(60))
+                .withColumn("__first_legs", first_legs)
+                .withColumn("__prev_sec", F.lag("delivery_total_driving_time_min", 1).over(by_leg) * F.lit(60)))
+    pool_max_sec, prev_sec = F.col("__pool_max_sec"), F.col("__prev_sec")
     no_match = F.array(F.lit(None).cast("struct<v:double>"))
     zero = F.lit(0.0)
-    return (df
+    return (windowed
             .withColumn("collect_total_driving_time_sec_max_ccdd", F.when(leg2, pool_max_sec).otherwise(zero))
             .withColumn("delivery_total_driving_time_min_previous_leg", F.when(leg2, prev_sec).otherwise(zero))
             .withColumn("pooling_capacity_gains_sec",
                         F.when(leg2, pool_max_sec + F.col("ccdd_courier_analysis_handle_time_sec") - prev_sec)
                          .otherwise(zero))
-            .withColumn("__first_legs", F.when(pooled & (F.size(first_legs) > 0), first_legs).otherwise(no_match))
-            .withColumn("__first_leg", F.explode("__first_legs"))
+            .withColumn("__first_leg", F.explode(
+                F.when(pooled & (F.size("__first_legs") > 0), F.col("__first_legs")).otherwise(no_match)))
             .withColumn("first_order_deliver_original_total_driving_time_min", F.col("__first_leg.v"))
-            .drop("__first_legs", "__first_leg"))
+            .drop("__first_legs", "__first_leg", "__pool_max_sec", "__prev_sec", "__salt"))
 
 
 def build(cat: Catalog, p: ReportParams) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators.rollup import wide_rollup, with_euro_rate
-from ..operators.windows import group_window
+from ..operators.windows import group_window, with_group_salt
 from ..sources.catalog import Catalog
 from .params import ReportParams
 from .reorders import ORDINALS
@@ -78,20 +78,24 @@ def with_pooling_kpi(ds: DataFrame) -> DataFrame:
     reference's joins give them nulls, as here).  Equal to the reference's
     join-back when each delivery has one staging row.
     """
-    pool = group_window("ccdd_id", "sys_delivery_id")
+    pool = group_window("ccdd_id")
     by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
     pooled = F.col("ccdd_id").isNotNull()
     lead_leg = (F.col("is_multi_collect") == 1) & (F.col("multi_collect_sequence") == 1)
-    first_drive = F.min(F.when(lead_leg, F.col("delivery_in_transit_time_local"))).over(pool)
     tz = F.col("timezone")
-
-    def gap(c: str) -> Column:
-        return F.when(pooled, F.abs(D.boundary_diff(F.col(c), F.lag(c).over(by_leg))))
-
-    return (ds.withColumn("assignment_time_gap_sec", gap("collect_assigned_time_local"))
-              .withColumn("accepted_time_gap_sec", gap("collect_accepted_time_local"))
-              .withColumn("pooling_kpi_sec", F.when(pooled, D.elapsed_sec(
-                  F.col("delivery_begin_parking_time_local"), first_drive, tz))))
+    w = (with_group_salt(ds, "ccdd_id", "sys_delivery_id")
+         .withColumn("__first_drive", F.min(F.when(lead_leg, F.col("delivery_in_transit_time_local"))).over(pool))
+         .withColumn("__prev_assigned", F.lag("collect_assigned_time_local").over(by_leg))
+         .withColumn("__prev_accepted", F.lag("collect_accepted_time_local").over(by_leg)))
+
+    def gap(c: str, prev: str) -> Column:
+        return F.when(pooled, F.abs(D.boundary_diff(F.col(c), F.col(prev))))
+
+    return (w.withColumn("assignment_time_gap_sec", gap("collect_assigned_time_local", "__prev_assigned"))
+             .withColumn("accepted_time_gap_sec", gap("collect_accepted_time_local", "__prev_accepted"))
+             .withColumn("pooling_kpi_sec", F.when(pooled, D.elapsed_sec(
+                 F.col("delivery_begin_parking_time_local"), F.col("__first_drive"), tz)))
+             .drop("__salt", "__first_drive", "__prev_assigned", "__prev_accepted"))
 
 
 def measures() -> list[Column]:
