@@ -19,7 +19,6 @@ PRELUDE = f"""
 WITH
 d_lines AS (
   SELECT l_orderkey,
-         min(l_suppkey) AS resto_id,
          CAST(sum(l_partkey % 7 - 3) AS DOUBLE) / 2 AS company_net_adjustment_sum,
          CAST(sum(l_partkey % 5) AS DOUBLE) / 4 AS na_company_net_adjustment_sum,
          CAST(sum(l_suppkey % 3) AS DOUBLE) / 2 AS nc_total_net_compensation_sum,
@@ -37,11 +36,10 @@ d_base0 AS (
          CAST(c.c_nationkey AS BIGINT) AS nk,
          {TENANT_LIST}[c.c_nationkey % 5 + 1] AS tenant_id,
          {ZONE_LIST}[c.c_nationkey % 5 + 1] AS timezone,
-         li.resto_id,
+         CASE WHEN o.o_orderkey % 59 <> 7 THEN o.o_orderkey * 7 % (SELECT count(*) FROM supplier) END AS resto_id,
          o.o_orderdate + to_seconds(o.o_orderkey * 7919 % 86400) AS created
   FROM orders o
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-  LEFT JOIN d_lines li ON li.l_orderkey = o.o_orderkey
 ),
 d_base1 AS (
   SELECT *, created + to_seconds((k * 17 % 400) // 2) AS assigned,
@@ -148,7 +146,7 @@ fact_resto_reviews AS (
   FROM orders WHERE o_orderkey % 5 = 0
 ),
 global_adjustments AS (
-  SELECT l_orderkey + 1000000 AS sys_delivery_id, * EXCLUDE (l_orderkey, resto_id) FROM d_lines
+  SELECT l_orderkey + 1000000 AS sys_delivery_id, * EXCLUDE (l_orderkey) FROM d_lines
 ),
 pos_injection AS (
   SELECT k AS order_id, created + to_seconds(k % 120) AS injection_time, k % 15 AS fire_into_pos_time

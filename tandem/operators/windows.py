@@ -24,15 +24,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]
     """One row per ``keys``: the row with the greatest ``order_desc`` tuple
     (``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order DESC) = 1``).
 
-    Runs as an aggregation (``max_by`` over a struct of the row), so Spark
-    combines partial maxima before the shuffle; a key holding a large share of
-    rows costs one row per map task, not one huge window partition.  Later
-    ``order_desc`` columns break ties; rows with every order column null lose.
+    Spark plans this as a per-task top-1 (``WindowGroupLimit`` Partial)
+    before the shuffle and a final top-1 after it, so a key holding a large
+    share of the rows sends at most one row per map task across the network.
+    Later ``order_desc`` columns break ties; nulls sort last.
     """
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    best = F.max_by(row, F.struct(*[F.col(c) for c in order_desc]))
-    return df.groupBy(*keys).agg(best.alias("__best")).select(*keys, "__best.*")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_desc])
+    return (df.withColumn("__rn", F.row_number().over(w))
+              .where(F.col("__rn") == F.lit(1)).drop("__rn"))
 
 
 def lead_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
