@@ -86,13 +86,37 @@ def _test(x: Column, op: str, bounds: Sequence) -> Column:
     raise ValueError(op)
 
 
-def ladder(x: Column, rules: Sequence, default: str | None = None,
-           guard: Column | None = None) -> Column:
+def _sql_test(x: str, op: str, bounds: Sequence) -> str:
+    if op == "lt":
+        return f"{x} < {bounds[0]}"
+    if op == "gt":
+        return f"{x} > {bounds[0]}"
+    if op == "between":
+        return f"{x} BETWEEN {bounds[0]} AND {bounds[1]}"
+    raise ValueError(op)
+
+
+def _sql_label(label: str) -> str:
+    return "'" + label.replace("'", "''") + "'"
+
+
+def ladder(x, rules: Sequence, default: str | None = None, guard=None) -> Column:
     """Chained CASE over ``rules``; ``guard`` must also hold for every rule.
 
-    With ``default=None`` an unmatched (or null) input gives null, as a CASE
-    without ELSE does.
+    ``x`` (and ``guard``) may be Columns or SQL expression text; given text,
+    the whole CASE is built as one expression on the JVM side (one call from
+    Python instead of several per rule).  With ``default=None`` an unmatched
+    (or null) input gives null, as a CASE without ELSE does.
     """
+    if isinstance(x, str) and (guard is None or isinstance(guard, str)):
+        g = f" AND ({guard})" if guard is not None else ""
+        whens = " ".join(f"WHEN ({_sql_test(x, op, b)}){g} THEN {_sql_label(lab)}" for op, b, lab in rules)
+        tail = f" ELSE {_sql_label(default)}" if default is not None else ""
+        return F.expr(f"CASE {whens}{tail} END")
+    if isinstance(x, str):
+        x = F.expr(x)
+    if isinstance(guard, str):
+        guard = F.expr(guard)
     out = None
     for op, bounds, label in rules:
         cond = _test(x, op, bounds)
@@ -102,36 +126,57 @@ def ladder(x: Column, rules: Sequence, default: str | None = None,
     return out if default is None else out.otherwise(F.lit(default))
 
 
+# Each bucket function takes a Column or a column name; given a name the
+# ladder is built as one SQL CASE expression.
+
+def _q(name: str) -> str:
+    return "`" + name + "`"
+
+
 def whole_minutes(seconds: Column) -> Column:
     return F.floor(seconds / F.lit(60.0))
 
 
-def slack_bin(slack_min: Column) -> Column:
+def slack_bin(slack_min) -> Column:
+    if isinstance(slack_min, str):
+        return ladder(f"CAST({_q(slack_min)} AS DOUBLE)", SLACK_RULES, NA)
     return ladder(slack_min, SLACK_RULES, NA)
 
 
-def on_time_flag(slack_min: Column) -> Column:
+def on_time_flag(slack_min) -> Column:
     lo, hi = ON_TIME_RANGE
+    if isinstance(slack_min, str):
+        return F.expr(f"CASE WHEN {_q(slack_min)} BETWEEN {lo} AND {hi} THEN 1 ELSE 0 END")
     return F.when(slack_min.between(F.lit(lo), F.lit(hi)), F.lit(1)).otherwise(F.lit(0))
 
 
-def ctod_bin(ctod_sec: Column) -> Column:
+def ctod_bin(ctod_sec) -> Column:
+    if isinstance(ctod_sec, str):
+        return ladder(f"FLOOR({_q(ctod_sec)} / 60.0D)", CTOD_RULES, NA)
     return ladder(whole_minutes(ctod_sec), CTOD_RULES, NA)
 
 
-def km_bin(meters: Column) -> Column:
+def km_bin(meters) -> Column:
+    if isinstance(meters, str):
+        return ladder(f"FLOOR({_q(meters)} / 1000.0D)", KM_RULES)
     return ladder(F.floor(meters / F.lit(1000.0)), KM_RULES)
 
 
-def drive_bin(minutes: Column) -> Column:
+def drive_bin(minutes) -> Column:
+    if isinstance(minutes, str):
+        return ladder(f"FLOOR({_q(minutes)})", DRIVE_RULES)
     return ladder(F.floor(minutes), DRIVE_RULES)
 
 
-def ptov_bin(ptov_sec: Column, is_asap: Column) -> Column:
+def ptov_bin(ptov_sec, is_asap) -> Column:
+    if isinstance(ptov_sec, str) and isinstance(is_asap, str):
+        return ladder(f"FLOOR({_q(ptov_sec)} / 60.0D)", PTOV_RULES, NA, guard=f"{_q(is_asap)} = 1")
     return ladder(whole_minutes(ptov_sec), PTOV_RULES, NA, guard=(is_asap == F.lit(1)))
 
 
-def daypart(ts: Column) -> Column:
+def daypart(ts) -> Column:
+    if isinstance(ts, str):
+        return ladder(f"HOUR({_q(ts)})", DAYPART_RULES)
     return ladder(F.hour(ts), DAYPART_RULES)
 
 

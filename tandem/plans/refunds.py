@@ -44,7 +44,7 @@ COUNT_KEYS = [
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 def contacts(cat: Catalog, p: ReportParams, likes, name: str) -> DataFrame:
@@ -122,8 +122,8 @@ def refund_detail(cat: Catalog, p: ReportParams) -> DataFrame:
         "resto_hold_sec": c("fd_resto_hold_sec"),
         "delivery_zone_name": c("dz_name"),
         "delivery_status": c("fd_delivery_status"),
-        "is_on_time_order": B.on_time_flag(slack),
-        "delivery_completion_slack_bin": B.slack_bin(slack),
+        "is_on_time_order": B.on_time_flag("fd_delivery_completion_slack_min"),
+        "delivery_completion_slack_bin": B.slack_bin("fd_delivery_completion_slack_min"),
         "is_asap_order": F.coalesce(c("fo_is_asap_order"), F.lit(0)),
         "delivery_begin_parking_time_local": c("fd_delivery_begin_parking_time_local"),
         "del_key": F.when(c("cd_sys_delivery_id").isNotNull(), c("cd_ccdd_id")).otherwise(c("fd_sys_delivery_id")),

@@ -84,11 +84,20 @@ SIDE_COLUMNS = [
 MART_COLUMNS = STAGING_COLUMNS + SIDE_COLUMNS
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
+
+
+_COLS: dict = {}
 
 
 def _c(name: str):
-    return F.col(name)
+    """``F.col(name)``, built once per name and session (each Column built
+    from Python is a round trip to the JVM; the plan is the same)."""
+    from pyspark import SparkContext
+    key = (id(SparkContext._active_spark_context), name)
+    if key not in _COLS:
+        _COLS[key] = F.col(name)
+    return _COLS[key]
 
 
 def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
@@ -137,7 +146,7 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
     asap = _c("fo_is_asap_order") == F.lit(1)
     zero = F.lit(0)
     slack = _c("fd_delivery_completion_slack_min")
-    daypart = B.daypart(created)
+    daypart = B.daypart("fd_delivery_created_time_local")
 
     cols = {
         "order_date": _c("fo_order_date"),
@@ -222,11 +231,11 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
         "pos_injection_time_utc": _c("ij_injection_time").cast("timestamp_ntz"),
         "pos_fire_into_pos_time_min": _c("ij_fire_into_pos_time"),
         "collect_in_transit_time_utc": u("collect_in_transit_time_local"),
-        "is_on_time_order": B.on_time_flag(slack),
-        "delivery_completion_slack_bin": B.slack_bin(slack),
-        "ctod_min_bin": B.ctod_bin(_c("fd_ctod_sec")),
-        "delivery_driving_distance_original_kms_bin": B.km_bin(_c("fd_delivery_driving_distance_original_meters")),
-        "deliver_original_total_driving_time_min_bin": B.drive_bin(_c("fd_deliver_original_total_driving_time_min")),
+        "is_on_time_order": B.on_time_flag("fd_delivery_completion_slack_min"),
+        "delivery_completion_slack_bin": B.slack_bin("fd_delivery_completion_slack_min"),
+        "ctod_min_bin": B.ctod_bin("fd_ctod_sec"),
+        "delivery_driving_distance_original_kms_bin": B.km_bin("fd_delivery_driving_distance_original_meters"),
+        "deliver_original_total_driving_time_min_bin": B.drive_bin("fd_deliver_original_total_driving_time_min"),
         "is_asap_order": F.coalesce(_c("fo_is_asap_order"), zero),
         "collect_accessibility_minutes": _c("fd_collect_accessibility_minutes"),
         "deliver_accessibility_minutes": _c("fd_deliver_accessibility_minutes"),
@@ -344,7 +353,7 @@ def build(cat: Catalog, p: ReportParams) -> DataFrame:
     out = with_pool_columns(side)
     tz = F.col("timezone")
     out = (out
-           .withColumn("ptov_min_bin", B.ptov_bin(F.col("ptov_sec"), F.col("is_asap_order")))
+           .withColumn("ptov_min_bin", B.ptov_bin("ptov_sec", "is_asap_order"))
            .withColumn("time_window_start_local", D.utc_to_local(F.col("time_window_start_utc"), tz))
            .withColumn("time_window_end_local", D.utc_to_local(F.col("time_window_end_utc"), tz))
            .withColumn("time_window_end_original_local", D.utc_to_local(F.col("time_window_end_original_utc"), tz))
