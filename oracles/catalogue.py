@@ -154,7 +154,7 @@ ds AS (
     cz.sys_courier_delivery_zone_id AS sys_courier_delviery_zone_id_resto,
     cz.name AS delivery_zone_name_resto,
     {area_km2('cz.polygon')} AS zone_area_square_km_resto,
-    fd.sys_courier_id, fd.sys_delivery_id, fo.sys_order_id, fo.order_number, fo.just_eat_order_number,
+    fd.sys_courier_id, fd.sys_delivery_id, fo.sys_order_id, fo.order_number, fo.public_order_number,
     fd.delivery_created_time_local, fd.delivery_in_transit_time_local, fd.collect_assigned_time_local,
     fd.collect_accepted_time_local, fd.collect_arrived_time_local, fd.collect_completed_time_local,
     fd.delivery_begin_parking_time_local,
@@ -335,13 +335,13 @@ TICKET_CTES = """,
 ticket_info AS (
   SELECT ds.tenant_id, ds.sys_delivery_id, CAST(1 AS BIGINT) AS has_ticket
   FROM delivery_staging ds
-  LEFT JOIN ticket_heads tt ON CAST(tt.zendesk_order_id_local AS BIGINT) = ds.just_eat_order_number
+  LEFT JOIN ticket_heads tt ON CAST(tt.ticket_order_id_local AS BIGINT) = ds.public_order_number
   LEFT JOIN ticket_chats chat ON chat.conv_id = tt.conv_id
   LEFT JOIN ticket_calls calls ON calls.conv_id = tt.conv_id
   WHERE ds.tenant_id = 'ie'
-    AND tt.zendesk_order_id_local IS NOT NULL
+    AND tt.ticket_order_id_local IS NOT NULL
     AND tt.contact_origin = 'originator_customer'
-    AND (tt.zendesk_ticket_origin IN ('origin_offline', 'origin_self_serve_offline')
+    AND (tt.ticket_origin IN ('origin_offline', 'origin_self_serve_offline')
          OR calls.call_segment_id IS NOT NULL OR chat.chat IS NOT NULL)
 )"""
 
@@ -533,8 +533,8 @@ m5_lvl1 AS (
   LEFT JOIN m5_net_adjustments na ON na.sys_order_id = fd.sys_order_id
   LEFT JOIN m5_rejection_counts rj ON rj.sys_delivery_id = fd.sys_delivery_id
   LEFT JOIN dim_resto_grouping crp ON crp.sys_resto_id = dr.sys_resto_id
-  LEFT JOIN m5_late loc ON loc.order_id_local = fo.just_eat_order_number
-  LEFT JOIN m5_food fqc ON fqc.order_id_local = fo.just_eat_order_number
+  LEFT JOIN m5_late loc ON loc.order_id_local = fo.public_order_number
+  LEFT JOIN m5_food fqc ON fqc.order_id_local = fo.public_order_number
   WHERE fo.order_date BETWEEN {R_START} AND {R_END}
     AND fd.delivery_created_time_local BETWEEN {R_START} AND {R_END}
     AND fd.delivery_status = 'DELIVERED' AND fd.tenant_id = 'ie' AND fo.tenant_id = 'ie'
@@ -562,7 +562,7 @@ refunds_summary AS (
     payment_sequence_dense_rank, deliver_original_total_driving_time_min,
     CASE WHEN floor(ctod_sec / 60) >= 30 THEN '+30' WHEN floor(ctod_sec / 60) < 0 THEN '0'
          ELSE CAST(CAST(floor(ctod_sec / 60) AS BIGINT) AS VARCHAR) END AS ctod_min,
-    count(DISTINCT sys_order_id) AS delco_orders,
+    count(DISTINCT sys_order_id) AS delivered_orders,
     count(DISTINCT CASE WHEN is_multi_collect = 1 THEN sys_order_id END) AS md_orders,
     count(DISTINCT CASE WHEN contains(lower(voucher_refund_reason), 'food_quality') THEN sys_order_id END)
       AS orders_w_food_quality_refund,
@@ -585,7 +585,7 @@ order_counts AS (
     CASE WHEN voucher_refunds_issued_total_amount < 0 THEN 1 ELSE 0 END AS is_negative_company_net_adjustment,
     CASE WHEN delivery_begin_parking_time_local IS NOT NULL THEN 1 ELSE 0 END AS has_begin_parking_time,
     voucher_refund_reason, payment_sequence,
-    count(DISTINCT sys_order_id) AS delco_orders
+    count(DISTINCT sys_order_id) AS delivered_orders
   FROM refund_detail
   WHERE tenant_id = 'ie'
   GROUP BY ALL

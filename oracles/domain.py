@@ -58,7 +58,7 @@ fact_orders_resto AS (
          CAST(o_orderdate AS DATE) AS order_date,
          created AS order_datetime,
          'ORD-' || CAST(k AS VARCHAR) AS order_number,
-         k AS just_eat_order_number,
+         k AS public_order_number,
          CAST(floor(o_totalprice * 100) AS BIGINT) AS food_subtotal,
          CAST(CASE WHEN k % 8 = 0 THEN NULL WHEN k % 4 <> 0 THEN 1 ELSE 0 END AS INTEGER) AS is_asap_order,
          CAST(CASE WHEN k % 11 = 0 THEN NULL ELSE k % 20 + 5 END AS BIGINT) AS resto_food_prep_min,
@@ -188,9 +188,9 @@ hold_container_archive AS (
 ),
 ticket_heads AS (
   SELECT conv_id,
-         CASE WHEN conv_id % 8 <> 7 THEN CAST(conv_id * 3 AS VARCHAR) END AS zendesk_order_id_local,
+         CASE WHEN conv_id % 8 <> 7 THEN CAST(conv_id * 3 AS VARCHAR) END AS ticket_order_id_local,
          CASE WHEN conv_id % 4 = 3 THEN 'originator_agent' ELSE 'originator_customer' END AS contact_origin,
-         ['origin_offline', 'origin_self_serve_offline', 'origin_web'][conv_id % 3 + 1] AS zendesk_ticket_origin,
+         ['origin_offline', 'origin_self_serve_offline', 'origin_web'][conv_id % 3 + 1] AS ticket_origin,
          CASE WHEN conv_id % 10 <> 9 THEN CAST(conv_id AS VARCHAR) END AS ticket_id_local,
          ['rds_late_delivery', 'late_order_refund', 'food_quality_issue', 'quality_of_food_bad',
           'missing_item', 'other'][conv_id % 6 + 1] AS query_type,

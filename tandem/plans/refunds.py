@@ -53,8 +53,8 @@ def contacts(cat: Catalog, p: ReportParams, likes, name: str) -> DataFrame:
     start, end = p.refunds_window()
     t = cat["tickets"].select(
         F.col("orders.order_id_local").alias("order_id_local"),
-        F.col("zendesk.ticket_id_local").alias("ticket_id_local"),
-        F.col("zendesk.query_type").alias("query_type"),
+        F.col("ticket.ticket_id_local").alias("ticket_id_local"),
+        F.col("ticket.query_type").alias("query_type"),
         F.col("order_date.order_date_local").alias("order_date_local"),
         F.col("company.country_code").alias("country_code"))
     t = t.where(F.col("order_date_local").between(start, end)
@@ -88,8 +88,8 @@ def refund_detail(cat: Catalog, p: ReportParams) -> DataFrame:
     c = F.col
     j = (fd.join(fo, c("fo_sys_order_id") == c("fd_sys_order_id"), "inner")
            .join(na, c("na_sys_order_id") == c("fd_sys_order_id"), "left")
-           .join(loc, c("loc_order_id_local") == c("fo_just_eat_order_number"), "left")
-           .join(fqc, c("fqc_order_id_local") == c("fo_just_eat_order_number"), "left")
+           .join(loc, c("loc_order_id_local") == c("fo_public_order_number"), "left")
+           .join(fqc, c("fqc_order_id_local") == c("fo_public_order_number"), "left")
            .join(cd, c("cd_sys_delivery_id") == c("fd_sys_delivery_id"), "left")
            .join(rj, c("rj_sys_delivery_id") == c("fd_sys_delivery_id"), "left")
            .join(dr, c("dr_sys_resto_id") == c("fd_sys_resto_id"), "left")
@@ -157,7 +157,7 @@ def refunds_summary(detail: DataFrame, p: ReportParams) -> DataFrame:
     keyed = _summary_keys(detail.where(F.col("tenant_id") == p.tenant)).withColumn(
         "ctod_min", B.ctod_text(F.col("ctod_sec")))
     return distinct_counts(keyed, SUMMARY_KEYS, "sys_order_id", [
-        ("delco_orders", None),
+        ("delivered_orders", None),
         ("md_orders", F.col("is_multi_collect") == 1),
         ("orders_w_food_quality_refund", contains_ci(reason, FOOD_QUALITY_WORD)),
         ("orders_w_delivery_service_refund", contains_ci(reason, DELIVERY_SERVICE_WORD)),
@@ -167,4 +167,4 @@ def refunds_summary(detail: DataFrame, p: ReportParams) -> DataFrame:
 
 def order_counts(detail: DataFrame, p: ReportParams) -> DataFrame:
     keyed = _summary_keys(detail.where(F.col("tenant_id") == p.tenant))
-    return keyed.groupBy(*COUNT_KEYS).agg(F.count_distinct("sys_order_id").alias("delco_orders"))
+    return keyed.groupBy(*COUNT_KEYS).agg(F.count_distinct("sys_order_id").alias("delivered_orders"))

@@ -47,7 +47,7 @@ STAGING_COLUMNS = [
     "order_date", "tenant_id", "timezone", "sys_courier_delivery_zone_id", "delivery_zone_name",
     "sys_zone_group_id", "zone_group_name", "zone_area_square_km",
     "sys_courier_delviery_zone_id_resto", "delivery_zone_name_resto", "zone_area_square_km_resto",
-    "sys_courier_id", "sys_delivery_id", "sys_order_id", "order_number", "just_eat_order_number",
+    "sys_courier_id", "sys_delivery_id", "sys_order_id", "order_number", "public_order_number",
     "delivery_created_time_local", "delivery_in_transit_time_local", "collect_assigned_time_local",
     "collect_accepted_time_local", "collect_arrived_time_local", "collect_completed_time_local",
     "delivery_begin_parking_time_local", "ccdd_id", "multi_collect_sequence", "sys_resto_id",
@@ -164,7 +164,7 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
         "sys_delivery_id": _c("fd_sys_delivery_id"),
         "sys_order_id": _c("fo_sys_order_id"),
         "order_number": _c("fo_order_number"),
-        "just_eat_order_number": _c("fo_just_eat_order_number"),
+        "public_order_number": _c("fo_public_order_number"),
         "delivery_created_time_local": created,
         "delivery_in_transit_time_local": _c("fd_delivery_in_transit_time_local"),
         "collect_assigned_time_local": _c("fd_collect_assigned_time_local"),

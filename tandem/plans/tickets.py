@@ -21,12 +21,12 @@ def ticket_rows(cat: Catalog) -> DataFrame:
     null element), as ``LEFT JOIN UNNEST`` does.  The per-ticket tests run
     before the unnest, so only passing tickets are expanded.
     """
-    z = "zendesk."
+    z = "ticket."
     base = (cat["tickets"]
-            .where(F.col(z + "zendesk_order_id_local").isNotNull()
+            .where(F.col(z + "ticket_order_id_local").isNotNull()
                    & (F.col(z + "contact_origin") == CUSTOMER_ORIGIN))
-            .select(F.col(z + "zendesk_order_id_local").cast("long").alias("order_no"),
-                    F.col(z + "zendesk_ticket_origin").alias("origin"),
+            .select(F.col(z + "ticket_order_id_local").cast("long").alias("order_no"),
+                    F.col(z + "ticket_origin").alias("origin"),
                     F.col(z + "chat_ids_list").alias("chats"),
                     F.col(z + "call_ids_list").alias("calls")))
     per_chat = base.select("order_no", "origin", "calls", F.explode_outer("chats").alias("chat"))
@@ -39,7 +39,7 @@ def ticket_rows(cat: Catalog) -> DataFrame:
 
 def build(cat: Catalog, p: ReportParams, staging_mart: DataFrame) -> DataFrame:
     ds = (staging_mart.where(F.col("tenant_id") == p.tenant)
-          .select("tenant_id", "sys_delivery_id", "just_eat_order_number"))
+          .select("tenant_id", "sys_delivery_id", "public_order_number"))
     rows = ticket_rows(cat)
-    return (ds.join(rows, ds.just_eat_order_number == rows.order_no, "inner")
+    return (ds.join(rows, ds.public_order_number == rows.order_no, "inner")
               .select("tenant_id", "sys_delivery_id", F.lit(1).cast("long").alias("has_ticket")))

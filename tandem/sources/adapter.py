@@ -138,7 +138,7 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("created").alias("order_datetime"),
             F.concat(F.lit("ORD-"), k.cast("string")).alias("order_number"),
-            k.alias("just_eat_order_number"),
+            k.alias("public_order_number"),
             F.floor(F.col("o_totalprice") * 100).cast("long").alias("food_subtotal"),
             F.when(k % 8 == 0, F.lit(None)).when(k % 4 != 0, F.lit(1)).otherwise(F.lit(0))
              .cast("int").alias("is_asap_order"),
@@ -314,15 +314,15 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
                                         F.collect_list(call).alias("calls"))
         return per.select(
             F.struct(
-                F.when(cid % 8 != 7, (cid * 3).cast("string")).alias("zendesk_order_id_local"),
+                F.when(cid % 8 != 7, (cid * 3).cast("string")).alias("ticket_order_id_local"),
                 F.when(cid % 4 == 3, F.lit("originator_agent")).otherwise(F.lit("originator_customer"))
                  .alias("contact_origin"),
-                _pick(TICKET_ORIGINS, cid % 3).alias("zendesk_ticket_origin"),
+                _pick(TICKET_ORIGINS, cid % 3).alias("ticket_origin"),
                 F.when(cid % 10 != 9, cid.cast("string")).alias("ticket_id_local"),
                 _pick(QUERY_TYPES, cid % 6).alias("query_type"),
                 F.col("chats").alias("chat_ids_list"),
                 F.col("calls").alias("call_ids_list"),
-            ).alias("zendesk"),
+            ).alias("ticket"),
             F.struct((cid * 3).alias("order_id_local")).alias("orders"),
             F.struct(F.date_add(F.lit("1995-01-01").cast("date"), (cid * 5 % 2400).cast("int"))
                      .alias("order_date_local")).alias("order_date"),
