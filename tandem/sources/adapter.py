@@ -111,8 +111,23 @@ def _lines_by_order(t: DriverTables) -> DataFrame:
     )
 
 
+_CATALOGS: dict = {}
+
+
 def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """Catalogue of the 19 domain inputs over the driver tables in ``sf_dir``."""
+    """Catalogue of the 19 domain inputs over the driver tables in ``sf_dir``.
+
+    One catalogue per (session, folder): the input plans are the same for
+    every query, so they are built once (plan objects only; every query still
+    reads and computes everything when it runs).
+    """
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _CATALOGS:
+        _CATALOGS[key] = _driver_catalog(spark, sf_dir)
+    return _CATALOGS[key]
+
+
+def _driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     t = DriverTables(spark, sf_dir)
     memo: dict[str, DataFrame] = {}
 
