@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..sources.sink import materialize
 
 
 def _cols(xs) -> list[Column]:
@@ -90,8 +90,9 @@ def positional_leads(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     1. Range-partition the rows by (keys, order): a large group is cut into
        contiguous, ordered slices, one per partition.  The sliced rows are
-       checkpointed: range bounds come from a sample, so every reader (and any
-       task retried after an executor loss) must see the same slicing.
+       written once to the shared checkpoint folder: range bounds come from a
+       sample, so every reader (and any task retried after an executor loss)
+       must see the same slicing.
     2. Number rows inside each slice and count each slice; a running sum of
        slice sizes per group (a table of at most groups x partitions rows)
        gives every row its position in the group.
@@ -106,8 +107,7 @@ def positional_leads(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .withColumn("__slice", F.spark_partition_id())
     local = ordered.withColumn("__rn", F.row_number().over(
         Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))))
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
+    local = materialize(local, "slices")
     sizes = local.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..sources.sink import materialize
 from ..sources.adapter import driver_catalog
 from . import refunds, reorders, staging, summary, tickets, unit_queries, utilisation
 from .params import FIXTURE_PARAMS
@@ -24,10 +24,9 @@ def _cat(spark: SparkSession, sf_dir: str):
 
 def _materialized(spark: SparkSession, df: DataFrame) -> DataFrame:
     """An upstream mart as its readers see it in the job: computed once and
-    stored (here a reliable checkpoint in the shared checkpoint folder), so a
-    mart read several times is not recomputed and its lineage is cut."""
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    written (a table in the shared checkpoint folder), so a mart read several
+    times is not recomputed and its lineage is cut."""
+    return materialize(df, "mart")
 
 
 def reorder_info(spark: SparkSession, sf_dir: str) -> DataFrame:

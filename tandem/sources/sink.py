@@ -20,3 +20,21 @@ def overwrite_mart(df: DataFrame, root: str, name: str, schema: StructType | Non
     path = os.path.join(root, name)
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder (the one
+    ``spark.checkpoint.dir`` names) and return it read back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the plan once
+    (an eager RDD checkpoint runs it twice: once to count, once to save), and
+    it keeps the columnar layout for the readers.
+    """
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
