@@ -39,12 +39,14 @@ def delivery_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ticket_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = _cat(spark, sf_dir)
-    return tickets.build(cat, FIXTURE_PARAMS, _materialized(spark, staging.build(cat, FIXTURE_PARAMS)))
+    # read once: no need to store staging first; Spark prunes it to the columns used
+    return tickets.build(cat, FIXTURE_PARAMS, staging.build(cat, FIXTURE_PARAMS))
 
 
 def pooling_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = _cat(spark, sf_dir)
     m1 = reorders.build(cat, FIXTURE_PARAMS)
+    # staging is read twice (directly and through the ticket mart): store it once
     m2 = _materialized(spark, staging.build(cat, FIXTURE_PARAMS))
     m3 = tickets.build(cat, FIXTURE_PARAMS, m2)
     return summary.build(cat, spark, m2, m1, m3)
@@ -55,11 +57,11 @@ def refund_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refunds_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refunds.refunds_summary(_materialized(spark, refund_detail(spark, sf_dir)), FIXTURE_PARAMS)
+    return refunds.refunds_summary(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
 
 
 def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refunds.order_counts(_materialized(spark, refund_detail(spark, sf_dir)), FIXTURE_PARAMS)
+    return refunds.order_counts(refund_detail(spark, sf_dir), FIXTURE_PARAMS)
 
 
 def utilisation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,10 @@ MART_NAMES = {
 }
 
 
+# The large per-delivery marts are laid out by order date.
+DATE_PARTITIONED = {"delivery_staging": ["order_date"], "refund_detail": ["order_date"]}
+
+
 def build_all(spark: SparkSession, cat: Catalog, p: ReportParams, out_root: str,
               log=print) -> dict[str, str]:
     """Builds and writes every mart under ``out_root``; returns name -> path."""
@@ -48,7 +52,7 @@ def build_all(spark: SparkSession, cat: Catalog, p: ReportParams, out_root: str,
 
     def write(key: str, df: DataFrame) -> DataFrame:
         t0 = time.perf_counter()
-        paths[key] = overwrite_mart(df, out_root, MART_NAMES[key])
+        paths[key] = overwrite_mart(df, out_root, MART_NAMES[key], partition_by=DATE_PARTITIONED.get(key))
         log(f"{key}: written in {time.perf_counter() - t0:.1f}s")
         return spark.read.parquet(paths[key])
 

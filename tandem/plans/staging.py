@@ -94,7 +94,7 @@ def _c(name: str):
     """``F.col(name)``, built once per name and session (each Column built
     from Python is a round trip to the JVM; the plan is the same)."""
     from pyspark import SparkContext
-    key = (id(SparkContext._active_spark_context), name)
+    key = (id(getattr(SparkContext, "_active_spark_context", None)), name)
     if key not in _COLS:
         _COLS[key] = F.col(name)
     return _COLS[key]

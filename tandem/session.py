@@ -50,9 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it; only when it is unset (tests, local bench) do we set
     a scratch folder of our own.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not current:
         current = tempfile.mkdtemp(prefix="tandem-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current

@@ -121,7 +121,7 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     every query, so they are built once (plan objects only; every query still
     reads and computes everything when it runs).
     """
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
     if key not in _CATALOGS:
         _CATALOGS[key] = _driver_catalog(spark, sf_dir)
     return _CATALOGS[key]

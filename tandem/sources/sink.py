@@ -8,17 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
-def overwrite_mart(df: DataFrame, root: str, name: str, schema: StructType | None = None) -> str:
+def overwrite_mart(df: DataFrame, root: str, name: str, schema: StructType | None = None,
+                   partition_by: list[str] | None = None) -> str:
     """Write ``df`` as mart ``name`` under ``root``, replacing what was there
     (the warehouse's WRITE_TRUNCATE).  If ``schema`` is given the frame must
-    have exactly its column names and types.  Returns the mart's path."""
+    have exactly its column names and types.  Returns the mart's path.
+
+    With ``partition_by`` (e.g. the order date) the mart is laid out in one
+    folder per value, so readers filtering on it prune folders.  The rows are
+    first rebalanced on those columns: AQE then sizes the output partitions,
+    splitting a value that holds many rows over several tasks instead of one,
+    and merging small ones, so each task writes few, reasonably sized files.
+    """
     if schema is not None:
         got = [(f.name, f.dataType) for f in df.schema.fields]
         want = [(f.name, f.dataType) for f in schema.fields]
         if got != want:
             raise ValueError(f"mart {name}: schema {got} differs from {want}")
     path = os.path.join(root, name)
-    df.write.mode("overwrite").parquet(path)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
