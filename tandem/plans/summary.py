@@ -17,7 +17,6 @@ from ..functions import dates as D
 from ..operators.rollup import wide_rollup, with_euro_rate
 from ..operators.windows import group_window, with_group_salt
 from ..sources.catalog import Catalog
-from .params import ReportParams
 from .reorders import ORDINALS
 
 GROUP_KEYS = [
