@@ -100,6 +100,9 @@ def with_pooling_kpi(ds: DataFrame) -> DataFrame:
 def measures() -> list[Column]:
     pooled = F.col("is_multi_collect") == 1
     out = [
+        # Distinct deliveries, and two filtered variants of the same count:
+        # written with FILTER so Spark evaluates all three in one expansion
+        # group (per key and delivery, one max per filter) instead of three.
         F.count_distinct("sys_delivery_id").alias("delivery_count"),
         (F.sum(F.when(pooled, _z("assignment_time_gap_sec")).otherwise(F.lit(0))) / F.lit(60.0))
         .alias("assignment_time_gap_mins_sum"),
@@ -110,7 +113,7 @@ def measures() -> list[Column]:
     out += [F.sum(_z(src)).alias(name) for name, src in LOCAL_SUMS]
     out += [
         F.sum(_z("rejections_count")).alias("rejections_sum"),
-        F.count_distinct(F.when(F.col("rejections_count") > 0, F.col("sys_delivery_id"))).alias("rejected_offer_count"),
+        F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rejections_count > 0)").alias("rejected_offer_count"),
         F.sum(_z("food_subtotal")).alias("food_subtotal"),
     ]
     out += [F.sum(_z(a)).alias(a) for a in ADJUSTMENTS]
@@ -125,7 +128,9 @@ def measures() -> list[Column]:
     out += [F.sum(_z(a) / rate).alias(a.replace("_sum", "_euros_sum")) for a in ADJUSTMENTS]
     out.append(F.sum(cost / rate).alias("total_order_cost_euros_sum"))
     out += [
-        F.coalesce(F.count_distinct("rc_sys_delivery_id"), F.lit(0)).alias("orders_with_min_1_reorder_count"),
+        # rc_sys_delivery_id equals sys_delivery_id wherever the join matched
+        F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rc_sys_delivery_id IS NOT NULL)")
+        .alias("orders_with_min_1_reorder_count"),
     ]
     prev = "current_order"
     for name in ORDINALS:
