@@ -91,13 +91,17 @@ _COLS: dict = {}
 
 
 def _c(name: str):
-    """``F.col(name)``, built once per name and session (each Column built
-    from Python is a round trip to the JVM; the plan is the same)."""
+    """``F.col(name)``, built once per name and JVM (each Column built from
+    Python is a round trip to the JVM; the plan is the same).  The cache
+    holds the gateway it was built on, so its key cannot be recycled."""
     from pyspark import SparkContext
-    key = (id(getattr(SparkContext, "_active_spark_context", None)), name)
-    if key not in _COLS:
-        _COLS[key] = F.col(name)
-    return _COLS[key]
+    gw = getattr(SparkContext, "_gateway", None)
+    key = (id(gw), name)
+    hit = _COLS.get(key)
+    if hit is None or hit[0] is not gw:
+        hit = (gw, F.col(name))
+        _COLS[key] = hit
+    return hit[1]
 
 
 def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
