@@ -77,8 +77,19 @@ def utc_to_local(ts, tz) -> Column:
     return F.convert_timezone(F.lit("UTC"), _as_col(tz), _as_col(ts))
 
 
+_EPOCH: dict = {}
+
+
 def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    """The NTZ epoch literal, built once per JVM gateway (it appears in every
+    boundary difference; building it is a few round trips to the JVM)."""
+    from pyspark import SparkContext
+    gw = getattr(SparkContext, "_gateway", None)
+    hit = _EPOCH.get(id(gw))
+    if hit is None or hit[0] is not gw:
+        hit = (gw, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+        _EPOCH[id(gw)] = hit
+    return hit[1]
 
 
 def _ticks(ts: Column, unit: str) -> Column:
