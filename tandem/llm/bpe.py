@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -53,11 +54,13 @@ class Vocabulary:
             self.tokens[rank] = token
         self.splits = splits or [self._split(t) for t in self.tokens]
         self._fits = Memo(lambda pair: self._border(*pair), 400_000)
-        # the longest token that ends in two given bytes bounds the search below
-        self.longest: dict[bytes, int] = {}
+        # which lengths the tokens have that end in three given bytes: bounds the search below
+        ends: dict[bytes, set[int]] = {}
         for token in ranks:
-            end = token[-2:]
-            self.longest[end] = max(self.longest.get(end, 1), len(token))
+            if len(token) > 2:
+                ends.setdefault(token[-3:], set()).add(len(token))
+        self.lengths = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ends.items()}
+        self.longest = max(map(len, ranks))
 
     def _split(self, token: bytes) -> tuple[int, int]:
         """The two tokens left before the last merge of ``token`` (itself twice for a byte)."""
@@ -93,15 +96,42 @@ class Vocabulary:
 
     def extend(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
         """Adds to ``last`` the last token of each prefix of ``data`` up to length ``until``."""
-        ranks, fits, longest, tokens = self.ranks, self._fits, self.longest, self.tokens
+        ranks, fits, lengths = self.ranks, self._fits, self.lengths
         for end in range(len(last) + 1, (len(data) if until is None else until) + 1):
-            for start in range(max(0, end - longest.get(data[max(0, end - 2):end], 1)), end):
-                token = ranks.get(data[start:end])
-                if token is not None and (start == 0 or fits[last[start - 1], token]):
-                    last.append(token)
+            for size in lengths.get(data[end - 3:end], ()) if end > 2 else ():
+                start = end - size
+                if start > 0:
+                    token = ranks.get(data[start:end])
+                    if token is not None and fits[last[start - 1], token]:
+                        break
+                elif start == 0 and (token := ranks.get(data[:end])) is not None:
                     break
+            else:
+                token = ranks.get(data[end - 2:end]) if end > 1 else None
+                if token is None or end > 2 and not fits[last[end - 3], token]:
+                    token = ranks[data[end - 1:end]]
+            last.append(token)
         return last
 
+    def encode_many(self, pieces: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """The encoding of each piece.  In sorted order a piece keeps the stored prefixes that
+        it shares with the one before, and only appends."""
+        out, last, before = {}, [], b""
+        for data in sorted(pieces):
+            whole = self.ranks.get(data)
+            if whole is not None:
+                out[data] = (whole,)
+                continue
+            same = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                same += 1
+            del last[same:]
+            out[data] = tuple(self.walk_back(self.extend(data, last)))
+            before = data
+        return out
+
     def walk_back(self, last: list[int]) -> list[int]:
         ids, end, tokens = [], len(last), self.tokens
         while end:
@@ -139,7 +169,7 @@ class PrefixEncoding:
         tail = self.last[end:]
         self.data = self.data[:start] + new + self.data[end:]
         last, shift = self.last[:start], start + len(new)
-        window = max(self.vocabulary.longest.values())
+        window = self.vocabulary.longest
         agree = 0
         while len(last) < len(self.data):
             self.vocabulary.extend(self.data, last, len(last) + 1)
@@ -155,33 +185,63 @@ class PrefixEncoding:
 
 
 class TextCodec:
-    """Encodes whole texts: the pattern's matches one by one."""
+    """Encodes whole texts: the pattern's matches one by one.
+
+    A single space between two characters that are not white space begins a match
+    whatever stands around it, so texts are cut there and each different chunk is
+    encoded once."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = 200_000):
+    cut = staticmethod(re.compile(r"(?<=\S) (?=\S)").split)
+    odd = staticmethod(re.compile(r" \s|\s ").search)
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = 150_000):
         self.vocabulary = vocabulary
         self.matches = regex.compile(pattern).findall
         self.names = [str(i) for i in range(len(vocabulary.tokens))]
-        self.chunk = Memo(self._chunk, cache)
+        self.chunks = Memo(lambda c: self._encoded([c])[c], cache)  # each with a space before it
+
+    def _pieces(self, chunk: str) -> list[bytes]:
+        if chunk.isascii():  # a word, or a word and a full stop or comma, needs no pattern
+            if chunk.isalpha():
+                return [b" " + chunk.encode()]
+            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+                return [b" " + chunk[:-1].encode(), chunk[-1:].encode()]
+        return [m.encode() for m in self.matches(" " + chunk)]
+
+    def _encoded(self, chunks: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        pieces = {c: self._pieces(c) for c in chunks}
+        ids = self.vocabulary.encode_many({p for some in pieces.values() for p in some})
+        return {c: ids[some[0]] if len(some) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, some)))
+                for c, some in pieces.items()}
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text.  Chunks not yet known are encoded together."""
+        parts = [self.cut(t) if self.odd(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
+        known, new = self.chunks, set()
+        for p in parts:
+            new.update(p[1:])
+        new.difference_update(known)
+        here = self._encoded([c for c in new if c not in known.older])
+        known.learn(here)
+        for p in parts:
+            first = chain.from_iterable(self.vocabulary.encode(m.encode()) for m in self.matches(p[0]))
+            yield [*first, *chain.from_iterable(map(known.__getitem__, p[1:]))]
+            p.clear()
 
-    # A single space between two characters that are not white space begins a match whatever
-    # stands around it, so that chunks cut there can be encoded, and kept, on their own.
-    cut = re.compile(r"(?<=\S) (?=\S)").split
-    odd = re.compile(r" \s|\s ").search
+    def encode(self, text: str) -> list[int]:
+        return next(self.encode_all([text]))
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        encode = self.vocabulary.encode
-        return tuple(chain.from_iterable(encode(m.encode()) for m in self.matches(chunk)))
 
-    def encode(self, text: str) -> list[int]:
-        if self.odd(text) or text[:1] == " " or text[-1:] == " ":
-            first, *rest = self.cut(text)
-        else:
-            first, *rest = text.split(" ")
-        chunk = self.chunk
-        ids = list(chunk[first])
-        for x in rest:
-            ids += chunk[" " + x]
-        return ids
+def _groups(texts: Iterable[str | None], size: int = 3_000_000) -> Iterator[list[str]]:
+    """The texts in groups of about ``size`` characters; null is empty."""
+    group, chars = [], 0
+    for text in texts:
+        group.append(text or "")
+        chars += len(group[-1])
+        if chars >= size:
+            yield group
+            group, chars = [], 0
+    yield group
 
 
 @lru_cache(maxsize=2)
@@ -216,9 +276,8 @@ def encoded(text: Column, spark, path: str | None = None, pattern: str | None =
             "decoded_sha256": lambda ids: hashlib.sha256(decode(ids)).hexdigest(),
         }
         rows = []
-        for text in texts:
-            ids = codec.encode(text) if text else []
-            rows.append([make[f](ids) for f in fields])
+        for group in _groups(texts):
+            rows += ([make[f](ids) for f in fields] for ids in codec.encode_all(group))
         return pd.DataFrame(rows, columns=list(fields))
 
     return run(text)

@@ -59,15 +59,22 @@ def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
 
 
 class Memo(dict):
-    """A per-worker cache of at most ``size`` entries; when it is full it starts anew.
-    Only speed depends on it, never a result."""
+    """A per-worker cache.  When ``size`` entries are new it forgets the older half, those
+    not asked for since it was last full.  Only speed depends on it, never a result."""
 
     def __init__(self, make: Callable, size: int):
         super().__init__()
-        self.make, self.size = make, size
+        self.make, self.size, self.older = make, size, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self.learn({key: value})
+        return value
+
+    def learn(self, more: dict) -> None:
         if len(self) >= self.size:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
-        return value
+        self.update(more)

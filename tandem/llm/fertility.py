@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,8 @@ def repeated_words(ids: np.ndarray, width: int = 5) -> int:
     window = ids[:n].astype(np.int64)
     for k in range(1, width):  # exact: each pair (window so far, next word) gets a number of its own
         window = np.unique(window * np.int64(len(ids) + 1) + ids[k:k + n], return_inverse=True)[1]
+        if len(window) == window.max() + 1:
+            return 0  # no two are equal so far, so no longer ones are
     often = np.bincount(window)[window] > 1
     edge = np.zeros(len(ids) + 1, np.int64)
     np.add.at(edge, np.flatnonzero(often), 1)
@@ -63,47 +66,50 @@ def duplicate_lines(text: str) -> int:
 class Measure:
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.of_byte = {i for i in range(self.model.vocab_size()) if self.model.is_byte(i)}
-        self.pieces = Memo(self._pieces, 100_000)
-        self.script = re.compile("|".join(f"([{x}]+)" for x in SCRIPTS.values())).finditer
-        self.is_latin = re.compile(f"[{SCRIPTS['latin']}]").search
-
-    def _pieces(self, word: str) -> tuple[tuple[int, ...], int]:
-        ids = tuple(self.model.encode(word))
-        return ids, sum(i in self.of_byte for i in ids)
-
-    def script_of(self, counts: Counter) -> str:
-        """The script of most letters; ties go to the first of `SCRIPTS`, none is 'none'."""
+        self.size = self.model.vocab_size()
+        self.of_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
+        self.letters = re.compile("|".join(f"([{x}]+)" for x in SCRIPTS.values())).finditer
+        self.known = Memo(lambda w: self._words([w])[w], 100_000)
+
+    def _script(self, word: str) -> tuple[int, int]:
+        """The script of most of a word's letters and how many they are; -1 if it has none."""
+        if word.isascii():
+            n = len(word) if word.isalpha() else sum(map(str.isalpha, word))
+            return (0, n) if n else (-1, 0)
         per = [0] * len(SCRIPTS)
-        for word, times in counts.items():
-            if word.isascii():
-                per[0] += times * len(word) if word.isalpha() else times * sum(map(str.isalpha, word))
-            else:
-                for m in self.script(word):
-                    per[m.lastindex - 1] += times * (m.end() - m.start())
-        return [*SCRIPTS][per.index(max(per))] if max(per) else "none"
+        for m in self.letters(word):
+            per[m.lastindex - 1] += m.end() - m.start()
+        return (per.index(max(per)), max(per)) if max(per) else (-1, 0)
+
+    def _words(self, words: list[str]) -> dict[str, tuple]:
+        """Of each word: its tokens, their number, its script and its letters of that script."""
+        return {w: (tuple(ids), len(ids), *self._script(w)) for w, ids in zip(words, self.model.encode(words, num_threads=1))}
 
     def row(self, text: str) -> tuple:
         words = WORDS(text)
         counts = Counter(words)
-        number = {w: i for i, w in enumerate(counts)}
-        ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        tokens: Counter = Counter()
-        n_tokens = n_bytes = 0
-        pieces = self.pieces
-        for word, times in counts.items():
-            got, of_byte = pieces[word]
-            n_tokens += times * len(got)
-            n_bytes += times * of_byte
-            for i in got:
-                tokens[i] += times
-        chars = sum(len(w) * c for w, c in counts.items())
-        p = np.fromiter(tokens.values(), float, len(tokens)) / max(1, n_tokens)
-        most = np.log(min(n_tokens, self.model.vocab_size())) if n_tokens > 1 else 1.0
-        return (len(words), chars, sum(map(len, SYMBOLS(text))), duplicate_lines(text),
-                repeated_words(ids) if len(counts) < len(words) else 0, self.script_of(counts), n_tokens,
-                chars / n_tokens if n_tokens else 0.0, n_bytes / n_tokens if n_tokens else 0.0,
-                float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
+        n = len(words)
+        if not n:
+            return (0, 0, len("".join(SYMBOLS(text))), duplicate_lines(text), 0, "none", 0, 0.0, 0.0, 0.0)
+        repeated = 0
+        if len(counts) < n:
+            number = {w: i for i, w in enumerate(counts)}
+            repeated = repeated_words(np.fromiter(map(number.__getitem__, words), np.int64, n))
+        known = self.known
+        if new := [w for w in counts if w not in known and w not in known.older]:
+            known.learn(self._words(new))
+        tokens, sizes, scripts, letters = zip(*map(known.__getitem__, counts))
+        times = np.fromiter(counts.values(), np.int64, len(counts))
+        flat = np.fromiter(chain.from_iterable(tokens), np.int64, sum(sizes))
+        per_token = np.bincount(flat, np.repeat(times, sizes), self.size)
+        n_tokens = int(per_token.sum())
+        per_script = np.bincount(np.array(scripts) + 1, times * np.array(letters), len(SCRIPTS) + 1)
+        script = [*SCRIPTS][int(per_script[1:].argmax())] if per_script[1:].any() else "none"
+        p = per_token[per_token > 0] / n_tokens
+        most = np.log(min(n_tokens, self.size)) if n_tokens > 1 else 1.0
+        chars = sum(map(len, words))
+        return (n, chars, len("".join(SYMBOLS(text))), duplicate_lines(text), repeated, script, n_tokens, chars / n_tokens,
+                float(per_token[self.of_byte].sum() / n_tokens), float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
