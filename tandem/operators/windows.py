@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.sink import materialize
-
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -35,107 +33,45 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]
 
 
 def lead_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               values: dict[str, str], depth: int, hot_rows: int | None = None,
-               max_hot_groups: int = 1000) -> DataFrame:
+               values: dict[str, str], depth: int, bucket: Column) -> DataFrame:
     """Adds ``LEAD(col, n)`` for n = 1..depth for every ``values`` column.
 
     ``values`` maps a source column to an output name template holding ``{n}``.
-    ``order`` must be a total order within a group (end it with a unique id).
-
-    Ordinary groups use one window: a single shuffle and sort for all leads.
-    With ``hot_rows`` set, groups holding more rows than that (at most
-    ``max_hot_groups`` of them, the largest) take an exact positional path
-    instead, so no group has to fit in one task: see :func:`positional_leads`.
+    ``order`` must be a total order within a group (end it with a unique id);
+    ``bucket`` must not decrease along it (e.g. the hour of a time).
+
+    One plan for groups of any size.  Leads are taken within (keys, bucket),
+    so a group that holds most rows is cut into its buckets.  The rows that
+    follow a bucket are the heads, the first ``depth`` rows, of the buckets
+    after it: a window over the heads only finds them, and the last rows of
+    each bucket take them over.
     """
-    if hot_rows is not None:
-        hot = hot_groups(df, keys, hot_rows, max_hot_groups)
-        if hot is not None:
-            cond = _null_safe_on(df, hot, keys)
-            cold = df.join(F.broadcast(hot), cond, "left_anti")
-            hot_part = df.join(F.broadcast(hot), cond, "left_semi")
-            return (lead_chain(cold, keys, order, values, depth)
-                    .unionByName(positional_leads(hot_part, keys, order, values, depth)))
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    out = df
-    for n in range(1, depth + 1):
-        for src, tmpl in values.items():
-            out = out.withColumn(tmpl.format(n=n), F.lead(F.col(src), n).over(w))
-    return out
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int, max_groups: int) -> DataFrame | None:
-    """The (at most ``max_groups``) largest groups with more than ``hot_rows``
-    rows, as a small key table, or None.  Counting is a partial aggregation;
-    only the bounded key list reaches the driver."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    top = (counts.where(F.col("__n") > F.lit(hot_rows))
-                 .orderBy(F.col("__n").desc()).limit(max_groups).select(*keys).collect())
-    if not top:
-        return None
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame([tuple(r) for r in top], schema)
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else (cond & c)
-    return cond
-
-
-def positional_leads(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                     values: dict[str, str], depth: int) -> DataFrame:
-    """Exact ``LEAD`` for groups too large for one task.
-
-    1. Range-partition the rows by (keys, order): a large group is cut into
-       contiguous, ordered slices, one per partition.  The sliced rows are
-       written once to the shared checkpoint folder: range bounds come from a
-       sample, so every reader (and any task retried after an executor loss)
-       must see the same slicing.
-    2. Number rows inside each slice and count each slice; a running sum of
-       slice sizes per group (a table of at most groups x partitions rows)
-       gives every row its position in the group.
-    3. The row n places ahead has position + n: each row offers its values to
-       the rows 1..depth places behind it, and an equi-join on (keys,
-       position) collects them.  Positions are unique, so this join spreads
-       a large group over all partitions.
-    """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = df.repartitionByRange(parts, *[F.col(k) for k in keys], *_cols(order)) \
-                .withColumn("__slice", F.spark_partition_id())
-    local = ordered.withColumn("__rn", F.row_number().over(
-        Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))))
-    local = materialize(local, "slices")
-    sizes = local.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    off_r = offsets.select(*[F.col(k).alias("__o_" + k) for k in keys], F.col("__slice").alias("__o_slice"), "__off")
-    cond = None
-    for k in keys:
-        c = local[k].eqNullSafe(off_r["__o_" + k])
-        cond = c if cond is None else (cond & c)
-    cond = cond & (local["__slice"] == off_r["__o_slice"])
-    positioned = (local.join(off_r, cond, "inner")
-                       .withColumn("__pos", F.col("__off") + F.col("__rn"))
-                       .drop("__off", "__rn", "__slice", *["__o_" + k for k in keys], "__o_slice"))
-    offers = None
-    for n in range(1, depth + 1):
-        o = positioned.select(*[F.col(k).alias("__d_" + k) for k in keys],
-                              (F.col("__pos") - F.lit(n)).alias("__d_pos"), F.lit(n).alias("__d_n"),
-                              *[F.col(src).alias("__d_v_" + src) for src in values])
-        offers = o if offers is None else offers.unionByName(o)
-    wanted = [F.max(F.when(F.col("__d_n") == F.lit(n), F.col("__d_v_" + src))).alias(tmpl.format(n=n))
-              for n in range(1, depth + 1) for src, tmpl in values.items()]
-    per_pos = offers.groupBy(*["__d_" + k for k in keys], "__d_pos").agg(*wanted)
-    cond = None
+    ahead = range(1, depth + 1)
+    packed = F.struct(*[F.col(src).alias(src) for src in values])
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(*_cols(order))
+    rows = df.withColumn("__bucket", bucket).withColumn("__place", F.row_number().over(inside))
+    for n in ahead:
+        rows = rows.withColumn(f"__lead_{n}", F.lead(packed, n).over(inside))
+    rows = rows.withColumn("__size", F.count(F.lit(1)).over(Window.partitionBy(*keys, "__bucket")))
+
+    heads = rows.where(F.col("__place") <= F.lit(depth)).select(
+        *keys, "__bucket", "__place", (F.col("__place") == F.least("__size", F.lit(depth))).alias("__last"),
+        packed.alias("__head"))
+    along = Window.partitionBy(*keys).orderBy(F.col("__bucket").asc_nulls_first(), "__place")
+    after = (heads.withColumn("__next", F.array(*[F.lead("__head", n).over(along) for n in ahead]))
+             .where(F.col("__last"))
+             .select(*[F.col(k).alias("__h_" + k) for k in keys], F.col("__bucket").alias("__h_bucket"), "__next"))
+    cond = F.col("__bucket").eqNullSafe(F.col("__h_bucket"))
     for k in keys:
-        c = positioned[k].eqNullSafe(per_pos["__d_" + k])
-        cond = c if cond is None else (cond & c)
-    cond = cond & (positioned["__pos"] == per_pos["__d_pos"])
-    out = positioned.join(per_pos, cond, "left")
-    return out.drop("__pos", "__d_pos", *["__d_" + k for k in keys])
+        cond = cond & F.col(k).eqNullSafe(F.col("__h_" + k))
+    out = rows.join(after, cond, "inner")
+    for n in ahead:
+        # past the end of the bucket: as many places into what follows it
+        beyond = F.get("__next", (F.col("__place") + F.lit(n) - F.col("__size") - F.lit(1)).cast("int"))
+        lead = F.when(F.col("__place") + F.lit(n) <= F.col("__size"), F.col(f"__lead_{n}")).otherwise(beyond)
+        out = out.withColumn(f"__lead_{n}", lead)
+    added = [F.col(f"__lead_{n}")[src].alias(tmpl.format(n=n)) for n in ahead for src, tmpl in values.items()]
+    return out.select(*[F.col(c) for c in df.columns], *added)
 
 
 def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequence[str],
@@ -151,11 +87,10 @@ def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequenc
               .withColumn(row_name, F.row_number().over(w_row).cast("long")))
 
 
-def with_group_salt(df: DataFrame, key: str, spread_by: str, name: str = "__salt",
-                    num_spread: int = 512) -> DataFrame:
-    """Adds the salt column used by :func:`group_window`."""
-    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(num_spread))) \
-            .otherwise(F.lit(0).cast("long"))
+def with_group_salt(df: DataFrame, key: str, spread_by: str, name: str = "__salt") -> DataFrame:
+    """Adds the salt column used by :func:`group_window`: for rows without a
+    group a hash of their own id, so that they spread however many they are."""
+    salt = F.when(F.col(key).isNull(), F.xxhash64(F.col(spread_by))).otherwise(F.lit(0).cast("long"))
     return df.withColumn(name, salt)
 
 

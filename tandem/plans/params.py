@@ -24,9 +24,6 @@ class ReportParams:
     contact_country: str = "IE"
     max_reorder_gap_days: int = 60
     reorder_depth: int = 4
-    # A customer (or the null customer) with more deliveries than this takes
-    # the positional lead path instead of one window partition.
-    hot_group_rows: int | None = 2_000_000
 
     def window(self):
         return dates.date_window(F.lit(self.as_of), self.cutoff, self.floor)

@@ -64,7 +64,7 @@ def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame
         values={"sys_delivery_id": "__id_{n}", "order_date": "__date_{n}",
                 "food_subtotal": "__sub_{n}"},
         depth=depth,
-        hot_rows=p.hot_group_rows,
+        bucket=F.date_trunc("HOUR", F.col("order_datetime")),
     )
     names = reorder_columns(depth)
     out = [F.col("sys_delivery_id")]

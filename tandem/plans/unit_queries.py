@@ -18,7 +18,7 @@ from ..functions import dates as D
 from ..functions.geo import ring_area_km2
 from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, extract_all, token_count
 from ..operators.rollup import with_euro_rate
-from ..operators.windows import dense_and_row_number, latest_per_key
+from ..operators.windows import dense_and_row_number, latest_per_key, lead_chain
 from ..session import ensure_checkpoint_dir
 from ..sources.adapter import TIME_ZONES, driver_catalog
 from . import refunds, reorders, staging, summary, utilisation
@@ -53,11 +53,13 @@ def reorder_chain(spark, sf_dir):
 
 
 def reorder_chain_hot_split(spark, sf_dir):
-    """The same chain with a tiny hot-group threshold, so the null customer
-    and every customer above 8 deliveries take the positional path; the
-    oracle is the plain window."""
-    from dataclasses import replace
-    return reorders.chain(driver_catalog(spark, sf_dir), replace(P, hot_group_rows=8), all_tenants=True)
+    """The skew case of the chain: one group for each tenant, so that a few groups
+    hold all rows; their hours keep them apart."""
+    rows = reorders.delivered_orders(driver_catalog(spark, sf_dir), P, all_tenants=True)
+    return lead_chain(rows.select("tenant_id", "sys_delivery_id", "order_datetime", "food_subtotal"),
+                      ["tenant_id"], ["order_datetime", "sys_delivery_id"],
+                      {"sys_delivery_id": "next_{n}_id", "food_subtotal": "next_{n}_subtotal"}, 4,
+                      F.date_trunc("HOUR", F.col("order_datetime")))
 
 
 def date_window_filter(spark, sf_dir):

@@ -38,6 +38,14 @@ def test_rates_table_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(df)
 
 
-def test_lead_chain_shares_one_window(cat):
+def test_lead_chain_is_one_lazy_plan(spark, cat):
+    """No job runs while the plan is made, and no group is partitioned by its key alone but for the heads."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lead-chain", "plan only")
     text = plan(reorders.chain(cat, P))
-    assert text.count("Window [") <= 2
+    assert len(tracker.getJobIdsForGroup("lead-chain")) == 0
+    assert "__bucket" in text
+
+
+def test_first_legs_come_by_a_join(cat):
+    assert "collect_list" not in plan(staging.build(cat, P))
