@@ -303,23 +303,22 @@ def with_pool_columns(df: DataFrame) -> DataFrame:
 
     One window pass on the pool id (a pool is a courier's few legs; rows
     outside any pool are spread by hash), so no aggregate-and-join-back.  The
-    first-leg value comes as a list of the pool's leg-1 rows, exploded, which
-    is exactly the reference's join to its leg-1 relation (several leg-1 rows
-    give several output rows; none gives one row with null).
+    first-leg value is a left join to the pool's leg-1 rows on the window's own
+    keys, so it adds no exchange to this side (several leg-1 rows give several
+    output rows; none gives one row with null).
     """
     pool = group_window("ccdd_id")
     by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
     seq = F.col("multi_collect_sequence")
     leg2 = seq == F.lit(2)
-    pooled = F.col("ccdd_id").isNotNull()
-    first_legs = F.collect_list(F.when(seq == F.lit(1), F.struct(
-        F.col("deliver_original_total_driving_time_min").alias("v")))).over(pool)
     windowed = (with_group_salt(df, "ccdd_id", "sys_delivery_id")
                 .withColumn("__pool_max_sec", F.max("collect_total_driving_time_min").over(pool) * F.lit(60))
-                .withColumn("__first_legs", first_legs)
                 .withColumn("__prev_sec", F.lag("delivery_total_driving_time_min", 1).over(by_leg) * F.lit(60)))
     pool_max_sec, prev_sec = F.col("__pool_max_sec"), F.col("__prev_sec")
-    no_match = F.array(F.lit(None).cast("struct<v:double>"))
+    first_legs = (with_group_salt(df.where((seq == F.lit(1)) & F.col("ccdd_id").isNotNull()), "ccdd_id", "sys_delivery_id")
+                  .select(F.col("ccdd_id").alias("__of_pool"), F.col("__salt").alias("__of_salt"),
+                          F.col("deliver_original_total_driving_time_min")
+                           .alias("first_order_deliver_original_total_driving_time_min")))
     zero = F.lit(0.0)
     return (windowed
             .withColumn("collect_total_driving_time_sec_max_ccdd", F.when(leg2, pool_max_sec).otherwise(zero))
@@ -327,10 +326,8 @@ def with_pool_columns(df: DataFrame) -> DataFrame:
             .withColumn("pooling_capacity_gains_sec",
                         F.when(leg2, pool_max_sec + F.col("ccdd_courier_analysis_handle_time_sec") - prev_sec)
                          .otherwise(zero))
-            .withColumn("__first_leg", F.explode(
-                F.when(pooled & (F.size("__first_legs") > 0), F.col("__first_legs")).otherwise(no_match)))
-            .withColumn("first_order_deliver_original_total_driving_time_min", F.col("__first_leg.v"))
-            .drop("__first_legs", "__first_leg", "__pool_max_sec", "__prev_sec", "__salt"))
+            .join(first_legs, (F.col("ccdd_id") == F.col("__of_pool")) & (F.col("__salt") == F.col("__of_salt")), "left")
+            .drop("__of_pool", "__of_salt", "__pool_max_sec", "__prev_sec", "__salt"))
 
 
 def build(cat: Catalog, p: ReportParams) -> DataFrame:
@@ -340,14 +337,8 @@ def build(cat: Catalog, p: ReportParams) -> DataFrame:
     # the delivery, as the reference's join-then-group does.
     rej = rejection_flags(cat)
     hold = holding_windows(cat).drop("is_in_hold_container")
-    uuid_to_id = (cat["fact_deliveries"]
-                  .where((F.col("delivery_status") == "DELIVERED") & (F.col("tenant_id") == p.tenant))
-                  .select("delivery_uuid", "sys_delivery_id"))
-    assign = assignment_flags(cat).join(uuid_to_id, "delivery_uuid", "inner").drop("delivery_uuid")
-
-    side = (ds.drop("delivery_uuid")
+    side = (ds.join(assignment_flags(cat), "delivery_uuid", "left").drop("delivery_uuid")
               .join(rej, "sys_delivery_id", "left")
-              .join(assign, "sys_delivery_id", "left")
               .join(hold, "sys_delivery_id", "left")
               .withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy("sys_delivery_id"))))
     for f in REJECTION_FLAGS.values():
