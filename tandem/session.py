@@ -7,6 +7,7 @@ session comes from the launcher; tests and the bench build a local one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not current:
+        if sc is None or not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tandem-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():
