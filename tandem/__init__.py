@@ -7,7 +7,6 @@ sources/    table catalogue, readers, the mart sink, and the adapter that turns
 functions/  column-level helpers (dates and zones, range buckets, text, zone area)
 operators/  DataFrame -> DataFrame building blocks (windows, rollups, joins)
 plans/      the eight marts and the job that builds them in order
-streaming/  nothing: the reporting job is a daily full rebuild
 """
 
 __all__ = ["session"]

@@ -8,6 +8,8 @@ point equals the first).  The area uses the polygon-on-a-sphere formula
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ def ring_area_m2(ring: Column) -> Column:
     def edge(i):
         p, q = F.get(ring, i - F.lit(1)), F.get(ring, i)
         dlon = F.radians(q["lon"]) - F.radians(p["lon"])
+        dlon = dlon - F.round(dlon / F.lit(2 * math.pi)) * F.lit(2 * math.pi)  # the short way, across 180 degrees too
         return dlon * (F.lit(2.0) + F.sin(F.radians(p["lat"])) + F.sin(F.radians(q["lat"])))
 
     total = F.aggregate(F.transform(idx, edge), F.lit(0.0), lambda acc, x: acc + x)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +26,15 @@ FOOD_QUALITY_LIKES = ["%food_quality%", "%quality_of_food%"]
 SATELLITE_ZONE_LIKE = "SAT - %"
 
 
+# Full-width forms of the printable ASCII characters, and the wide space.
+_WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "\u3000"
+_PLAIN = "".join(map(chr, range(0x21, 0x7F))) + " "
+
+
 def contains_ci(text: Column, word: str) -> Column:
-    """Case-insensitive substring test; null text gives null."""
-    return F.contains(F.lower(text), F.lit(word.lower()))
+    """Substring test without regard to case or character width; null text gives null."""
+    folded = F.lower(F.translate(text, _WIDE, _PLAIN))
+    return F.contains(folded, F.lit(unicodedata.normalize("NFKC", word).lower()))
 
 
 def contains_any_ci(text: Column, words) -> Column:

@@ -1,44 +1,10 @@
-"""Join helpers that keep a hot or null key from landing in one task."""
+"""Join helpers."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# How many tasks rows with a null join key are spread over.  Null never
-# matches, so where those rows go does not change the result.
-NULL_SPREAD = 512
-
-
-def spread_key(key: Column, spread_by: Sequence[Column]) -> Column:
-    """A never-null stand-in for ``key``: the key itself, or for a null key a
-    struct that cannot equal any real key and is spread by a hash."""
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD))
-    return F.when(key.isNull(), F.struct(F.lit(True).alias("n"), salt.cast("long").alias("v"))) \
-            .otherwise(F.struct(F.lit(False).alias("n"), key.cast("long").alias("v")))
-
-
-def left_join_on_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                          spread_by: Sequence[str]) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` where many left rows have
-    a null key (e.g. deliveries outside any pool).
-
-    A plain shuffle join sends every null-key row to one partition.  Here the
-    join runs on a struct key that is never null: a null left key becomes a
-    hashed salt flagged as "null", so those rows spread over ``NULL_SPREAD``
-    partitions and still match nothing.
-    """
-    lk = "__jk"
-    l2 = left.withColumn(lk, spread_key(F.col(left_key), [F.col(c) for c in spread_by]))
-    r2 = (right.where(F.col(right_key).isNotNull())
-               .withColumn(lk, F.struct(F.lit(False).alias("n"), F.col(right_key).cast("long").alias("v"))))
-    if right_key == left_key:
-        r2 = r2.drop(right_key)
-    return l2.join(r2, lk, "left").drop(lk)
-
-
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast hint for a relation whose size is fixed by construction
     (a literal table).  Dimension tables are left to Spark, which broadcasts
