@@ -69,7 +69,7 @@ class Measure:
         self.size = self.model.vocab_size()
         self.of_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
         self.letters = re.compile("|".join(f"([{x}]+)" for x in SCRIPTS.values())).finditer
-        self.known = Memo(lambda w: self._words([w])[w], 100_000)
+        self.known = Memo(lambda w: self._words([w])[w], 400_000)
 
     def _script(self, word: str) -> tuple[int, int]:
         """The script of most of a word's letters and how many they are; -1 if it has none."""
