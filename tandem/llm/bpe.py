@@ -245,18 +245,19 @@ def _groups(texts: Iterable[str | None], size: int = 3_000_000) -> Iterator[list
 
 
 @lru_cache(maxsize=2)
-def _codec(shared, pattern: str) -> TextCodec:
+def _codec(shared, pattern: str, cache: int) -> TextCodec:
     ranks, splits = shared.value
-    return TextCodec(Vocabulary(ranks, splits), pattern)
+    return TextCodec(Vocabulary(ranks, splits), pattern, cache)
 
 
 def encoded(text: Column, spark, path: str | None = None, pattern: str | None = None,
-            fields: tuple[str, ...] = ("n_tokens", "ids")) -> Column:
+            fields: tuple[str, ...] = ("n_tokens", "ids"), cache: int = 150_000) -> Column:
     """A struct of ``fields`` (of `FIELDS`) for each text.
 
     The vocabulary (one file of fixed size) is read on the driver, its splits are
     worked out once, and both are broadcast.  Null and empty texts have no tokens;
-    ids and decoded bytes are then empty.  Rows are independent of each other, so
+    ids and decoded bytes are then empty.  A worker keeps the encoding of twice ``cache``
+    chunks at most (some 200 bytes each).  Rows are independent of each other, so
     ties, repeated rows and other columns do not matter; an empty table gives none.
     """
     ranks = read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -266,7 +267,7 @@ def encoded(text: Column, spark, path: str | None = None, pattern: str | None =
 
     @vector_udf(kind)
     def run(texts: pd.Series) -> pd.DataFrame:
-        codec = _codec(shared, pattern)
+        codec = _codec(shared, pattern, cache)
         decode, name = codec.vocabulary.decode, codec.names.__getitem__
         make = {
             "n_tokens": len,
@@ -285,5 +286,5 @@ def encoded(text: Column, spark, path: str | None = None, pattern: str | None =
 
 def op2(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded bytes of every document."""
-    got = encoded(F.col("text"), docs.sparkSession, path, fields=("n_tokens", "ids_sha256", "decoded_sha256"))
+    got = encoded(F.col("text"), docs.sparkSession, path, fields=("n_tokens", "ids_sha256", "decoded_sha256"), cache=400_000)
     return docs.select("doc_id", got.alias("bpe")).select("doc_id", "bpe.*")
