@@ -9,10 +9,8 @@ each measure, and the documents far from it are rejected.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,11 +19,10 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, stored, vector_udf
+from .common import stored, vector_udf
 
-# [^\x20\x09-\x0D]+ : split at these seven code points only
-WORDS = re.compile("[^\x20\x09-\x0d]+").findall
-SYMBOLS = re.compile(r"[#*$%&|<>]+").findall
+SEPARATORS = "\t\n\x0b\x0c\r "  # words are runs of other code points; `bytes.split` cuts at just these
+SYMBOLS = "#*$%&|<>"
 
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 #: Rejected: under a part of the script's median, over a multiple of it, or (for the
@@ -33,82 +30,120 @@ MEASURES = ("chars_per_token", "byte_share", "entropy")
 BANDS = {"chars_per_token": (0.4, 2.5), "byte_share": 0.25, "entropy": 0.5}
 BIN = 1 / 200  # width of the histograms' bins; the medians are exact to one bin
 
+#: First and last letters of each script's blocks.
 SCRIPTS = {
-    "latin": "a-zA-ZÀ-ɏ", "greek": "Ͱ-Ͽ", "cyrillic": "Ѐ-ӿ",
-    "hebrew": "֐-׿", "arabic": "؀-ۿ", "indic": "ऀ-෿", "thai": "฀-๿",
-    "kana": "぀-ヿ", "han": "㐀-鿿", "hangul": "가-힯",
+    "latin": ("az", "AZ", "Àɏ"), "greek": ("Ͱ\u03ff",), "cyrillic": ("Ѐӿ",), "hebrew": ("\u0590\u05ff",),
+    "arabic": ("\u0600ۿ",), "indic": ("\u0900\u0dff",), "thai": ("\u0e00\u0e7f",), "kana": ("\u3040ヿ",),
+    "han": ("㐀\u9fff",), "hangul": ("가\ud7af",),
 }
+SYMBOL, SEPARATOR = len(SCRIPTS) + 1, len(SCRIPTS) + 2
+#: Of each code point: 0, or the place of its script counted from 1, or SYMBOL, or SEPARATOR.
+KIND = np.zeros(0x110000, np.uint8)
+for _place, _blocks in enumerate(SCRIPTS.values(), 1):
+    for _first, _last in _blocks:
+        KIND[ord(_first):ord(_last) + 1] = _place
+KIND[[ord(x) for x in SYMBOLS]] = SYMBOL
+KIND[[ord(x) for x in SEPARATORS]] = SEPARATOR
 
 
 def repeated_words(ids: np.ndarray, width: int = 5) -> int:
-    """Words in windows of ``width`` words that occur twice or more; ``ids`` number the words."""
+    """Words in windows of ``width`` words that occur twice or more; ``ids`` number the words.
+
+    Windows with a hash of their own are unique; the others are compared exactly."""
     n = len(ids) - width + 1
     if n < 2:
         return 0
-    window = ids[:n].astype(np.int64)
-    for k in range(1, width):  # exact: each pair (window so far, next word) gets a number of its own
-        window = np.unique(window * np.int64(len(ids) + 1) + ids[k:k + n], return_inverse=True)[1]
-        if len(window) == window.max() + 1:
-            return 0  # no two are equal so far, so no longer ones are
-    often = np.bincount(window)[window] > 1
+    ids = ids.astype(np.int64)
+    hashed = ids[:n].copy()
+    for k in range(1, width):
+        hashed *= np.int64(6364136223846793005)
+        hashed += ids[k:k + n]
+    ordered = np.sort(hashed)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    at = np.flatnonzero(np.isin(hashed, twice))
+    window = ids[at]
+    for k in range(1, width):  # each pair (window so far, next word) gets a number of its own
+        step = np.unique(ids[at + k], return_inverse=True)[1]
+        window = np.unique(window, return_inverse=True)[1] * np.int64(len(at) + 1) + step
+    window = np.unique(window, return_inverse=True)[1]
+    at = at[np.bincount(window)[window] > 1]
     edge = np.zeros(len(ids) + 1, np.int64)
-    np.add.at(edge, np.flatnonzero(often), 1)
-    np.add.at(edge, np.flatnonzero(often) + width, -1)
+    edge[at] += 1  # no place occurs twice in ``at``
+    edge[at + width] -= 1
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
 def duplicate_lines(text: str) -> int:
     """Lines with a word that equal an earlier line."""
-    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    lines = [x for x in text.split("\n") if x.strip(SEPARATORS)]
     return len(lines) - len(set(lines))
 
 
+class Numbers(dict):
+    """Numbers words in the order they are first asked for; ``new`` holds those not encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self)
+        self.new.append(word)
+        return at
+
+
 class Measure:
-    def __init__(self, path: str):
+    """Measures texts.  The tokens of words seen before are kept, end to end in one array;
+    at ``max_words`` words they are forgotten.  Only speed depends on that, no result."""
+
+    def __init__(self, path: str, max_words: int = 1_000_000):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = self.model.vocab_size()
         self.of_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.letters = re.compile("|".join(f"([{x}]+)" for x in SCRIPTS.values())).finditer
-        self.known = Memo(lambda w: self._words([w])[w], 400_000)
-
-    def _script(self, word: str) -> tuple[int, int]:
-        """The script of most of a word's letters and how many they are; -1 if it has none."""
-        if word.isascii():
-            n = len(word) if word.isalpha() else sum(map(str.isalpha, word))
-            return (0, n) if n else (-1, 0)
-        per = [0] * len(SCRIPTS)
-        for m in self.letters(word):
-            per[m.lastindex - 1] += m.end() - m.start()
-        return (per.index(max(per)), max(per)) if max(per) else (-1, 0)
-
-    def _words(self, words: list[str]) -> dict[str, tuple]:
-        """Of each word: its tokens, their number, its script and its letters of that script."""
-        return {w: (tuple(ids), len(ids), *self._script(w)) for w, ids in zip(words, self.model.encode(words, num_threads=1))}
+        self.max_words = max_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number, self.tokens, self.ends = Numbers(), array("i"), array("q", [0])
+
+    def _learn(self) -> None:
+        end = len(self.tokens)
+        for ids in self.model.encode(self.number.new, num_threads=1):
+            self.tokens.extend(ids)
+            end += len(ids)
+            self.ends.append(end)
+        self.number.new = []
+
+    def _token_counts(self, ids: np.ndarray) -> np.ndarray:
+        """How often each token of the vocabulary occurs in the words ``ids``."""
+        words, times = np.unique(ids, return_counts=True)
+        ends = np.frombuffer(self.ends, np.int64)
+        start, size = ends[words], ends[words + 1] - ends[words]
+        before = np.cumsum(size) - size
+        at = np.repeat(start - before, size) + np.arange(size.sum())
+        return np.bincount(np.frombuffer(self.tokens, np.intc)[at], np.repeat(times, size), self.size)
 
     def row(self, text: str) -> tuple:
-        words = WORDS(text)
-        counts = Counter(words)
-        n = len(words)
+        words = text.encode().split()
+        kinds = np.bincount(KIND[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=SEPARATOR + 1)
+        n, symbols, lines = len(words), int(kinds[SYMBOL]), duplicate_lines(text)
         if not n:
-            return (0, 0, len("".join(SYMBOLS(text))), duplicate_lines(text), 0, "none", 0, 0.0, 0.0, 0.0)
-        repeated = 0
-        if len(counts) < n:
-            number = {w: i for i, w in enumerate(counts)}
-            repeated = repeated_words(np.fromiter(map(number.__getitem__, words), np.int64, n))
-        known = self.known
-        if new := [w for w in counts if w not in known and w not in known.older]:
-            known.learn(self._words(new))
-        tokens, sizes, scripts, letters = zip(*map(known.__getitem__, counts))
-        times = np.fromiter(counts.values(), np.int64, len(counts))
-        flat = np.fromiter(chain.from_iterable(tokens), np.int64, sum(sizes))
-        per_token = np.bincount(flat, np.repeat(times, sizes), self.size)
+            return (0, 0, symbols, lines, 0, "none", 0, 0.0, 0.0, 0.0)
+        if len(self.number) >= self.max_words:
+            self._forget()
+        ids = np.fromiter(map(self.number.__getitem__, words), np.int64, n)
+        if self.number.new:
+            self._learn()
+        per_token = self._token_counts(ids)
         n_tokens = int(per_token.sum())
-        per_script = np.bincount(np.array(scripts) + 1, times * np.array(letters), len(SCRIPTS) + 1)
-        script = [*SCRIPTS][int(per_script[1:].argmax())] if per_script[1:].any() else "none"
+        letters = kinds[1:SYMBOL]
+        script = [*SCRIPTS][int(letters.argmax())] if letters.any() else "none"
         p = per_token[per_token > 0] / n_tokens
         most = np.log(min(n_tokens, self.size)) if n_tokens > 1 else 1.0
-        chars = sum(map(len, words))
-        return (n, chars, len("".join(SYMBOLS(text))), duplicate_lines(text), repeated, script, n_tokens, chars / n_tokens,
+        chars = len(text) - int(kinds[SEPARATOR])
+        return (n, chars, symbols, lines, repeated_words(ids), script, n_tokens, chars / n_tokens,
                 float(per_token[self.of_byte].sum() / n_tokens), float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
 
 
