@@ -18,6 +18,12 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def hour_of(name: str) -> Column:
+    """The hour of a wall time, as a text that sorts like the time and does
+    not depend on the session's zone: a bucket for long groups."""
+    return F.substring(F.col(name).cast("string"), 1, 13)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order_desc`` tuple
     (``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order DESC) = 1``).
@@ -75,16 +81,44 @@ def lead_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def dense_and_row_number(df: DataFrame, group: Sequence[str], sub_group: Sequence[str],
-                         order: Sequence[Column], row_name: str, dense_name: str,
+                         order: Sequence[Column], row_name: str, dense_name: str, bucket: Column,
                          row_tiebreak: Sequence[Column] = ()) -> DataFrame:
     """``ROW_NUMBER`` within (group, sub_group) and ``DENSE_RANK`` within group,
-    both by ``order``; ``row_tiebreak`` makes the row numbers repeatable."""
-    w_row = Window.partitionBy(*group, *sub_group).orderBy(*order, *row_tiebreak)
-    w_dense = Window.partitionBy(*group).orderBy(*order)
-    # The coarser window first: its hash partitioning on ``group`` also
-    # serves the finer one, so both share one exchange.
-    return (df.withColumn(dense_name, F.dense_rank().over(w_dense).cast("long"))
-              .withColumn(row_name, F.row_number().over(w_row).cast("long")))
+    both by ``order``; ``row_tiebreak`` makes the row numbers repeatable.
+
+    ``bucket`` must not decrease along ``order`` and must be equal for rows
+    equal in it (e.g. the hour of the time ordered by; nulls first, as Spark
+    sorts them).  One plan for groups of any size, the null group included:
+    numbers are taken within (group, bucket), and each bucket adds the totals
+    of the buckets before it, a window over one row per bucket and sub-group.
+    """
+    inside = Window.partitionBy(*group, "__bucket")
+    sub = Window.partitionBy(*group, *sub_group, "__bucket").orderBy(*order, *row_tiebreak)
+    # The coarser windows first: their hash partitioning also serves the finer one.
+    rows = (df.withColumn("__bucket", bucket)
+              .withColumn("__dense", F.dense_rank().over(inside.orderBy(*order)).cast("long"))
+              .withColumn("__dense_all", F.max("__dense").over(inside))
+              .withColumn("__row", F.row_number().over(sub).cast("long")))
+
+    keys = [*group, *sub_group, "__bucket"]
+    totals = (rows.groupBy(*keys).agg(F.max("__row").alias("__n_rows"), F.max("__dense_all").alias("__n_dense"))
+              # a bucket's ranks count once, not once for every sub-group in it
+              .withColumn("__first", F.row_number().over(inside.orderBy(*sub_group)) == F.lit(1)))
+    along = F.col("__bucket").asc_nulls_first()
+    ranks = F.sum(F.when(F.col("__first"), F.col("__n_dense")).otherwise(F.lit(0))).over(
+        Window.partitionBy(*group).orderBy(along).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    numbers = F.sum("__n_rows").over(
+        Window.partitionBy(*group, *sub_group).orderBy(along).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    before = totals.select(*[F.col(k).alias("__b_" + k) for k in keys],
+                           (ranks - F.col("__n_dense")).alias("__dense_before"),
+                           (numbers - F.col("__n_rows")).alias("__rows_before"))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col("__b_" + k))
+    return (rows.join(before, cond, "inner")
+                .select(*[F.col(c) for c in df.columns],
+                        (F.col("__dense") + F.col("__dense_before")).alias(dense_name),
+                        (F.col("__row") + F.col("__rows_before")).alias(row_name)))
 
 
 def with_group_salt(df: DataFrame, key: str, spread_by: str, name: str = "__salt") -> DataFrame:

@@ -10,20 +10,25 @@ Order (the reference's real read edges, not its declared ones):
 Reading a written mart back cuts the lineage, so an executor lost in a later
 mart never recomputes an earlier one.
 
-Usage: python -m tandem.plans.job --sf-dir /root/testdata/sf0.1 --out <folder> [--as-of 2001-08-02]
+Usage: python -m tandem.plans.job --inputs <paths.json> --out <folder> [--as-of 2024-05-01]
+       python -m tandem.plans.job --sf-dir /root/testdata/sf0.1 --out <folder> [--as-of 2001-08-02]
+
+``paths.json`` maps every input name of :mod:`tandem.sources.catalog` to a
+Parquet path or glob; the run date is then today unless given.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import json
 import os
 import time
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.catalog import Catalog
+from ..sources.catalog import INPUTS, Catalog, parquet_catalog
 from ..sources.sink import overwrite_mart
 from . import refunds, reorders, staging, summary, tickets, utilisation
 from .params import FIXTURE_PARAMS, ReportParams
@@ -67,18 +72,35 @@ def build_all(spark: SparkSession, cat: Catalog, p: ReportParams, out_root: str,
     return paths
 
 
+def read_paths(file: str) -> dict[str, str]:
+    """Input name -> path from a JSON file; every input must be named."""
+    with open(file, encoding="utf-8") as f:
+        paths = json.load(f)
+    missing = [n for n in INPUTS if n not in paths]
+    if missing:
+        raise ValueError(f"{file} names no path for {', '.join(missing)}")
+    return paths
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True, help="driver tables to derive the inputs from")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--inputs", help="JSON file: input name -> Parquet path or glob")
+    source.add_argument("--sf-dir", help="driver tables to derive the inputs from")
     ap.add_argument("--out", required=True, help="folder the marts are written to")
-    ap.add_argument("--as-of", default=None, help="run date (default: the fixture's run date)")
+    ap.add_argument("--as-of", type=_dt.date.fromisoformat,
+                    help="run date (default: today; with --sf-dir the fixture's run date)")
     args = ap.parse_args(argv)
     from ..session import local_session
-    from ..sources.adapter import driver_catalog
     spark = SparkSession.getActiveSession() or local_session()
-    p = FIXTURE_PARAMS if args.as_of is None else replace(
-        FIXTURE_PARAMS, as_of=_dt.date.fromisoformat(args.as_of))
-    build_all(spark, driver_catalog(spark, args.sf_dir), p, os.path.abspath(args.out))
+    if args.inputs:
+        cat, p = parquet_catalog(spark, read_paths(args.inputs)), ReportParams(as_of=args.as_of or _dt.date.today())
+    else:
+        from ..sources.adapter import driver_catalog
+        cat = driver_catalog(spark, args.sf_dir)
+        p = replace(FIXTURE_PARAMS, as_of=args.as_of or FIXTURE_PARAMS.as_of)
+    out = args.out if "://" in args.out else os.path.abspath(args.out)
+    build_all(spark, cat, p, out)
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ from ..functions.text import (DELIVERY_SERVICE_WORD, FOOD_QUALITY_LIKES, FOOD_QU
                               LATE_ORDER_LIKES, MISSING_ITEM_WORDS, contains_any_ci, contains_ci,
                               is_mcdonalds, like_any)
 from ..operators.rollup import contact_flag, distinct_counts, refund_rollup
-from ..operators.windows import dense_and_row_number
+from ..operators.windows import dense_and_row_number, hour_of
 from ..sources.catalog import Catalog
 from .params import ReportParams
 
@@ -139,7 +139,7 @@ def refund_detail(cat: Catalog, p: ReportParams) -> DataFrame:
     # orders by payment time only (equal times share a rank).
     seq = dense_and_row_number(lvl1, ["del_key"], ["record_rank"], [F.col("payment_utc")],
                                "payment_sequence", "payment_sequence_dense_rank",
-                               row_tiebreak=[F.col("sys_order_id")])
+                               bucket=hour_of("payment_utc"), row_tiebreak=[F.col("sys_order_id")])
     seq = seq.withColumn("non_dup_record_flag", F.col("record_rank") == F.lit(1))
     return seq.select(*DETAIL_COLUMNS)
 

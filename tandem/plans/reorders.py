@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_diff
-from ..operators.windows import lead_chain
+from ..operators.windows import hour_of, lead_chain
 from ..sources.catalog import Catalog
 from .params import ReportParams
 
@@ -64,7 +64,7 @@ def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame
         values={"sys_delivery_id": "__id_{n}", "order_date": "__date_{n}",
                 "food_subtotal": "__sub_{n}"},
         depth=depth,
-        bucket=F.date_trunc("HOUR", F.col("order_datetime")),
+        bucket=hour_of("order_datetime"),
     )
     names = reorder_columns(depth)
     out = [F.col("sys_delivery_id")]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators.rollup import wide_rollup, with_euro_rate
-from ..operators.windows import group_window, with_group_salt
+from ..operators.windows import group_window, latest_per_key, with_group_salt
 from ..sources.catalog import Catalog
 from .reorders import ORDINALS
 
@@ -49,6 +49,7 @@ MINUTE_SUMS = [
     ("accept_to_drive_to_resto_mins_sum", "accept_to_drive_to_resto_sec"),
     ("accept_to_arrive_at_resto_mins_sum", "accept_to_arrive_at_resto_sec"),
 ]
+POOL_TIME = "pooling_kpi_sec"
 LOCAL_SUMS = [
     ("collect_delay_mins_sum", "collect_delay"),
     ("courier_pay_without_tips_sum", "courier_pay_without_tips"),
@@ -68,21 +69,26 @@ def rejection_counts(cat: Catalog) -> DataFrame:
     return bc.groupBy("sys_delivery_id").agg(F.count_distinct("sys_courier_id").alias("rejections_count"))
 
 
+POOL_TIMES = ["assignment_time_gap_sec", "accepted_time_gap_sec", POOL_TIME]
+
+
 def with_pooling_kpi(ds: DataFrame) -> DataFrame:
-    """Adds, per staging row: gaps to the previous leg's assignment and
-    acceptance, and the time from the pool's first drive-off (its first
-    pooled leg) to this leg's parking, in UTC.
+    """Per staging row its delivery, its pool, the gaps to the previous leg's
+    assignment and acceptance, and the time from the pool's first drive-off
+    (its first pooled leg) to this leg's parking, in UTC.
 
-    One window pass on the pool id (unpooled rows spread by hash; the
-    reference's joins give them nulls, as here).  Equal to the reference's
-    join-back when each delivery has one staging row.
+    Only the columns used here pass the window on the pool id (unpooled rows
+    spread by hash; they have no times, as in the reference's joins).
     """
     pool = group_window("ccdd_id")
-    by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
+    by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id", "collect_assigned_time_local",
+                          "collect_accepted_time_local")
     pooled = F.col("ccdd_id").isNotNull()
     lead_leg = (F.col("is_multi_collect") == 1) & (F.col("multi_collect_sequence") == 1)
-    tz = F.col("timezone")
-    w = (with_group_salt(ds, "ccdd_id", "sys_delivery_id")
+    narrow = ds.select("sys_delivery_id", "ccdd_id", "is_multi_collect", "multi_collect_sequence", "timezone",
+                       "collect_assigned_time_local", "collect_accepted_time_local",
+                       "delivery_in_transit_time_local", "delivery_begin_parking_time_local")
+    w = (with_group_salt(narrow, "ccdd_id", "sys_delivery_id")
          .withColumn("__first_drive", F.min(F.when(lead_leg, F.col("delivery_in_transit_time_local"))).over(pool))
          .withColumn("__prev_assigned", F.lag("collect_assigned_time_local").over(by_leg))
          .withColumn("__prev_accepted", F.lag("collect_accepted_time_local").over(by_leg)))
@@ -90,14 +96,42 @@ def with_pooling_kpi(ds: DataFrame) -> DataFrame:
     def gap(c: str, prev: str) -> Column:
         return F.when(pooled, F.abs(D.boundary_diff(F.col(c), F.col(prev))))
 
-    return (w.withColumn("assignment_time_gap_sec", gap("collect_assigned_time_local", "__prev_assigned"))
-             .withColumn("accepted_time_gap_sec", gap("collect_accepted_time_local", "__prev_accepted"))
-             .withColumn("pooling_kpi_sec", F.when(pooled, D.elapsed_sec(
-                 F.col("delivery_begin_parking_time_local"), F.col("__first_drive"), tz)))
-             .drop("__salt", "__first_drive", "__prev_assigned", "__prev_accepted"))
+    times = {
+        "assignment_time_gap_sec": gap("collect_assigned_time_local", "__prev_assigned"),
+        "accepted_time_gap_sec": gap("collect_accepted_time_local", "__prev_accepted"),
+        "pooling_kpi_sec": F.when(pooled, D.elapsed_sec(
+            F.col("delivery_begin_parking_time_local"), F.col("__first_drive"), F.col("timezone"))),
+    }
+    return w.select("sys_delivery_id", "ccdd_id", *[times[n].alias(n) for n in POOL_TIMES])
+
+
+def pool_times(ds: DataFrame) -> DataFrame:
+    """Per delivery id: the totals of its rows' pool times, with ``__copies``,
+    the number of rows they stand for.
+
+    The reference joins the staging rows of a delivery to each other, twice
+    where they name a pool: k rows of one delivery and pool stand for k x k
+    rows, a row without a pool for one.  Every measure is a sum, so the totals
+    and the number of rows replace that fan-out; with one staging row per
+    delivery the number is 1.
+    """
+    # placed by delivery once: serves both groupings and the join
+    per_pool = (with_pooling_kpi(ds).repartition("sys_delivery_id").groupBy("sys_delivery_id", "ccdd_id")
+                .agg(F.count(F.lit(1)).alias("__k"), *[F.sum(n).alias(n) for n in POOL_TIMES])
+                .withColumn("__each", F.when(F.col("ccdd_id").isNotNull(), F.col("__k")).otherwise(F.lit(1))))
+    return per_pool.groupBy("sys_delivery_id").agg(
+        F.sum(F.col("__k") * F.col("__each")).alias("__copies"),
+        *[F.sum(F.col(n) * F.col("__each")).alias(n) for n in POOL_TIMES])
 
 
 def measures() -> list[Column]:
+    """The 53 measures over the joined rows, of which each stands for
+    ``__copies`` rows; the pool times are totals over those rows already."""
+    copies = F.col("__copies")
+
+    def total(x: Column) -> Column:
+        return F.sum(x * copies)
+
     pooled = F.col("is_multi_collect") == 1
     out = [
         # Distinct deliveries, and two filtered variants of the same count:
@@ -109,24 +143,25 @@ def measures() -> list[Column]:
         (F.sum(F.when(pooled, _z("accepted_time_gap_sec")).otherwise(F.lit(0))) / F.lit(60.0))
         .alias("acceptance_time_gap_mins_sum"),
     ]
-    out += [(F.sum(_z(src)) / F.lit(60.0)).alias(name) for name, src in MINUTE_SUMS]
-    out += [F.sum(_z(src)).alias(name) for name, src in LOCAL_SUMS]
+    out += [((F.sum(_z(src)) if src == POOL_TIME else total(_z(src))) / F.lit(60.0)).alias(name)
+            for name, src in MINUTE_SUMS]
+    out += [total(_z(src)).alias(name) for name, src in LOCAL_SUMS]
     out += [
-        F.sum(_z("rejections_count")).alias("rejections_sum"),
+        total(_z("rejections_count")).alias("rejections_sum"),
         F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rejections_count > 0)").alias("rejected_offer_count"),
-        F.sum(_z("food_subtotal")).alias("food_subtotal"),
+        total(_z("food_subtotal")).alias("food_subtotal"),
     ]
-    out += [F.sum(_z(a)).alias(a) for a in ADJUSTMENTS]
+    out += [total(_z(a)).alias(a) for a in ADJUSTMENTS]
     cost = _z("courier_pay_without_tips_or_courier_adjustments") - _z("company_net_adjustment_sum")
-    out.append(F.sum(cost).alias("total_order_cost_sum"))
+    out.append(total(cost).alias("total_order_cost_sum"))
     rate = F.col("local_currency_to_euros")
     out += [
-        F.sum(_z("courier_pay_without_tips") / rate).alias("courier_pay_without_tips_euros_sum"),
-        F.sum(_z("courier_pay_without_tips_or_courier_adjustments") / rate)
+        total(_z("courier_pay_without_tips") / rate).alias("courier_pay_without_tips_euros_sum"),
+        total(_z("courier_pay_without_tips_or_courier_adjustments") / rate)
         .alias("courier_pay_without_tips_or_courier_adjustments_euros_sum"),
     ]
-    out += [F.sum(_z(a) / rate).alias(a.replace("_sum", "_euros_sum")) for a in ADJUSTMENTS]
-    out.append(F.sum(cost / rate).alias("total_order_cost_euros_sum"))
+    out += [total(_z(a) / rate).alias(a.replace("_sum", "_euros_sum")) for a in ADJUSTMENTS]
+    out.append(total(cost / rate).alias("total_order_cost_euros_sum"))
     out += [
         # rc_sys_delivery_id equals sys_delivery_id wherever the join matched
         F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rc_sys_delivery_id IS NOT NULL)")
@@ -136,31 +171,38 @@ def measures() -> list[Column]:
     for name in ORDINALS:
         out += [
             F.coalesce(F.count_distinct(f"rc_{name}_reorder_sys_delivery_id"), F.lit(0)).alias(f"{name}_reorders_count"),
-            F.coalesce(F.sum(f"rc_days_between_{prev}_and_{name}_reorder"), F.lit(0)).alias(f"{name}_reorder_days_sum"),
-            F.coalesce(F.sum(f"rc_{name}_reorder_food_subtotal"), F.lit(0)).alias(f"{name}_reorder_food_subtotal"),
+            F.coalesce(total(F.col(f"rc_days_between_{prev}_and_{name}_reorder")), F.lit(0)).alias(f"{name}_reorder_days_sum"),
+            F.coalesce(total(F.col(f"rc_{name}_reorder_food_subtotal")), F.lit(0)).alias(f"{name}_reorder_food_subtotal"),
         ]
         prev = f"{name}_reorder"
     out += [
-        F.sum(_z("collect_accessibility_minutes")).alias("restaurant_accessibility_time_mins"),
-        F.sum(_z("courier_pay_without_tips") - _z("company_net_adjustment_sum") - _z("custo_net_adjustment_sum"))
+        total(_z("collect_accessibility_minutes")).alias("restaurant_accessibility_time_mins"),
+        total(_z("courier_pay_without_tips") - _z("company_net_adjustment_sum") - _z("custo_net_adjustment_sum"))
         .alias("total_order_cost_less_customer_refunds_sum"),
-        F.sum(F.when(F.col("is_score_positive") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+        total(F.when(F.col("is_score_positive") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long"))
         .alias("positive_scores_count"),
-        F.sum(F.when(F.col("is_score_positive") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+        total(F.when(F.col("is_score_positive") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
         .alias("non_positive_scores_count"),
     ]
     return out
 
 
 def build(cat: Catalog, spark: SparkSession, staging_mart: DataFrame, reorder_mart: DataFrame,
-          ticket_mart: DataFrame) -> DataFrame:
+          ticket_mart: DataFrame, dedupe: bool = False) -> DataFrame:
+    """The mart.  A delivery with several staging rows counts in every sum as
+    often as the reference's joins repeat it; ``dedupe=True`` instead keeps one
+    staging row per delivery, the last by pool, leg and assignment."""
     ds = staging_mart
+    if dedupe:
+        ds = latest_per_key(ds, ["sys_delivery_id"], ["ccdd_id", "multi_collect_sequence",
+                                                      "collect_assigned_time_local", "collect_accepted_time_local"])
+    pt = pool_times(ds).withColumnRenamed("sys_delivery_id", "pt_sys_delivery_id")
     rc = reorder_mart.select(*[F.col(c).alias("rc_" + c) for c in reorder_mart.columns])
     ti = ticket_mart.select(F.col("sys_delivery_id").alias("ti_sys_delivery_id"),
                             F.col("has_ticket").alias("ti_has_ticket"))
     rj = rejection_counts(cat).withColumnRenamed("sys_delivery_id", "rj_sys_delivery_id")
     did = F.col("sys_delivery_id")
-    joined = (with_pooling_kpi(ds)
+    joined = (ds.join(pt, did == F.col("pt_sys_delivery_id"), "inner")
                 .join(rj, did == F.col("rj_sys_delivery_id"), "left")
                 .join(rc, did == F.col("rc_sys_delivery_id"), "left")
                 .join(ti, did == F.col("ti_sys_delivery_id"), "left"))

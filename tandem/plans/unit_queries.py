@@ -18,7 +18,7 @@ from ..functions import dates as D
 from ..functions.geo import ring_area_km2
 from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, extract_all, token_count
 from ..operators.rollup import with_euro_rate
-from ..operators.windows import dense_and_row_number, latest_per_key, lead_chain
+from ..operators.windows import dense_and_row_number, hour_of, latest_per_key, lead_chain
 from ..session import ensure_checkpoint_dir
 from ..sources.adapter import TIME_ZONES, driver_catalog
 from . import refunds, reorders, staging, summary, utilisation
@@ -59,7 +59,7 @@ def reorder_chain_hot_split(spark, sf_dir):
     return lead_chain(rows.select("tenant_id", "sys_delivery_id", "order_datetime", "food_subtotal"),
                       ["tenant_id"], ["order_datetime", "sys_delivery_id"],
                       {"sys_delivery_id": "next_{n}_id", "food_subtotal": "next_{n}_subtotal"}, 4,
-                      F.date_trunc("HOUR", F.col("order_datetime")))
+                      hour_of("order_datetime"))
 
 
 def date_window_filter(spark, sf_dir):
@@ -94,7 +94,7 @@ def payment_sequence(spark, sf_dir):
         Window.partitionBy("sys_order_id").orderBy("payment_utc", "del_key")).cast("long"))
     return dense_and_row_number(d, ["del_key"], ["record_rank"], [F.col("payment_utc")],
                                 "payment_sequence", "payment_sequence_dense_rank",
-                                row_tiebreak=[F.col("sys_order_id")])
+                                bucket=hour_of("payment_utc"), row_tiebreak=[F.col("sys_order_id")])
 
 
 def pool_gain(spark, sf_dir):

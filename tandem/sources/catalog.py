@@ -63,5 +63,12 @@ class Catalog:
 
 
 def parquet_catalog(spark: SparkSession, paths: Mapping[str, str]) -> Catalog:
-    """Catalogue over Parquet paths or globs (one glob = a whole table family)."""
-    return Catalog(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
+    """Catalogue over Parquet paths or globs (one glob = a whole table family).
+
+    The members of a family may differ in columns: a glob is read with the
+    union of their schemas, nulls where a member lacks a column.
+    """
+    def load(path: str) -> DataFrame:
+        return spark.read.option("mergeSchema", str("*" in path).lower()).parquet(path)
+
+    return Catalog(spark, {n: (lambda p=p: load(p)) for n, p in paths.items()})

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -19,6 +20,9 @@ def overwrite_mart(df: DataFrame, root: str, name: str, schema: StructType | Non
     first rebalanced on those columns: AQE then sizes the output partitions,
     splitting a value that holds many rows over several tasks instead of one,
     and merging small ones, so each task writes few, reasonably sized files.
+
+    The new table is written beside the old one and takes its place by renames
+    once it is whole, so a failed write leaves the old mart as it was.
     """
     if schema is not None:
         got = [(f.name, f.dataType) for f in df.schema.fields]
@@ -26,13 +30,34 @@ def overwrite_mart(df: DataFrame, root: str, name: str, schema: StructType | Non
         if got != want:
             raise ValueError(f"mart {name}: schema {got} differs from {want}")
     path = os.path.join(root, name)
+    aside = os.path.join(root, f"_{name}-{uuid.uuid4().hex}")
     if partition_by:
-        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(aside)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(aside)
+    _take_place(df.sparkSession, aside, path)
     return path
 
 
+def _take_place(spark: SparkSession, new: str, path: str) -> None:
+    """Renames the folder ``new`` to ``path`` on any store Spark writes to; what
+    was there is deleted last, and put back if the rename fails."""
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path
+    fs = to(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = new + ".old"
+    had = fs.exists(to(path))
+    if had and not fs.rename(to(path), to(old)):
+        raise OSError(f"cannot move {path} aside; the new table is in {new}")
+    if not fs.rename(to(new), to(path)):
+        if had:
+            fs.rename(to(old), to(path))
+        raise OSError(f"cannot rename {new} to {path}")
+    if had:
+        fs.delete(to(old), True)
+    spark.catalog.refreshByPath(path)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder (the one
     ``spark.checkpoint.dir`` names) and return it read back.
@@ -41,8 +66,6 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     (an eager RDD checkpoint runs it twice: once to count, once to save), and
     it keeps the columnar layout for the readers.
     """
-    import uuid
-
     from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -1,6 +1,10 @@
+import json
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from tandem.plans import job
 from tandem.plans.params import FIXTURE_PARAMS as P
 
@@ -30,3 +34,36 @@ def test_job_marts_equal_in_plan_marts(spark, cat):
         a = rows_of(cols, [tuple(r) for r in written.select(*cols).collect()])
         b = rows_of(cols, [tuple(r) for r in direct.select(*cols).collect()])
         assert a == b, key
+
+
+def test_a_failed_write_leaves_the_old_mart(spark):
+    from tandem.sources.sink import overwrite_mart
+    root = tempfile.mkdtemp(prefix="tandem-marts-")
+    path = overwrite_mart(spark.range(5), root, "m")
+    with pytest.raises(Exception, match="broken row"):
+        overwrite_mart(spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(
+            F.raise_error(F.lit("broken row")).cast("long"))), root, "m")
+    assert spark.read.parquet(path).count() == 5
+    overwrite_mart(spark.range(3), root, "m")
+    assert spark.read.parquet(path).count() == 3
+    assert not [d for d in os.listdir(root) if d.endswith(".old")]
+
+
+def test_table_family_with_a_member_lacking_a_column(spark):
+    from tandem.sources.catalog import parquet_catalog
+    root = tempfile.mkdtemp(prefix="tandem-family-")
+    spark.range(2).write.parquet(f"{root}/part_1")
+    spark.range(3).withColumn("note", F.lit("x")).write.parquet(f"{root}/part_2")
+    rows = parquet_catalog(spark, {"family": f"{root}/part_*"})["family"]
+    assert sorted(rows.columns) == ["id", "note"]
+    assert rows.count() == 5 and rows.where("note IS NULL").count() == 2
+
+
+def test_input_paths_must_name_every_input(tmp_path):
+    from tandem.sources.catalog import INPUTS
+    file = tmp_path / "paths.json"
+    file.write_text(json.dumps({n: f"/data/{n}" for n in INPUTS}))
+    assert set(job.read_paths(str(file))) == set(INPUTS)
+    file.write_text("{}")
+    with pytest.raises(ValueError, match="fact_deliveries"):
+        job.read_paths(str(file))

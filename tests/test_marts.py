@@ -70,3 +70,24 @@ def test_utilisation_tenant_join_is_a_tautology(spark, cat):
     assert loose.count() >= strict.count()
     assert loose.where(F.col("zone_name").like("SAT - %")).count() == 0
     assert loose.select("order_date", "tenant_id", "zone_name").distinct().count() <= loose.count()
+
+
+def test_summary_repeats_a_repeated_delivery_as_the_joins_do(cat, spark, m2):
+    """With its staging row twice, a delivery counts m x m = 4 times without a
+    pool and m x m x m = 8 times in one; ``dedupe`` counts it once."""
+    m1, m3 = reorders.build(cat, P).cache(), tickets.build(cat, P, m2).cache()
+    times = m2.where("ptod_sec > 0")
+    alone = times.where("ccdd_id IS NULL").agg(F.min("sys_delivery_id")).first()[0]
+    leg = times.where("ccdd_id IS NOT NULL").agg(F.min("sys_delivery_id")).first()[0]
+
+    def ptod(staged, **kw):
+        m4 = summary.build(cat, spark, staged, m1, m3, **kw)
+        return m4.agg(F.sum("ptod_mins_sum"), F.sum("delivery_count")).first()
+
+    for one, factor in ((alone, 4), (leg, 8)):
+        row = m2.where(F.col("sys_delivery_id") == one)
+        n_tickets = max(m3.where(F.col("sys_delivery_id") == one).count(), 1)
+        once, twice = ptod(row), ptod(row.unionAll(row))
+        assert once[0] == n_tickets * row.first().ptod_sec / 60.0
+        assert twice[0] == factor * once[0] and twice[1] == once[1]
+        assert ptod(row.unionAll(row), dedupe=True) == once

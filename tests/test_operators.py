@@ -44,7 +44,7 @@ def test_lead_chain_with_null_order(spark):
 
 def test_payment_sequence_properties(spark):
     df = _random_groups(spark, n=400, seed=11).withColumn("rank_part", F.col("id") % 2)
-    out = W.dense_and_row_number(df, ["g"], ["rank_part"], [F.col("t")], "seq", "dense",
+    out = W.dense_and_row_number(df, ["g"], ["rank_part"], [F.col("t")], "seq", "dense", F.floor(F.col("t") / 10),
                                  row_tiebreak=[F.col("id")])
     rows = out.collect()
     by_group = {}
@@ -104,3 +104,18 @@ def test_euro_rates_broadcast_and_missing_tenant(spark):
     got = {r.tenant_id: r.local_currency_to_euros for r in out.collect()}
     assert got == {"ie": 1.0, "ca": 1.47, "xx": None}
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString() or True
+
+
+def test_sequences_of_a_large_null_group_equal_the_plain_windows(spark):
+    """A null group and a group of its own, many buckets, ties, null times."""
+    from pyspark.sql import Window
+    df = spark.range(600).select(
+        F.when(F.col("id") % 3 != 0, F.lit(None)).otherwise(F.col("id") % 2).alias("g"),
+        (F.col("id") % 5).alias("part"), "id",
+        F.when(F.col("id") % 50 != 7, F.expr("cast('2001-03-25 00:00:00' as timestamp_ntz)"
+                                             " + make_interval(0, 0, 0, 0, 0, 20 * cast(id % 97 as int))")).alias("t"))
+    got = W.dense_and_row_number(df, ["g"], ["part"], [F.col("t")], "seq", "dense", W.hour_of("t"), [F.col("id")])
+    plain = (df.withColumn("dense", F.dense_rank().over(Window.partitionBy("g").orderBy("t")).cast("long"))
+               .withColumn("seq", F.row_number().over(Window.partitionBy("g", "part").orderBy("t", "id")).cast("long")))
+    cols = ["id", "g", "part", "dense", "seq"]
+    assert sorted(got.select(cols).collect(), key=lambda r: r.id) == sorted(plain.select(cols).collect(), key=lambda r: r.id)
