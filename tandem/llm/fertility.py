@@ -1,34 +1,46 @@
 """Quality rules with tokeniser fertility.
 
-Plain word and line rules come first.  A public vocabulary with byte fallback then
-measures each text: characters per token, the share of byte-fallback tokens, and
-the entropy of its tokens over the most that so many tokens could have.  For each
-script, histograms over all documents that pass the plain rules give a median of
-each measure, and the documents far from it are rejected.
+Plain word and line rules come first.  Two public vocabularies, one with byte fallback
+and a byte-level one for many languages, then measure each text: characters per token,
+the share of tokens of a single byte, and the entropy of its tokens over the most that
+so many tokens could have.  For each script, histograms over all documents that pass the
+plain rules give a band around the median of each measure, as wide as its tails ask for,
+and the documents outside one are rejected.
 """
 
 from __future__ import annotations
 
 from array import array
-from functools import lru_cache
+from collections.abc import Callable, Iterable
+from functools import lru_cache, reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import read_ranks
 from .common import stored, vector_udf
 
 SEPARATORS = "\t\n\x0b\x0c\r "  # words are runs of other code points; `bytes.split` cuts at just these
 SYMBOLS = "#*$%&|<>"
 
-MEASURES = ("chars_per_token", "byte_share", "entropy")
-#: Rejected: under a part of the script's median, over a multiple of it, or (for the
-#: byte share) this much above it.
+#: The vocabulary with byte fallback, then (``_multi``) the byte-level one.
+PLAIN_MEASURES = ("chars_per_token", "byte_share", "entropy")
+MEASURES = (*PLAIN_MEASURES, *(f"{m}_multi" for m in PLAIN_MEASURES))
+#: A band reaches from the script's median `REACH` times as far as the quantiles `TAIL` and
+#: 1 - `TAIL`, but `LEAST` at least (for characters per token: that part of the median).
+TAIL, REACH = 0.1, 4.0
+LEAST = {"chars_per_token": 0.25, "byte_share": 0.1, "entropy": 0.1}
+#: Rejected in any case: under a part of the script's median, over a multiple of it, or (for
+#: the byte share) this much above it.
 BANDS = {"chars_per_token": (0.4, 2.5), "byte_share": 0.25, "entropy": 0.5}
-BIN = 1 / 200  # width of the histograms' bins; the medians are exact to one bin
+BIN = 1 / 200  # width of the histograms' bins; the quantiles are exact to one bin
+LONGEST = 100_000  # the byte-level library takes longer words in parts of so many characters
 
 #: First and last letters of each script's blocks.
 SCRIPTS = {
@@ -94,94 +106,140 @@ class Numbers(dict):
         return at
 
 
-class Measure:
-    """Measures texts.  The tokens of words seen before are kept, end to end in one array;
-    at ``max_words`` words they are forgotten.  Only speed depends on that, no result."""
+class Tokens:
+    """A vocabulary's tokens of numbered words, kept end to end in one array.  ``encode``
+    gives the tokens of each word of a list; ``of_byte`` tells the tokens of a single byte."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.size = self.model.vocab_size()
-        self.of_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.max_words = max_words
-        self._forget()
+    def __init__(self, encode: Callable[[list[bytes]], Iterable[list[int]]], of_byte: np.ndarray):
+        self.encode, self.of_byte, self.size = encode, of_byte, len(of_byte)
+        self.forget()
 
-    def _forget(self) -> None:
-        self.number, self.tokens, self.ends = Numbers(), array("i"), array("q", [0])
+    def forget(self) -> None:
+        self.tokens, self.ends = array("i"), array("q", [0])
 
-    def _learn(self) -> None:
+    def learn(self, words: list[bytes]) -> None:
         end = len(self.tokens)
-        for ids in self.model.encode(self.number.new, num_threads=1):
+        for ids in self.encode(words):
             self.tokens.extend(ids)
             end += len(ids)
             self.ends.append(end)
-        self.number.new = []
 
-    def _token_counts(self, ids: np.ndarray) -> np.ndarray:
-        """How often each token of the vocabulary occurs in the words ``ids``."""
-        words, times = np.unique(ids, return_counts=True)
+    def measures(self, words: np.ndarray, times: np.ndarray, chars: int) -> tuple:
+        """The number of tokens and `PLAIN_MEASURES` of a text that has each of ``words`` so many times."""
         ends = np.frombuffer(self.ends, np.int64)
         start, size = ends[words], ends[words + 1] - ends[words]
         before = np.cumsum(size) - size
         at = np.repeat(start - before, size) + np.arange(size.sum())
-        return np.bincount(np.frombuffer(self.tokens, np.intc)[at], np.repeat(times, size), self.size)
+        per_token = np.bincount(np.frombuffer(self.tokens, np.intc)[at], np.repeat(times, size), self.size)
+        n_tokens = int(per_token.sum())
+        p = per_token[per_token > 0] / n_tokens
+        most = np.log(min(n_tokens, self.size)) if n_tokens > 1 else 1.0
+        return (n_tokens, chars / n_tokens, float(per_token[self.of_byte].sum() / n_tokens),
+                float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
+
+
+def fallback_tokens(path: str) -> Tokens:
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return Tokens(lambda words: model.encode(words, num_threads=1), np.array([model.is_byte(i) for i in range(model.vocab_size())]))
+
+
+def byte_level_tokens(path: str) -> Tokens:
+    """Each word as after a space; parts of very long words are encoded each on its own."""
+    ranks = read_ranks(path)
+    of_byte = np.zeros(max(ranks.values()) + 1, bool)
+    of_byte[[rank for token, rank in ranks.items() if len(token) == 1]] = True
+    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def one(word: bytes) -> list[int]:
+        text = f" {word.decode()}"
+        return [x for k in range(0, len(text), LONGEST) for x in encode(text[k:k + LONGEST])]
+
+    return Tokens(lambda words: map(one, words), of_byte)
+
+
+class Measure:
+    """Measures texts.  The tokens of words seen before are kept; at ``max_words`` words
+    they are forgotten.  Only speed depends on that, no result."""
+
+    def __init__(self, path: str, multi_path: str, max_words: int = 1_000_000):
+        self.vocabularies = (fallback_tokens(path), byte_level_tokens(multi_path))
+        self.max_words = max_words
+        self.number = Numbers()
+
+    def _forget(self) -> None:
+        self.number = Numbers()
+        for v in self.vocabularies:
+            v.forget()
+
+    def _learn(self) -> None:
+        for v in self.vocabularies:
+            v.learn(self.number.new)
+        self.number.new = []
 
     def row(self, text: str) -> tuple:
         words = text.encode().split()
         kinds = np.bincount(KIND[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=SEPARATOR + 1)
         n, symbols, lines = len(words), int(kinds[SYMBOL]), duplicate_lines(text)
         if not n:
-            return (0, 0, symbols, lines, 0, "none", 0, 0.0, 0.0, 0.0)
+            return (0, 0, symbols, lines, 0, "none", 0, *[0.0] * len(MEASURES))
         if len(self.number) >= self.max_words:
             self._forget()
         ids = np.fromiter(map(self.number.__getitem__, words), np.int64, n)
         if self.number.new:
             self._learn()
-        per_token = self._token_counts(ids)
-        n_tokens = int(per_token.sum())
         letters = kinds[1:SYMBOL]
         script = [*SCRIPTS][int(letters.argmax())] if letters.any() else "none"
-        p = per_token[per_token > 0] / n_tokens
-        most = np.log(min(n_tokens, self.size)) if n_tokens > 1 else 1.0
         chars = len(text) - int(kinds[SEPARATOR])
-        return (n, chars, symbols, lines, repeated_words(ids), script, n_tokens, chars / n_tokens,
-                float(per_token[self.of_byte].sum() / n_tokens), float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
+        distinct, times = np.unique(ids, return_counts=True)
+        (n_tokens, *plain), (_, *multi) = (v.measures(distinct, times, chars) for v in self.vocabularies)
+        return (n, chars, symbols, lines, repeated_words(ids), script, n_tokens, *plain, *multi)
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "script string, n_tokens long, chars_per_token double, byte_share double, entropy double")
+          "script string, n_tokens long, " + ", ".join(f"{m} double" for m in MEASURES))
 
 
 @lru_cache(maxsize=2)
-def _measure(path: str) -> Measure:
-    return Measure(path)
+def _measure(path: str, multi_path: str) -> Measure:
+    return Measure(path, multi_path)
 
 
 def measured(text: Column, path: str | None = None) -> Column:
     """A struct of `SCHEMA` for each text; null and empty texts have zeros and script 'none'."""
     path = path or public_tokenizers.path("piece_bpe_32k.model")
+    multi_path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     @vector_udf(SCHEMA)
     def run(texts: pd.Series) -> pd.DataFrame:
-        row = _measure(path).row
+        row = _measure(path, multi_path).row
         return pd.DataFrame([row(t or "") for t in texts], columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return run(text)
 
 
 def bands(rows: DataFrame) -> DataFrame:
-    """script and the median of each measure (to one bin of width `BIN`) over ``rows``.
+    """script and the ends of each measure's band, ``<measure>_low`` and ``<measure>_high``.
 
-    Counts per bin are summed before any sort, so a script with most rows is no hot
-    group: its histogram has as many rows as bins."""
+    The quantiles are exact to one bin of width `BIN`.  Counts per bin are summed before
+    any sort, so a script with most rows is no hot group: its histogram has as many rows
+    as bins."""
     bins = rows.select("script", F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) / BIN).alias("bin")) for m in MEASURES])).alias("x")
     ).groupBy("script", "x.measure", "x.bin").count()
     w = Window.partitionBy("script", "measure")
-    below = F.sum("count").over(w.orderBy("bin"))
-    total = F.sum("count").over(w)
-    medians = (bins.withColumn("at", below * 2 >= total).where("at").groupBy("script", "measure")
-               .agg((F.min("bin") * BIN + BIN / 2).alias("median")))
-    return medians.groupBy("script").pivot("measure", list(MEASURES)).agg(F.first("median"))
+    bins = bins.withColumns({"below": F.sum("count").over(w.orderBy("bin")), "total": F.sum("count").over(w)})
+    quantile = lambda q: F.min(F.when(F.col("below") >= q * F.col("total"), F.col("bin"))) * BIN + BIN / 2
+    ends = bins.groupBy("script", "measure").agg(quantile(TAIL).alias("q_low"), quantile(0.5).alias("median"), quantile(1 - TAIL).alias("q_high"))
+    base, median = F.regexp_replace("measure", "_multi$", ""), F.col("median")
+    of = lambda **values: F.coalesce(*[F.when(base == m, v) for m, v in values.items()])
+    least = of(**{m: v * median if m == "chars_per_token" else F.lit(v) for m, v in LEAST.items()})
+    low, high = BANDS["chars_per_token"]
+    outer_low = of(chars_per_token=low * median, byte_share=F.lit(0.0), entropy=BANDS["entropy"] * median)
+    outer_high = of(chars_per_token=high * median, byte_share=median + BANDS["byte_share"], entropy=F.lit(1.0 + BIN))
+    ends = ends.select("script", "measure",
+                       F.greatest(outer_low, median - F.greatest(REACH * (median - F.col("q_low")), least)).alias("low"),
+                       F.least(outer_high, median + F.greatest(REACH * (F.col("q_high") - median), least)).alias("high"))
+    return ends.groupBy("script").pivot("measure", list(MEASURES)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
 
 
 def quality_rules(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -194,11 +252,8 @@ def quality_rules(docs: DataFrame, path: str | None = None) -> DataFrame:
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = stored(rows, "fertility")
     # one row per script: SCRIPTS and 'none' bound it
-    band = bands(rows.where("not base_failed")).select("script", *[F.col(m).alias(f"mid_{m}") for m in MEASURES])
-    low, high = BANDS["chars_per_token"]
-    fits = (F.col("chars_per_token").between(low * F.col("mid_chars_per_token"), high * F.col("mid_chars_per_token"))
-            & (F.col("byte_share") <= F.col("mid_byte_share") + BANDS["byte_share"])
-            & (F.col("entropy") >= BANDS["entropy"] * F.col("mid_entropy")))
+    band = bands(rows.where("not base_failed"))
+    fits = reduce(and_, [F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")) for m in MEASURES])
     joined = rows.join(F.broadcast(band), "script", "left")
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(False)))
 

@@ -166,6 +166,33 @@ def test_rules_reject_texts_that_the_vocabulary_cannot_read(spark):
     assert {x.doc_id for x in rows if not x.kept} == {99}
 
 
+def test_rules_reject_labelled_junk_past_the_plain_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = fertility.op10(spark.read.parquet(f"{sf}/documents.parquet")).where("not base_failed")
+    got = rows.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("quality", "kept").collect()
+    junk, clean = [r.kept for r in got if r.quality == 0], [r.kept for r in got if r.quality == 1]
+    assert junk.count(False) >= 0.4 * len(junk) > 5 and clean.count(False) <= 0.02 * len(clean)
+
+
+def test_bands_follow_the_tails_on_both_sides(spark):
+    """Each measure of both vocabularies is held on both sides, however narrow the outer limits are."""
+    mid = {m: 2.0 if m.startswith("chars") else 0.5 for m in fertility.MEASURES}
+    table = [("latin", *(v + (i % 11 - 5) * 0.01 for v in mid.values())) for i in range(110)]
+    band = fertility.bands(spark.createDataFrame(table, "script string, " + ", ".join(f"{m} double" for m in mid))).first()
+    for m, v in mid.items():
+        far = 0.5 if m.startswith("chars") else 0.2
+        assert v - far - 0.02 <= band[f"{m}_low"] < v - 0.06 < v + 0.06 < band[f"{m}_high"] <= v + far + 0.02
+
+
+def test_byte_level_tokens_of_long_words():
+    import tiktoken
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    own = fertility.byte_level_tokens(path)
+    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={}).encode_ordinary
+    assert list(own.encode([b"there", "é".encode()])) == [encode(" there"), encode(" é")]
+    assert sum(map(len, own.encode(["\xa0".encode() * 300_000]))) >= 300_000  # more at once overflows the library's stack
+
+
 # --- fingerprints -----------------------------------------------------------------
 def test_entropy_of_windows():
     data = np.frombuffer((b"abcabcaaaa" * 30 + bytes(range(256)) * 2)[:700], np.uint8)
