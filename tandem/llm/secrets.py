@@ -7,31 +7,42 @@ like part of a path, and the words beside it.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Runs of 16 or more key characters with a digit among them, and what is
-# assigned to a name of a secret.  Each run is tried once, from its start.
-RUN = r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*+[0-9])[A-Za-z0-9+/_=.~-]{16,}+"
-ASSIGNED = r"(?i:passw(?:or)?d|passwd|secret|api[_-]?key|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{6,}+"
-NAME = r"^(?i:passw(?:or)?d|passwd|secret|api[_-]?key|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
-PEM = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+# Runs of 16 or more key characters with a digit among them, what is
+# assigned to a name that holds a word for secrets (the value alone is the candidate, the
+# name its context), and blocks of private keys through their END line, or without one
+# through their lines of key characters.  Each run is tried once, from its start.
+_KEY = "A-Za-z0-9+/_=.~-"
+_LEAD = rf"(?:(?<![{_KEY}])[{_KEY}]*?)?"
+_WORD = r"(?i:passw(?:or)?d|passwd|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|token)[A-Za-z0-9_.-]{0,40}+"
+_SET = r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
+_BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+RUN = rf"(?<![{_KEY}])(?=[A-Za-z+/_=.~-]*+[0-9])[{_KEY}]{{16,}}+"
+PEM = (rf"{_BLOCK}(?:[^-]*+(?:-(?!----)[^-]*+){{0,200}}+-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
+       r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{16,}+){0,400}+)")
+ASSIGNED = rf"{_LEAD}(?:{_WORD}{_SET}(?:{PEM}|(?!{_BLOCK})[^\s\"']{{6,}}+)|{PEM})"
+NAME = rf"^[{_KEY}]*?(?:{_WORD}{_SET}(?=[^\s\"']{{6}})|(?={_BLOCK}))"
 MARK = "\ue000"  # stands round candidates; a text's own such characters count as spaces
 DICTIONARY = ("password", "example", "license", "version", "message", "default", "release", "article", "product", "content",
               "index", "image", "users", "admin", "token", "title", "there", "which", "about", "other", "their", "would",
               "this", "that", "with", "from", "have", "file", "path", "data", "test", "main", "page", "html", "http", "name",
               "ation", "heit", "lich", "keit", "ment", "eau", "mente", "tion", "the", "and", "for", "are", "ing", "com", "www", "org")
-SPEAKS_FOR = r"(?i)(token|secret|passw|api.?key|credential|auth|bearer|private|access.?key)"
+SPEAKS_FOR = r"(?i)(token|secret|passw|api.?key|credential|auth|bearer|private|access.?key|pwd)"
 SPEAKS_AGAINST = r"(?i)(commit|sha\d*|md5|digest|checksum|hash|uuid|guid|revision|etag|example|order|invoice|isbn|card|http|href|src)"
 
 
 def candidate_column(text: Column) -> Column:
     """An array of (pos, candidate, before, after, skipped): ``skipped`` characters stand
     between it and the one before."""
-    marked = F.regexp_replace(F.translate(text, MARK, " "), f"({ASSIGNED}|{PEM}|{RUN})", f"{MARK}$1{MARK}")
+    marked = F.regexp_replace(F.translate(text, MARK, " "), f"({ASSIGNED}|{RUN})", f"{MARK}$1{MARK}")
     parts = F.split(marked, MARK)
     one = lambda p: F.transform(
         F.sequence(F.lit(1), F.size(p) - 1, F.lit(2)),
@@ -45,8 +56,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, row, start, end (code points), candidate, before, after."""
     text = F.col("text")
     low = F.lower(text)
-    hint = text.rlike("[0-9]") | low.contains("passw") | low.contains("secret") | low.contains("token") | \
-        low.contains("api") | text.contains("PRIVATE KEY")
+    hint = text.rlike("[0-9]") | reduce(or_, [low.contains(x) for x in ("passw", "pwd", "secret", "token", "api", "access", "private", "credential")])
     rows = (docs.where(hint).select("doc_id", F.monotonically_increasing_id().alias("row"), candidate_column(text).alias("c"))
             .where("c is not null").select("doc_id", "row", F.explode("c").alias("c")).select("doc_id", "row", "c.*"))
     # short rows only from here on; a window holds one document's candidates
@@ -72,9 +82,9 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "hex": flag(c, "^([0-9a-f]+|[0-9A-F]+)$"), "number": flag(c, "^[0-9.+_-]+$"),
         "uuid": flag(c, "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"),
         "known": flag(c, "^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk-|eyJ|-----BEGIN)"),
-        "path": flag(c, r"^\.{0,2}/|/[^/]*/|\.[a-z]{2,4}$|^www\."), "in_url": flag(before, r"(://|@|[/?&=#.])$"),
+        "placeholder": flag(c, r"^(\$[{(A-Z_]|<|%[({A-Z]|\{\{|\*{3})"), "path": flag(c, r"^\.{0,2}/|/[^/]*/|\.[a-z]{2,4}$|^www\."), "in_url": flag(before, r"(://|@|[/?&=#.])$"),
         "assigned": flag(before, r"[:=]\s{0,3}[\"']?$"), "quoted": (flag(before, "[\"']$") + flag(after, "^[\"']")) / 2,
-        "for": flag(before, SPEAKS_FOR + r"\W{0,6}(is|was|ist|=|:)?\W{0,4}$"), "against": flag(before, SPEAKS_AGAINST + r"[^.;]{0,16}$"),
+        "for": flag(before, SPEAKS_FOR + r"(\W{0,6}(is|was|ist|=|:)?\W{0,4}|[A-Za-z0-9_.-]{0,40}[\"']?\s{0,3}[:=]\s{0,3}[\"']?)$"), "against": flag(before, SPEAKS_AGAINST + r"[^.;]{0,16}$"),
     }
 
 
@@ -91,12 +101,17 @@ def labelled_findings(spark: SparkSession, n: int = 1200) -> DataFrame:
         ("the token = \"", h, "\" and"), ("API_KEY='", b64, "'\nnext"), ("aws key ", F.concat(F.lit("AKIA"), upper), " here"),
         ("secret: ", b64, "\n"), ("Authorization: Bearer ", F.concat(F.lit("ghp_"), b64, F.substring(h, 1, 9)), "\n"),
         ("TOKEN = \"", F.upper(h), "\"!! THE"), ("password=", F.substring(b64, 1, 14), " "), ("", F.lit("-----BEGIN RSA PRIVATE KEY-----"), "\nMII"),
+        ("DB_PASSWORD=", F.substring(b64, 1, 13), "\n"), ("export AWS_SECRET_ACCESS_KEY=", F.concat(b64, F.substring(h, 1, 12)), "\n"),
+        ("&client_secret=", F.substring(h, 1, 32), "\n"), ("AWS_ACCESS_KEY_ID=", F.concat(F.lit("AKIA"), upper), "\n"),
+        ("key: ", F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), b64, b64, F.lit("\n"), b64, F.lit("\n-----END PRIVATE KEY-----")), "\n"),
     )
     no = (
         ("see commit ", h, " of"), ("sha1: ", h, "\n"), ("id ", uuid, " in"), ("https://www.example.com", F.concat(F.lit("/en/"), word, F.lit("/"), digits, F.lit(".html")), " the"),
         ("number ", digits, ", this"), ("path ", F.concat(F.lit("/usr/share/"), word, F.lit("/version-"), F.substring(digits, 1, 2), F.lit(".txt")), " and"),
         ("and the ", F.concat(word, F.lit("-"), word, F.lit("-"), F.substring(digits, 1, 4)), ". It"), ("mail ", F.concat(word, F.lit(".12@mail4.example.com")), " to"),
         ("md5 checksum ", F.md5(h), "\n"), ("the token = \"", F.concat(F.lit("example"), word, F.lit("123")), "\" and"),
+        ("DB_PASSWORD=", F.concat(F.lit("${"), F.upper(word), F.lit("_PASSWORD}")), "\n"), ("", F.concat(F.lit("BUILD_ID="), digits), "\n"),
+        ("&", F.concat(F.lit("page_title="), word, F.lit("-"), F.substring(digits, 1, 5)), "\n"), ("secret_name: ", F.concat(F.lit("example-"), word), "\n"),
     )
     pick = lambda rows, k: F.element_at(F.array(*[F.struct(
         F.lit(a).alias("before"), c.alias("candidate"), F.lit(b).alias("after")) for a, c, b in rows]), (k % len(rows) + 1).cast("int"))
@@ -107,7 +122,7 @@ def labelled_findings(spark: SparkSession, n: int = 1200) -> DataFrame:
 
 NAMES = (
     "length", "digits", "uppers", "vowels", "letter_digit", "digit_letter", "case", "signs", "distinct", "dictionary", "hex",
-    "number", "uuid", "known", "path", "in_url", "assigned", "quoted", "for", "against")
+    "number", "uuid", "known", "placeholder", "path", "in_url", "assigned", "quoted", "for", "against")
 
 
 def vectors(rows: DataFrame) -> DataFrame:
