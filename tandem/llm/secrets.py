@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Runs of 16 or more key characters with a digit among them, what is
 # assigned to a name that holds a word for secrets (the value alone is the candidate, the
 # name its context), and blocks of private keys through their END line, or without one
@@ -52,12 +54,13 @@ def candidate_column(text: Column) -> Column:
     return F.when(F.size(parts) > 1, one(parts))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, row, start, end (code points), candidate, before, after."""
+def candidates(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, row, start, end (code points), candidate, before, after.  ``row`` is a key of
+    each row of ``docs``; one is made where there is none."""
     text = F.col("text")
     low = F.lower(text)
     hint = text.rlike("[0-9]") | reduce(or_, [low.contains(x) for x in ("passw", "pwd", "secret", "token", "api", "access", "private", "credential")])
-    rows = (docs.where(hint).select("doc_id", F.monotonically_increasing_id().alias("row"), candidate_column(text).alias("c"))
+    rows = (docs.where(hint).select("doc_id", (F.monotonically_increasing_id() if row is None else row).alias("row"), candidate_column(text).alias("c"))
             .where("c is not null").select("doc_id", "row", F.explode("c").alias("c")).select("doc_id", "row", "c.*"))
     # short rows only from here on; a window holds one document's candidates
     upto = F.sum(F.col("skipped") + F.length("candidate")).over(
@@ -135,16 +138,21 @@ def fit(labelled: DataFrame) -> RandomForestClassificationModel:
     return RandomForestClassifier(featuresCol="__x", labelCol="label", numTrees=30, maxDepth=6, seed=7).fit(vectors(labelled))
 
 
+def _judged(docs: DataFrame, labelled: DataFrame | None, threshold: float, row: Column | None = None) -> DataFrame:
+    """doc_id, row, start, end, candidate, score, is_secret of each candidate."""
+    model = fit(labelled if labelled is not None else labelled_findings(docs.sparkSession))
+    found = vectors(candidates(docs, row))
+    score = vector_to_array("__p")[1]
+    return model.setProbabilityCol("__p").transform(found).select(
+        "doc_id", "row", "start", "end", "candidate", score.alias("score"), (score >= threshold).alias("is_secret"))
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """A row for each candidate: doc_id, start, end, candidate, score, is_secret.
 
     Null and empty texts have none; repeated rows (and null ids) are scanned each on its
     own; an empty table gives no rows."""
-    model = fit(labelled if labelled is not None else labelled_findings(docs.sparkSession))
-    found = vectors(candidates(docs.select("doc_id", "text")))
-    score = vector_to_array("__p")[1]
-    return model.setProbabilityCol("__p").transform(found).select(
-        "doc_id", "start", "end", "candidate", score.alias("score"), (score >= threshold).alias("is_secret"))
+    return _judged(docs.select("doc_id", "text"), labelled, threshold).drop("row")
 
 
 def op3(docs: DataFrame) -> DataFrame:
@@ -152,15 +160,19 @@ def op3(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, to: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each confirmed secret replaced in the text (the longest first) and
-    n_chars, where there is such a column, brought up to date.  Rows of one doc_id (or of
-    none) share their findings."""
-    secrets = (scan(docs, labelled, threshold).where("is_secret").groupBy(F.col("doc_id").alias("__id"))
-               .agg(F.collect_set("candidate").alias("__secrets")))
-    ordered = F.array_sort("__secrets", lambda a, b: F.length(b) - F.length(a))
-    text = F.when(F.col("__secrets").isNotNull(), F.aggregate(ordered, F.col("text"), lambda t, s: F.replace(t, s, F.lit(to)))).otherwise(F.col("text"))
-    joined = docs.join(secrets, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("text", text)
+    """``docs`` with the span of each confirmed secret replaced in the text and n_chars,
+    where there is such a column, brought up to date.  Each row has its own findings,
+    whatever its doc_id; they are as many as its text has room for."""
+    kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "redact")  # the keys must not change between reads
+    found = _judged(kept.select("doc_id", "text", "__row"), labelled, threshold, F.col("__row")).where("is_secret")
+    spans = (found.groupBy(F.col("row").alias("__of"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))).alias("__spans")))
+    joined = kept.join(spans, F.col("__row") == F.col("__of"), "left")
+    text, at, found_any = F.col("text"), F.col("__spans"), F.col("__spans").isNotNull()
+    upto = lambda i: F.coalesce(F.get(at, i - 1)["end"], F.lit(0))
+    parts = F.transform(at, lambda x, i: F.concat(F.substring(text, upto(i) + 1, x["start"] - upto(i)), F.lit(to)))
+    new = F.concat(F.array_join(parts, ""), F.substring(text, upto(F.size(at)) + 1, F.length(text)))
+    joined = joined.withColumn("text", F.when(found_any, new).otherwise(text))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__secrets").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-                                   .otherwise(F.col("n_chars")))
+        joined = joined.withColumn("n_chars", F.when(found_any, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return joined.select(*docs.columns)

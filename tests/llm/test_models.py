@@ -186,6 +186,17 @@ def test_secrets_in_config_lines_and_key_blocks(spark):
     assert secrets.op3(plain).where("is_secret").count() == 0
 
 
+def test_redaction_is_by_row_and_span(spark):
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    rows = [(i, text, len(text)) for i in (None, 3) for text in (f'é {chr(0xe000)} token = "{key}" x; see commit {key} of', f"see commit {key} of", f'the token = "{key[::-1]}" and')]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    out = sorted(((str(r.doc_id), r.text, r.n_chars) for r in secrets.redact(docs).collect()))
+    want = [rows[0][1].replace(f'"{key}"', '"[SECRET]"'), rows[1][1], rows[2][1].replace(key[::-1], "[SECRET]")]
+    assert out == sorted((str(i), t, len(t)) for i in (None, 3) for t in want)
+    plan = secrets.redact(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_id" not in "".join(x for x in plan.split("\n") if "Join" in x)
+
+
 def test_secret_candidates_against_plain_patterns(docs):
     import re
     run = re.compile(r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*[0-9])[A-Za-z0-9+/_=.~-]{16,}")
