@@ -3,8 +3,9 @@
 1.  A character trigram model is counted over all documents (letters folded to 28
     codes, so the table is small whatever the corpus).
 2.  Each disguised region of a text becomes a lattice: a digit or sign may stand for
-    a letter, for nothing, or for itself; a separator inside a word may be noise; a
-    letter three times or more in a row may be one or two.  Viterbi under the trigram
+    a letter, for nothing, or for itself; a separator inside a word may be noise; between
+    single characters each separator is noise or a word's end; a letter three times or
+    more in a row may be one or two.  Viterbi under the trigram
     model picks the reading.  A region is decoded with the two plain characters on
     either side, which separate it exactly from the rest under a trigram model, so that
     readings can be kept by (region, neighbours).
@@ -36,6 +37,7 @@ ACCENTS = {"a": "àáâãäåā", "c": "çć", "e": "èéêëē", "i": "ìíîï
 COST_LETTER, COST_NOTHING, COST_ITSELF, COST_DOUBLE = 0.5, 8.0, 6.0, 0.7
 COST_PUNCTUATION, PUNCTUATION = 1.5, "!|+(#"  # two or more of these in a row
 COST_SEPARATOR_NOTHING, COST_SEPARATOR_ITSELF = 0.5, 1.0
+COST_SPACE_NOTHING, COST_SPACE_END = 0.0, 0.5  # between single characters
 
 N_CODES, OTHER = 28, 27
 _CODES = np.full(0x250, 0, np.uint8)
@@ -135,6 +137,9 @@ class Decoder:
                 runs = [(c, 0.0)] if times == 1 else [(c * 2, 0.0), (c, COST_DOUBLE)]
                 states = step(states, runs)
                 continue
+            if c == " ":
+                states = step(states, [("", COST_SPACE_NOTHING), (" ", COST_SPACE_END)])
+                continue
             options = [(letter, COST_LETTER) for letter in SIGNS.get(c, "")]
             if times > 1:
                 options += [(letter * 2, COST_LETTER + COST_DOUBLE) for letter in SIGNS.get(c, "")]
@@ -155,8 +160,8 @@ class Decoder:
 
     def _spaced(self, match: re.Match) -> str:
         """Between single characters each separator is noise or a word's end."""
-        chars = match[0][::2]
-        return self.restore_regions(chars) if len(set(match[0][1::2])) == 1 else match[0]
+        start, end = match.span()
+        return self.readings[match.string[max(0, start - 2):start], " ".join(match[0][::2]), match.string[end:end + 2]]
 
     def restore_regions(self, text: str) -> str:
         out, at, readings = [], 0, self.readings

@@ -54,6 +54,21 @@ def test_decoder_restores_disguises(docs):
     assert decoder.restore("the and of this, that") == "the and of this, that"
 
 
+SPACED = [
+    ("t h e i d i o t", ("the", "idiot")), ("s t u p i d i d i o t", ("stupid", "idiot")), ("t r a s h a n d s c u m", ("trash", "scum")),
+    ("t h e m o r o n i s", ("moron",)),
+    ("i.d.i.o.t m.o.r.o.n", ("idiot", "moron")),
+]
+
+
+def test_decoder_restores_spaced_phrases(docs):
+    decoder = toxicity.Decoder(toxicity.costs(toxicity.corpus_model(docs)))
+    for said, words in SPACED:
+        assert set(words) <= set(decoder.restore(f"and the {said} that").split()), said
+    for said in ("i.d i_o-t", "i-d.i.o t", "1.d 1_0-t"):
+        assert "idiot" in decoder.restore(f"and the {said} that").split(), said
+
+
 def test_readings_equal_all_readings():
     """Viterbi against the cheapest of all readings, on a random model."""
     table = toxicity.costs(np.random.default_rng(1).integers(0, 50, 28 ** 3))
