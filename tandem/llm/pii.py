@@ -81,6 +81,12 @@ _MORE = (
     ("ip", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,2}(?![\w:.])")),
     ("card", re.compile(r"(?<![\w.])[0-9]{4}(?:[ .-]?[0-9]{4}){2}[ .-]?[0-9]{3,4}(?![\w.])")),
     ("phone", re.compile(r"(?<![\w./-])\(?0?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{2,4}[ ./-][0-9]{2,5}(?:[ ./-][0-9]{2,4})?(?![\w/-])")),
+    ("ip", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:])")),
+    ("phone", re.compile(r"(?<![\w.+/-])(?:00[1-9][0-9]{7,12}|1?[2-9][0-9]{9}|0[1-9][0-9]{7,10})(?![\w-])")),  # no separators
+    ("phone", re.compile(r"(?<![\w./-])00[1-9][0-9]{0,2}(?:[ ./-][0-9]{1,8}){2,5}(?![\w/-])")),
+    ("phone", re.compile(r"(?<![\w./-])\(?0[1-9][0-9]{1,3}\)?[ /-][0-9]{5,8}(?![\w/-])")),
+    ("phone", re.compile(r"(?<![\w./-])1[ .-]\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w/-])")),
+    ("phone", re.compile(r"(?<![\w./-])0[1-9](?:[ .-][0-9]{2}){4}(?![\w/-])")),
 )
 _MAIL_HINT = re.compile(r"@|[(\[{]at[)\]}]| dot ")
 _CONTEXT = (  # fixed values: words that speak for a kind, and against all
@@ -91,13 +97,16 @@ _CONTEXT = (  # fixed values: words that speak for a kind, and against all
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """Spans of high recall, overlapping ones too."""
-    out = []
+    """Spans of high recall, overlapping ones too, of one kind as well; each span once."""
+    out: dict = {}
     digits = _DIGIT.search(text) is not None
     for kind, pattern in _MORE:
-        if digits if kind != "email" else _MAIL_HINT.search(text):
-            out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
-    return out
+        if _MAIL_HINT.search(text) if kind == "email" else digits or (kind == "ip" and "::" in text):
+            out |= dict.fromkeys((kind, m.start(), m.end()) for m in pattern.finditer(text))
+    return [*out]
+
+
+_GOES_ON = re.compile(r"[ ./:-]?[0-9]").match  # more digits behind a span
 
 
 def span_features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -115,6 +124,7 @@ def span_features(text: str, kind: str, start: int, end: int) -> list[float]:
         float("@" in span), float(" at " in span), float("[" in span or "{" in span), len(top), float(top.isalpha()),
         float(groups[:1] != [] and len(groups[0]) == 4 and groups[0][:2] in ("19", "20")),
         float(any(c in "abcdefABCDEF" for c in span)), float(span[:1] == "0"),
+        float(span[:2] == "00"), float("::" in span), float(_GOES_ON(text, end) is not None),
     ]
 
 
@@ -185,16 +195,22 @@ def labelled_spans(n: int = 1600, seed: int = 11) -> list[tuple[str, str, int, i
 
     yes = {
         "email": (lambda: f"{w()}.{w()} (at) {w()} (dot) com", lambda: f"{w()}[at]{w()}[dot]org", lambda: f"{w()}{d(2)} at {w()} dot net"),
-        "ip": (lambda: ":".join(hexa(4) for _ in range(8)), lambda: f"fe80::{hexa(4)}:{hexa(4)}:{hexa(4)}:{hexa(4)}", lambda: f"2001:db8:{hexa(4)}:{hexa(3)}::{hexa(2)}"),
+        "ip": (lambda: ":".join(hexa(4) for _ in range(8)), lambda: f"fe80::{hexa(4)}:{hexa(4)}:{hexa(4)}:{hexa(4)}", lambda: f"2001:db8:{hexa(4)}:{hexa(3)}::{hexa(2)}",
+               lambda: f"fe80::{hexa(r.randint(1, 4))}", lambda: f"2001:{hexa(3)}::", lambda: f"2{hexa(3)}:{hexa(4)}::{hexa(4)}"),
         "card": (lambda: grouped(card(), "."), lambda: grouped(card(), "."), lambda: grouped(card(), ".")),
-        "phone": (lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"0{d(2)} {d(4)} {d(4)}", lambda: f"{d(3)}.{d(3)}.{d(4)}"),
+        "phone": (lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"0{d(2)} {d(4)} {d(4)}", lambda: f"{d(3)}.{d(3)}.{d(4)}",
+                  lambda: f"{r.choice('23456789')}{d(9)}", lambda: f"00{r.choice(('49', '33', '44'))} {d(2)} {d(7)}", lambda: f"00{r.choice(('49', '33', '44'))}{d(9)}",
+                  lambda: f"0{r.choice('123456789')}{d(1)}{r.choice(' /')}{d(7)}", lambda: f"1-8{d(2)}-{d(3)}-{d(4)}",
+                  lambda: f"0{r.choice('123456789')} {d(2)} {d(2)} {d(2)} {d(2)}"),
     }
     no = {
         "email": (lambda: f"{w()} at {w()} . {w()}", lambda: f"{w()} at {w()}.{w()}", lambda: f"{w()} @ {w()} . {w()}", lambda: f"{w()} at {w()} dot {w()} dot {w()}"),
-        "ip": (lambda: f"{d(2)}:{d(2)}:{d(2)}", lambda: f"1{d(1)}:{d(2)}:{d(2)}:{d(2)}", lambda: ":".join(hexa(2) for _ in range(6))),
+        "ip": (lambda: f"{d(2)}:{d(2)}:{d(2)}", lambda: f"1{d(1)}:{d(2)}:{d(2)}:{d(2)}", lambda: ":".join(hexa(2) for _ in range(6)),
+               lambda: "::", lambda: f"{r.choice('abcdef')}::{r.choice(('add', 'bad', 'fee', 'dec', 'a', 'b'))}"),
         "card": (lambda: d(16), lambda: grouped(d(15) + "0", "."), lambda: grouped(d(16), " "), lambda: grouped(d(16), "-")),
         "phone": (lambda: f"20{d(2)}-{r.randint(10, 12)}-{r.randint(10, 28)}", lambda: f"{r.randint(10, 28)}.{r.randint(10, 12)}.19{d(2)}", lambda: f"{d(2)}/{d(2)}/{d(4)}",
-                  lambda: f"{d(2)}.{d(3)}.{d(2)}", lambda: f"{d(3)} {d(3)} {d(3)}", lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(4)} {d(3)} {d(2)}"),
+                  lambda: f"{d(2)}.{d(3)}.{d(2)}", lambda: f"{d(3)} {d(3)} {d(3)}", lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(4)} {d(3)} {d(2)}",
+                  lambda: f"0{d(1)} {d(2)} {d(2)} {d(2)}|{' ' + d(2)}", lambda: f"{d(3)}-{d(3)}-{d(3)}|{d(1)}", lambda: f"1{d(9)}", lambda: f"000{d(7)}"),
     }
     out = []
     for i in range(n):
@@ -203,7 +219,8 @@ def labelled_spans(n: int = 1600, seed: int = 11) -> list[tuple[str, str, int, i
         near = r.choice(_CONTEXT[KINDS.index(kind)]) if r.random() < (0.6 if label else 0.1) else \
             r.choice(_CONTEXT[4]) if not label and r.random() < 0.6 else w()
         before = f"{w()} {near} {r.choice(['', 'is ', 'to ', 'no '])}".rstrip() + r.choice([" ", ": "])
-        out.append((f"{before}{value} {w()}", kind, len(before), len(before) + len(value), label))
+        value, _, rest = value.partition("|")  # a part of a number is no whole one
+        out.append((f"{before}{value}{rest} {w()}", kind, len(before), len(before) + len(value), label))
     return out
 
 

@@ -303,3 +303,15 @@ def test_personal_data(spark, odd, empty):
     assert pii.op6(empty).count() == 0
     got = odd.where("doc_id = 7").select(pii.redacted(F.col("text"), model, spark).alias("t")).first().t
     assert got == "mail me at [email] or [phone] now"
+
+
+def test_common_forms_are_proposed_and_taken_whole():
+    model = pii.train()
+    for said in ("5551234567", "0049 30 1234567", "030 1234567", "030/1234567", "1-800-555-0199", "06 12 34 56 78"):
+        text = f"please call my phone {said} today"
+        assert ("phone", 21, 21 + len(said)) in pii.candidates(text), said
+        if said != "5551234567":  # bare digits are proposed; the calibrated threshold leaves them
+            assert ("phone", 21, 21 + len(said)) in model.spans(text)[1], said
+    assert {("phone", 6, 17), ("phone", 6, 20)} <= set(pii.candidates("phone 06 12 34 56 78 x"))
+    for said in ("fe80::1", "2001:db8::", "fe80::abcd"):
+        assert ("ip", 15, 15 + len(said)) in model.spans(f"ping the server {said} now"[1:])[1], said
