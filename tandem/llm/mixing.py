@@ -89,6 +89,22 @@ def mixed(docs: DataFrame, rate: float = 0.5, sources=SOURCES, langs=LANGS, topi
     return rows.withColumn("__take", uniform(F.col("doc_id")) < F.col("__p")).drop("__of_p", *[f"__of_{m}" for m in MARGINS])
 
 
+def reached(docs: DataFrame, rate: float = 0.5, sources=SOURCES, langs=LANGS, topics=TOPICS, rounds: int = ROUNDS, tolerance: float = 0.01) -> DataFrame:
+    """margin, value, target and reached share of the wanted tokens (``rate`` of all), and met:
+    whether they differ by at most ``tolerance`` of the target.  A value with too few tokens
+    falls short, and other margins with it."""
+    rows = mixed(docs, rate, sources, langs, topics, rounds)
+    taken = F.sum(F.col("__tokens") * F.col("__p"))
+    cells = rows.groupBy(*[F.col(f"__{m}").alias(m) for m in MARGINS]).agg(F.sum("__tokens").alias("tokens"), taken.alias("taken")).where("tokens > 0")
+    everything = Window.partitionBy()  # from here on at most one row per cell
+    cells = cells.withColumn("budget", F.sum("tokens").over(everything) * rate)
+    tables = {"source": sources, "lang": langs, "topic": topics}
+    parts = [cells.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value"), _target(m, tables[m]).alias("t"))
+             .agg((F.sum("taken") / F.max("budget")).alias("reached")) for m in MARGINS]
+    out = reduce(DataFrame.unionByName, parts).withColumn("target", F.col("t") / F.sum("t").over(Window.partitionBy("margin")))
+    return out.select("margin", "value", "target", "reached", (F.abs(F.col("reached") - F.col("target")) <= tolerance * F.col("target")).alias("met"))
+
+
 def op7(docs: DataFrame) -> DataFrame:
     return mixed(docs.select("doc_id", "text", "lang", "source")).select(
         "doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"),

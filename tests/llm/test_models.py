@@ -238,6 +238,16 @@ def test_mixing_reaches_targets(spark):
             assert r.t == pytest.approx(r.w, rel=0.15)
 
 
+def test_mixing_tells_missed_targets(spark):
+    rows = [(i, "word " * 5 + ("Copyright" if i % 100 == 0 else "word"), "en", "src0") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {(r.margin, r.value): r for r in mixing.reached(docs).collect()}
+    legal, prose = got["topic", "legal"], got["topic", "prose"]
+    assert legal.target == pytest.approx(0.1 / 0.8) and legal.reached == pytest.approx(0.02) and not legal.met
+    assert prose.target == pytest.approx(0.7 / 0.8) and got["lang", "en"].target == 1
+    assert all(r.met for r in mixing.reached(docs, topics={"prose": 0.99, "legal": 0.01}).collect())
+
+
 def test_mixing_odd_rows(spark, odd, empty):
     rows = mixing.op7(clashing(odd)).collect()
     assert len(rows) == len(ODD) and all(0 <= r.probability <= 1 for r in rows)
