@@ -34,8 +34,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the number of tokens and the digests of ids and decoded bytes."""
-    got = bpe.encoded(F.col("text"), spark, fields=("n_tokens", "ids_sha256", "decoded_sha256"))
+    """Adds the token ids, their number and the digests of ids and decoded bytes."""
+    got = bpe.encoded(F.col("text"), spark, fields=("ids", "n_tokens", "ids_sha256", "decoded_sha256"))
     return docs.withColumn("__bpe", got).select(*docs.columns, "__bpe.*")
 
 

@@ -45,3 +45,10 @@ def test_run_on_odd_rows(spark, odd, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert cp.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_encoding_stage_hands_on_the_ids(spark, odd):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = cp.encoding_stage(spark, odd, SF).collect()
+    assert len(rows) == odd.count() and all(list(r.ids) == tik.encode_ordinary(r.text or "") for r in rows)
