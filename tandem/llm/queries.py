@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, fertility, gam, mixing, pii, secrets, simhash, toxicity, urlfilter
+from . import bpe, conversation, digest, fertility, gam, langid, mixing, periodic, pii, secrets, simhash, toxicity, urlfilter
 from .common import read
 
 
@@ -29,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": lambda spark, d: urlfilter.op8(read(spark, d, "pages")),
     "op9_quality_gam": _with_labels(gam.op9),
     "op10_quality_rules": _on_documents(fertility.op10),
+    "op11_conversation_repair": lambda spark, d: conversation.op11(read(spark, d, "conversations")),
+    "op12_periodic_runs": _on_documents(periodic.op12),
+    "op13_language_id": _on_documents(langid.op13),
 }
 
 ORACLES: dict[str, str] = {"op7_mixing": mixing.op7_sql()}
