@@ -2,15 +2,18 @@
 window, with its order, zones, restaurant, pool, pay, durations, report
 buckets, rejections, assignment and holding-window facts (111 columns).
 
-Shuffle plan (three wide exchanges of the staging rows):
+Shuffle plan (three exchanges of the staging rows, each input read once but for
+two columns of the deliveries):
   1. deliveries joined with the order-keyed inputs (orders, pay, reviews, POS)
      on the order id; dimension tables are broadcast by Spark when their
      measured size is under the broadcast threshold;
   2. the delivery-keyed inputs (pool bridge, adjustments, holding window,
      rejections, assignments) on the delivery id, all co-partitioned, plus the
-     per-delivery row count that the rejection sums need;
-  3. the pool statistics on the pool id, with unpooled rows spread over many
-     tasks instead of one null-key task.
+     per-delivery row count that the rejection sums need; the assignment log
+     names deliveries by uuid, which is mapped to the id on the log's own,
+     narrow side;
+  3. the pool statistics and first legs in one window pass on the pool id, with
+     unpooled rows spread over many tasks instead of one null-key task.
 """
 
 from __future__ import annotations
@@ -250,8 +253,6 @@ def staged_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
     }
     for s in ADJUSTMENT_SUMS:
         cols[s] = _c("ga_" + s)
-    # The assignment log names deliveries by uuid; carried for that join only.
-    cols["delivery_uuid"] = _c("fd_delivery_uuid")
     return j.select(*[c.alias(n) for n, c in cols.items()])
 
 
@@ -297,28 +298,38 @@ def assignment_flags(cat: Catalog) -> DataFrame:
         F.max(F.col("assigned_as_multi_collect").cast("long")).alias("is_assigned_as_multi_collect"))
 
 
+def assigned_deliveries(cat: Catalog, p: ReportParams) -> DataFrame:
+    """:func:`assignment_flags` per delivery id, for the deliveries that can be staged."""
+    names = (cat["fact_deliveries"]
+             .where((F.col("delivery_status") == "DELIVERED") & (F.col("tenant_id") == p.tenant))
+             .select("delivery_uuid", "sys_delivery_id"))
+    return (names.join(assignment_flags(cat), "delivery_uuid")
+            .groupBy("sys_delivery_id").agg(F.max("is_assigned_as_multi_collect").alias("is_assigned_as_multi_collect")))
+
+
 def with_pool_columns(df: DataFrame) -> DataFrame:
     """Pool measures of the reference's windows over ``ccdd_id``, for the
     second leg only, and the first leg's predicted drive time for every leg.
 
     One window pass on the pool id (a pool is a courier's few legs; rows
-    outside any pool are spread by hash), so no aggregate-and-join-back.  The
-    first-leg value is a left join to the pool's leg-1 rows on the window's own
-    keys, so it adds no exchange to this side (several leg-1 rows give several
-    output rows; none gives one row with null).
+    outside any pool are spread by hash), so no aggregate-and-join-back and no
+    second evaluation of ``df``.  The pool's leg-1 values travel as a list made
+    in that pass and are exploded: several leg-1 rows give several output rows,
+    none gives one row with null.  The list holds one number for each row that
+    the explode makes of the row, so it is never larger than the output.
     """
     pool = group_window("ccdd_id")
     by_leg = pool.orderBy("multi_collect_sequence", "sys_delivery_id")
     seq = F.col("multi_collect_sequence")
     leg2 = seq == F.lit(2)
+    first_leg = F.when((seq == F.lit(1)) & F.col("ccdd_id").isNotNull(),  # a struct, so that null values count too
+                       F.struct(F.col("deliver_original_total_driving_time_min")
+                                 .alias("first_order_deliver_original_total_driving_time_min")))
     windowed = (with_group_salt(df, "ccdd_id", "sys_delivery_id")
                 .withColumn("__pool_max_sec", F.max("collect_total_driving_time_min").over(pool) * F.lit(60))
+                .withColumn("__first_legs", F.collect_list(first_leg).over(pool))
                 .withColumn("__prev_sec", F.lag("delivery_total_driving_time_min", 1).over(by_leg) * F.lit(60)))
     pool_max_sec, prev_sec = F.col("__pool_max_sec"), F.col("__prev_sec")
-    first_legs = (with_group_salt(df.where((seq == F.lit(1)) & F.col("ccdd_id").isNotNull()), "ccdd_id", "sys_delivery_id")
-                  .select(F.col("ccdd_id").alias("__of_pool"), F.col("__salt").alias("__of_salt"),
-                          F.col("deliver_original_total_driving_time_min")
-                           .alias("first_order_deliver_original_total_driving_time_min")))
     zero = F.lit(0.0)
     return (windowed
             .withColumn("collect_total_driving_time_sec_max_ccdd", F.when(leg2, pool_max_sec).otherwise(zero))
@@ -326,8 +337,9 @@ def with_pool_columns(df: DataFrame) -> DataFrame:
             .withColumn("pooling_capacity_gains_sec",
                         F.when(leg2, pool_max_sec + F.col("ccdd_courier_analysis_handle_time_sec") - prev_sec)
                          .otherwise(zero))
-            .join(first_legs, (F.col("ccdd_id") == F.col("__of_pool")) & (F.col("__salt") == F.col("__of_salt")), "left")
-            .drop("__of_pool", "__of_salt", "__pool_max_sec", "__prev_sec", "__salt"))
+            .drop("__pool_max_sec", "__prev_sec", "__salt")
+            .select("*", F.inline_outer("__first_legs"))
+            .drop("__first_legs"))
 
 
 def build(cat: Catalog, p: ReportParams) -> DataFrame:
@@ -337,7 +349,7 @@ def build(cat: Catalog, p: ReportParams) -> DataFrame:
     # the delivery, as the reference's join-then-group does.
     rej = rejection_flags(cat)
     hold = holding_windows(cat).drop("is_in_hold_container")
-    side = (ds.join(assignment_flags(cat), "delivery_uuid", "left").drop("delivery_uuid")
+    side = (ds.join(assigned_deliveries(cat, p), "sys_delivery_id", "left")
               .join(rej, "sys_delivery_id", "left")
               .join(hold, "sys_delivery_id", "left")
               .withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy("sys_delivery_id"))))

@@ -4,8 +4,15 @@ in euros, rejections, repeat orders, review scores).
 
 Inputs are the staging mart (M2), the repeat-order mart (M1), the ticket
 mart (M3), the rejection bridge and the constant euro-rate table.  Every
-side input is keyed by delivery id, so the staging rows are shuffled once for
-all of those joins, then once more for the rollup.
+side input is keyed by delivery id and brought to one row per delivery (with
+the number of rows it stands for), so the staging rows are shuffled once for
+all of those joins (not at all if the marts are stored by delivery id) and
+never multiplied by them.
+
+The distinct counts need no copies of the rows: rows are first totalled per
+(keys, delivery) where they lie, which makes the delivery counts plain counts.
+Only the repeat orders' ids are then exploded, and only those that exist, to
+be counted once per (keys, ordinal, id).
 """
 
 from __future__ import annotations
@@ -124,69 +131,122 @@ def pool_times(ds: DataFrame) -> DataFrame:
         *[F.sum(F.col(n) * F.col("__each")).alias(n) for n in POOL_TIMES])
 
 
-def measures() -> list[Column]:
-    """The 53 measures over the joined rows, of which each stands for
-    ``__copies`` rows; the pool times are totals over those rows already."""
-    copies = F.col("__copies")
+REORDER_GAPS = [f"days_between_{'current_order' if i == 0 else ORDINALS[i - 1] + '_reorder'}_and_{name}_reorder"
+                for i, name in enumerate(ORDINALS)]
+
+
+def reorder_totals(reorder_mart: DataFrame) -> DataFrame:
+    """Per delivery of the repeat-order mart: ``__chains``, its rows there (one,
+    unless its deliveries repeat), the totals of its gaps and subtotals, and its
+    repeat orders' ids, a list of as many elements for each ordinal."""
+    out = [F.count(F.lit(1)).alias("__chains")]
+    for name, gap in zip(ORDINALS, REORDER_GAPS):
+        out += [F.sum(gap).alias(f"{name}_reorder_days_sum"),
+                F.sum(f"{name}_reorder_food_subtotal").alias(f"{name}_reorder_food_subtotal"),
+                F.collect_set(f"{name}_reorder_sys_delivery_id").alias(f"__{name}_ids")]
+    return reorder_mart.groupBy("sys_delivery_id").agg(*out)
+
+
+def ticket_totals(ticket_mart: DataFrame) -> DataFrame:
+    """Per delivery: its rows in the ticket mart and whether they name a ticket."""
+    return ticket_mart.groupBy("sys_delivery_id", "has_ticket").agg(F.count(F.lit(1)).alias("__tickets")) \
+        .withColumnRenamed("has_ticket", "__has_ticket")
+
+
+def row_amounts() -> dict[str, Column]:
+    """What a staging row adds to each sum.  It stands for ``__copies`` rows
+    (see :func:`pool_times`); the pool times are totals over those rows already.
+    A delivery's tickets repeat either."""
+    tickets = F.coalesce(F.col("__tickets"), F.lit(1))
+    copies = F.col("__copies") * tickets
 
     def total(x: Column) -> Column:
-        return F.sum(x * copies)
+        return x * copies
 
     pooled = F.col("is_multi_collect") == 1
-    out = [
-        # Distinct deliveries, and two filtered variants of the same count:
-        # written with FILTER so Spark evaluates all three in one expansion
-        # group (per key and delivery, one max per filter) instead of three.
-        F.count_distinct("sys_delivery_id").alias("delivery_count"),
-        (F.sum(F.when(pooled, _z("assignment_time_gap_sec")).otherwise(F.lit(0))) / F.lit(60.0))
-        .alias("assignment_time_gap_mins_sum"),
-        (F.sum(F.when(pooled, _z("accepted_time_gap_sec")).otherwise(F.lit(0))) / F.lit(60.0))
-        .alias("acceptance_time_gap_mins_sum"),
-    ]
-    out += [((F.sum(_z(src)) if src == POOL_TIME else total(_z(src))) / F.lit(60.0)).alias(name)
-            for name, src in MINUTE_SUMS]
-    out += [total(_z(src)).alias(name) for name, src in LOCAL_SUMS]
-    out += [
-        total(_z("rejections_count")).alias("rejections_sum"),
-        F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rejections_count > 0)").alias("rejected_offer_count"),
-        total(_z("food_subtotal")).alias("food_subtotal"),
-    ]
-    out += [total(_z(a)).alias(a) for a in ADJUSTMENTS]
+    out = {"assignment_time_gap_mins_sum": F.when(pooled, _z("assignment_time_gap_sec")).otherwise(F.lit(0)) * tickets,
+           "acceptance_time_gap_mins_sum": F.when(pooled, _z("accepted_time_gap_sec")).otherwise(F.lit(0)) * tickets}
+    out |= {name: _z(src) * tickets if src == POOL_TIME else total(_z(src)) for name, src in MINUTE_SUMS}
+    out |= {name: total(_z(src)) for name, src in LOCAL_SUMS}
+    out |= {"rejections_sum": total(_z("rejections_count")), "food_subtotal": total(_z("food_subtotal"))}
+    out |= {a: total(_z(a)) for a in ADJUSTMENTS}
     cost = _z("courier_pay_without_tips_or_courier_adjustments") - _z("company_net_adjustment_sum")
-    out.append(total(cost).alias("total_order_cost_sum"))
+    out["total_order_cost_sum"] = total(cost)
     rate = F.col("local_currency_to_euros")
-    out += [
-        total(_z("courier_pay_without_tips") / rate).alias("courier_pay_without_tips_euros_sum"),
-        total(_z("courier_pay_without_tips_or_courier_adjustments") / rate)
-        .alias("courier_pay_without_tips_or_courier_adjustments_euros_sum"),
-    ]
-    out += [total(_z(a) / rate).alias(a.replace("_sum", "_euros_sum")) for a in ADJUSTMENTS]
-    out.append(total(cost / rate).alias("total_order_cost_euros_sum"))
-    out += [
-        # rc_sys_delivery_id equals sys_delivery_id wherever the join matched
-        F.expr("count(DISTINCT sys_delivery_id) FILTER (WHERE rc_sys_delivery_id IS NOT NULL)")
-        .alias("orders_with_min_1_reorder_count"),
-    ]
-    prev = "current_order"
-    for name in ORDINALS:
-        out += [
-            F.coalesce(F.count_distinct(f"rc_{name}_reorder_sys_delivery_id"), F.lit(0)).alias(f"{name}_reorders_count"),
-            F.coalesce(total(F.col(f"rc_days_between_{prev}_and_{name}_reorder")), F.lit(0)).alias(f"{name}_reorder_days_sum"),
-            F.coalesce(total(F.col(f"rc_{name}_reorder_food_subtotal")), F.lit(0)).alias(f"{name}_reorder_food_subtotal"),
-        ]
-        prev = f"{name}_reorder"
-    out += [
-        total(_z("collect_accessibility_minutes")).alias("restaurant_accessibility_time_mins"),
-        total(_z("courier_pay_without_tips") - _z("company_net_adjustment_sum") - _z("custo_net_adjustment_sum"))
-        .alias("total_order_cost_less_customer_refunds_sum"),
-        total(F.when(F.col("is_score_positive") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long"))
-        .alias("positive_scores_count"),
-        total(F.when(F.col("is_score_positive") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
-        .alias("non_positive_scores_count"),
-    ]
+    pay = ["courier_pay_without_tips", "courier_pay_without_tips_or_courier_adjustments"]
+    out |= {f"{c}_euros_sum": total(_z(c) / rate) for c in pay}
+    out |= {a.replace("_sum", "_euros_sum"): total(_z(a) / rate) for a in ADJUSTMENTS}
+    out["total_order_cost_euros_sum"] = total(cost / rate)
+    out["restaurant_accessibility_time_mins"] = total(_z("collect_accessibility_minutes"))
+    out["total_order_cost_less_customer_refunds_sum"] = total(
+        _z("courier_pay_without_tips") - _z("company_net_adjustment_sum") - _z("custo_net_adjustment_sum"))
+    for name, score in (("positive_scores_count", 1), ("non_positive_scores_count", 0)):
+        out[name] = total(F.when(F.col("is_score_positive") == score, F.lit(1)).otherwise(F.lit(0)).cast("long"))
     return out
 
 
+IN_MINUTES = ["assignment_time_gap_mins_sum", "acceptance_time_gap_mins_sum", *[name for name, _ in MINUTE_SUMS]]
+
+# Output measures, in the reference's order.
+MEASURES = [
+    "delivery_count", *IN_MINUTES, *[name for name, _ in LOCAL_SUMS], "rejections_sum", "rejected_offer_count",
+    "food_subtotal", *ADJUSTMENTS, "total_order_cost_sum", "courier_pay_without_tips_euros_sum",
+    "courier_pay_without_tips_or_courier_adjustments_euros_sum", *[a.replace("_sum", "_euros_sum") for a in ADJUSTMENTS],
+    "total_order_cost_euros_sum", "orders_with_min_1_reorder_count",
+    *[f"{name}_{what}" for name in ORDINALS for what in ("reorders_count", "reorder_days_sum", "reorder_food_subtotal")],
+    "restaurant_accessibility_time_mins", "total_order_cost_less_customer_refunds_sum",
+    "positive_scores_count", "non_positive_scores_count",
+]
+
+
+def per_delivery(keyed: DataFrame) -> DataFrame:
+    """One row per (keys, delivery): the sums of its rows, how many rows they
+    stand for (``__stands``) and whether the offer was rejected.  No exchange:
+    the rows are placed by delivery already."""
+    return keyed.groupBy(*GROUP_KEYS, "sys_delivery_id").agg(
+        *[F.sum(x).alias(name) for name, x in row_amounts().items()],
+        F.sum(F.col("__copies") * F.coalesce(F.col("__tickets"), F.lit(1))).alias("__stands"),
+        F.max((F.col("rejections_count") > 0).cast("int")).alias("__rejected"))
+
+
+def report(deliveries: DataFrame, reorder_mart: DataFrame) -> DataFrame:
+    """The rollup of :func:`per_delivery` rows to the report keys.
+
+    Each delivery gives one row with its sums (ordinal 0) and one for each repeat
+    order's id.  They are combined per (keys, ordinal, id) before the first
+    exchange, where the rows of ordinal 0 shrink to one per key group and task,
+    and then per key group."""
+    reorders = reorder_totals(reorder_mart).withColumnRenamed("sys_delivery_id", "__of")
+    both = deliveries.join(reorders, F.col("sys_delivery_id") == F.col("__of"), "left")
+    chains = F.coalesce(F.col("__chains"), F.lit(1))
+    amounts = {name: F.col(name) * chains for name in row_amounts()}
+    amounts |= {f"{name}_{what}": F.col(f"{name}_{what}") * F.col("__stands")
+                for name in ORDINALS for what in ("reorder_days_sum", "reorder_food_subtotal")}
+    amounts |= {"delivery_count": F.lit(1).cast("long"),
+                "rejected_offer_count": F.coalesce(F.col("__rejected"), F.lit(0)).cast("long"),
+                "orders_with_min_1_reorder_count": F.col("__chains").isNotNull().cast("long")}
+
+    def named(ordinal: int, ids: Column) -> Column:
+        return F.transform(ids, lambda x: F.struct(F.lit(ordinal).alias("ordinal"), x.alias("id")))
+
+    none = F.array().cast("array<bigint>")
+    mentions = F.concat(named(0, F.array(F.lit(None).cast("long"))),
+                        *[named(i, F.coalesce(F.col(f"__{name}_ids"), none)) for i, name in enumerate(ORDINALS, 1)])
+    rows = both.select(*GROUP_KEYS, *[x.alias(name) for name, x in amounts.items()], F.inline(mentions))
+    own = F.col("ordinal") == F.lit(0)
+    once = rows.groupBy(*GROUP_KEYS, "ordinal", "id").agg(*[F.sum(F.when(own, F.col(n))).alias(n) for n in amounts])
+
+    def measure(name: str) -> Column:
+        for i, which in enumerate(ORDINALS, 1):
+            if name == f"{which}_reorders_count":
+                return F.count(F.when(F.col("ordinal") == F.lit(i), F.lit(1)))
+            if name.startswith(f"{which}_reorder"):
+                return F.coalesce(F.sum(name), F.lit(0))
+        return F.sum(name) / F.lit(60.0) if name in IN_MINUTES else F.sum(name)
+
+    return wide_rollup(once, GROUP_KEYS, [measure(n).alias(n) for n in MEASURES])
+
+
 def build(cat: Catalog, spark: SparkSession, staging_mart: DataFrame, reorder_mart: DataFrame,
           ticket_mart: DataFrame, dedupe: bool = False) -> DataFrame:
     """The mart.  A delivery with several staging rows counts in every sum as
@@ -197,14 +257,11 @@ def build(cat: Catalog, spark: SparkSession, staging_mart: DataFrame, reorder_ma
         ds = latest_per_key(ds, ["sys_delivery_id"], ["ccdd_id", "multi_collect_sequence",
                                                       "collect_assigned_time_local", "collect_accepted_time_local"])
     pt = pool_times(ds).withColumnRenamed("sys_delivery_id", "pt_sys_delivery_id")
-    rc = reorder_mart.select(*[F.col(c).alias("rc_" + c) for c in reorder_mart.columns])
-    ti = ticket_mart.select(F.col("sys_delivery_id").alias("ti_sys_delivery_id"),
-                            F.col("has_ticket").alias("ti_has_ticket"))
+    ti = ticket_totals(ticket_mart).withColumnRenamed("sys_delivery_id", "ti_sys_delivery_id")
     rj = rejection_counts(cat).withColumnRenamed("sys_delivery_id", "rj_sys_delivery_id")
     did = F.col("sys_delivery_id")
     joined = (ds.join(pt, did == F.col("pt_sys_delivery_id"), "inner")
                 .join(rj, did == F.col("rj_sys_delivery_id"), "left")
-                .join(rc, did == F.col("rc_sys_delivery_id"), "left")
                 .join(ti, did == F.col("ti_sys_delivery_id"), "left"))
     joined = with_euro_rate(joined, spark)
     keyed = (joined
@@ -212,5 +269,5 @@ def build(cat: Catalog, spark: SparkSession, staging_mart: DataFrame, reorder_ma
                          F.when(F.col("company_net_adjustment_sum") < 0, F.lit(1)).otherwise(F.lit(0)))
              .withColumn("has_begin_parking_time",
                          F.when(F.col("delivery_begin_parking_time_local").isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-             .withColumn("has_ticket", F.when(F.col("ti_has_ticket") == 1, F.lit(1)).otherwise(F.lit(0))))
-    return wide_rollup(keyed, GROUP_KEYS, measures())
+             .withColumn("has_ticket", F.when(F.col("__has_ticket") == 1, F.lit(1)).otherwise(F.lit(0))))
+    return report(per_delivery(keyed), reorder_mart)

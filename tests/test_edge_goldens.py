@@ -59,6 +59,19 @@ def test_pool_gain_legs(spark):
     assert len(out) == 8
 
 
+def test_several_first_legs_and_repeated_rows(spark):
+    """Two leg-1 rows in a pool, one of them without a time, give each row of the pool
+    twice; a row given twice counts as two; unpooled leg-1 rows are no first legs."""
+    rows = [(1, 10, 1, 5.0, 3.0, 7.0, 100), (2, 10, 1, 5.0, 3.0, None, 100), (3, 10, 2, 8.0, 9.0, 1.0, 50),
+            (4, 20, 1, 1.0, 1.0, 2.0, 1), (4, 20, 1, 1.0, 1.0, 2.0, 1), (5, 20, 2, 1.0, 1.0, 3.0, 1),
+            (6, None, 1, 1.0, 1.0, 4.0, 1), (7, None, 2, 1.0, 1.0, 5.0, 1)]
+    got = {}
+    for r in staging.with_pool_columns(_pool_rows(spark, rows)).collect():
+        got.setdefault(r.sys_delivery_id, []).append(r.first_order_deliver_original_total_driving_time_min)
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {
+        1: [7.0, None], 2: [7.0, None], 3: [7.0, None], 4: [2.0] * 4, 5: [2.0] * 2, 6: [None], 7: [None]}
+
+
 def _ticket_catalog(spark, rows):
     schema = ("ticket struct<ticket_order_id_local:string, contact_origin:string, ticket_origin:string, "
               "ticket_id_local:string, query_type:string, chat_ids_list:array<string>, "

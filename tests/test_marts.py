@@ -91,3 +91,30 @@ def test_summary_repeats_a_repeated_delivery_as_the_joins_do(cat, spark, m2):
         assert once[0] == n_tickets * row.first().ptod_sec / 60.0
         assert twice[0] == factor * once[0] and twice[1] == once[1]
         assert ptod(row.unionAll(row), dedupe=True) == once
+
+
+def test_summary_counts_distinct_ids_as_plain_distinct_counts(cat, spark, m2):
+    """With staging, repeat-order and ticket rows given twice, against distinct counts
+    over the multiplied rows of all joins."""
+    m1, m3 = reorders.build(cat, P).cache(), tickets.build(cat, P, m2).cache()
+    some = m2.where(F.col("sys_delivery_id") % 3 == 0)
+    shared = m1.limit(40).withColumn("first_reorder_sys_delivery_id", F.lit(77).cast("long"))  # one id of many deliveries
+    m2x, m1x, m3x = m2.unionAll(some), m1.unionAll(shared), m3.unionAll(m3)
+    keys = [k for k in summary.GROUP_KEYS if k in m2.columns]
+    rj = summary.rejection_counts(cat)
+    rows = (m2x.join(summary.pool_times(m2x), "sys_delivery_id").join(rj, "sys_delivery_id", "left")
+            .join(m1x.withColumn("hit", F.lit(1)), "sys_delivery_id", "left").join(m3x, ["tenant_id", "sys_delivery_id"], "left")
+            .withColumn("is_negative_company_net_adjustment", F.when(F.col("company_net_adjustment_sum") < 0, 1).otherwise(0))
+            .withColumn("has_begin_parking_time", F.when(F.col("delivery_begin_parking_time_local").isNotNull(), 1).otherwise(0))
+            .withColumn("has_ticket", F.coalesce("has_ticket", F.lit(0))))
+    want = rows.groupBy(*summary.GROUP_KEYS).agg(
+        F.count_distinct("sys_delivery_id"), F.count_distinct(F.when(F.col("rejections_count") > 0, F.col("sys_delivery_id"))),
+        F.count_distinct(F.when(F.col("hit") == 1, F.col("sys_delivery_id"))),
+        *[F.count_distinct(f"{n}_reorder_sys_delivery_id") for n in reorders.ORDINALS],
+        F.sum(F.col("__copies") * F.coalesce("ptod_sec", F.lit(0))) / 60.0,
+        F.coalesce(F.sum(F.col("__copies") * F.col("days_between_current_order_and_first_reorder")), F.lit(0)))
+    got = summary.build(cat, spark, m2x, m1x, m3x).select(
+        *summary.GROUP_KEYS, "delivery_count", "rejected_offer_count", "orders_with_min_1_reorder_count",
+        *[f"{n}_reorders_count" for n in reorders.ORDINALS], "ptod_mins_sum", "first_reorder_days_sum")
+    assert len(keys) == 28
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, (tuple(r) for r in want.collect())))

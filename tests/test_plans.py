@@ -1,6 +1,8 @@
 """Physical-plan checks: the properties the scale design relies on."""
 
-from tandem.plans import catalogue, reorders, staging
+import pytest
+
+from tandem.plans import catalogue, reorders, staging, summary, tickets
 from tandem.plans.params import FIXTURE_PARAMS as P
 
 SF = "/root/testdata/sf0.001"
@@ -47,5 +49,66 @@ def test_lead_chain_is_one_lazy_plan(spark, cat):
     assert "__bucket" in text
 
 
-def test_first_legs_come_by_a_join(cat):
-    assert "collect_list" not in plan(staging.build(cat, P))
+@pytest.fixture(scope="module")
+def stored(spark, cat, tmp_path_factory):
+    """The inputs as tables of their own, as in production."""
+    from tandem.sources.catalog import INPUTS, parquet_catalog
+    root = tmp_path_factory.mktemp("inputs")
+    for name in INPUTS:
+        cat[name].write.parquet(f"{root}/{name}")
+    return parquet_catalog(spark, {name: f"{root}/{name}" for name in INPUTS}), str(root)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Plans as for tables too large to broadcast, before any run."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def widths(df):
+    """(partitioning, number of columns) of each hash exchange of the plan."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString().split("\n")[0]:
+            found.append((node.toString().split("\n")[0], node.output().size()))
+    return found
+
+
+def test_staging_reads_each_input_once(stored, shuffled):
+    """The first legs and the assignments cost no second star join."""
+    cat, root = stored
+    text = plan(staging.build(cat, P))
+    for name in ("fact_orders_resto", "fact_order_financial_metrics", "fact_resto_reviews", "pos_injection", "dim_resto",
+                 "bridge_multi_collect", "global_adjustments", "assignment_log", "bridge_blacklisted_couriers"):
+        assert text.count(f"{root}/{name}]") == 1, name
+    scans = [ln for ln in text.splitlines() if f"{root}/fact_deliveries]" in ln]
+    assert len(scans) == 2  # the second one, for the uuids, has four columns
+    assert min(ln.split("ReadSchema")[1].count(":") for ln in scans) <= 5
+
+
+def test_staging_rows_cross_three_exchanges(stored, shuffled):
+    """On the order, the delivery and the pool; dimensions are small (broadcast) in production."""
+    cat, _ = stored
+    wide = [line for line, columns in widths(staging.build(cat, P)) if columns > 25]
+    by = lambda key: [w for w in wide if key in w.split("),")[0]]
+    facts = [w for w in wide if not any(k in w for k in ("resto_id", "zone_id"))]
+    assert len(facts) <= 3, facts
+    assert len(by("sys_delivery_id")) == 1 and len(by("ccdd_id")) == 1
+
+
+def test_summary_plan_has_no_expand(spark, stored, shuffled):
+    """Distinct counts without copies of the rows."""
+    cat, _ = stored
+    m2 = staging.build(cat, P)
+    text = plan(summary.build(cat, spark, m2, reorders.build(cat, P), tickets.build(cat, P, m2)))
+    rollup = text.split("SortMergeJoin")[0]  # what stands above the joins
+    assert "Expand" not in rollup and "HashAggregate" in rollup
