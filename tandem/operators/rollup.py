@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import bounded_broadcast
-
 # Local currency units per euro by tenant.
 EURO_RATES = [("ca", 1.47), ("uk", 0.851), ("ie", 1.0), ("au", 1.579), ("nz", 1.6)]
 
@@ -26,19 +24,10 @@ def any_and_count(flags: Sequence[str], count_suffix: str = "_count") -> list[Co
     return out
 
 
-def distinct_if(pred: Column, col: Column) -> Column:
-    """COUNT(DISTINCT CASE WHEN pred THEN col END)."""
-    return F.count_distinct(F.when(pred, col))
-
-
-def zero_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
-
-
 def euro_rates(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("tenant_id", T.StringType()),
                            T.StructField("local_currency_to_euros", T.DoubleType())])
-    return bounded_broadcast(spark.createDataFrame(EURO_RATES, schema))
+    return F.broadcast(spark.createDataFrame(EURO_RATES, schema))  # five rows, whatever the input
 
 
 def with_euro_rate(df: DataFrame, spark: SparkSession, tenant_col: str = "tenant_id") -> DataFrame:

@@ -332,14 +332,26 @@ def prefix_scan(spark, sf_dir):
 
 
 def mart_roundtrip(spark, sf_dir):
-    """The utilisation mart written twice with replace-whole-table semantics,
-    then read back as the next mart would read it."""
-    from ..sources.sink import overwrite_mart
+    """The utilisation mart committed twice with replace-whole-table semantics and
+    the first one's schema, then read back as the next mart would read it."""
+    from ..sources.sink import overwrite_mart, read_mart
     root = _scratch(spark, "marts")
     mart = utilisation.build(driver_catalog(spark, sf_dir), P)
-    overwrite_mart(mart, root, "utilisation_ie")
-    overwrite_mart(mart, root, "utilisation_ie")
-    return spark.read.parquet(os.path.join(root, "utilisation_ie"))
+    first = overwrite_mart(mart, root, "utilisation_ie")
+    overwrite_mart(mart, root, "utilisation_ie", schema=first.schema)
+    return read_mart(spark, root, "utilisation_ie")
+
+
+def colocated_join(spark, sf_dir):
+    """Orders and lines stored in buckets of the order key and joined where they lie."""
+    from ..sources.sink import overwrite_mart, read_commit
+    root, parts = _scratch(spark, "buckets"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    li = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    stored = [read_commit(spark, overwrite_mart(t, root, name, bucket_by=["o_orderkey"], buckets=parts))
+              for name, t in (("orders", o), ("lines", li))]
+    lines = stored[1].groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+    return stored[0].join(lines, "o_orderkey", "left")
 
 
 QUERIES = {
@@ -378,4 +390,5 @@ QUERIES = {
     "holding_windows": holding_windows,
     "prefix_scan": prefix_scan,
     "mart_roundtrip": mart_roundtrip,
+    "colocated_join": colocated_join,
 }
