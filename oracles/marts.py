@@ -169,7 +169,7 @@ leg AS (
   WINDOW pool AS (PARTITION BY ccdd_id)
 ),{RESTAURANTS},
 zone AS (
-  SELECT sys_courier_delivery_zone_id AS id, name, sys_zone_group_id, zone_group_name, {area_km2('polygon')} AS area FROM dim_zones
+  SELECT sys_courier_delivery_zone_id AS id, name, sys_zone_group_id, zone_group_name, round({area_km2('polygon')}, 1) AS area FROM dim_zones
 ),
 priced AS (
   SELECT *, count(*) OVER (PARTITION BY sys_delivery_id) AS rows_of_delivery

@@ -25,45 +25,35 @@ R_START, R_END = window_sql(REFUNDS_CUTOFF)
 ORD = ["first", "second", "third", "fourth"]
 
 
-def _reorder_sql() -> str:
-    leads = []
-    for n in range(1, 5):
-        for src, tag in (("sys_delivery_id", "id"), ("order_date", "date"), ("food_subtotal", "sub")):
-            leads.append(f"LEAD({src}, {n}) OVER w AS {tag}_{n}")
-    outs = ["sys_delivery_id"]
-    prev = "order_date"
-    prev_name = "current_order"
-    for n in range(1, 5):
-        name = ORD[n - 1]
-        outs += [f"id_{n} AS {name}_reorder_sys_delivery_id",
-                 f"CAST(date_diff('day', {prev}, date_{n}) AS BIGINT) AS days_between_{prev_name}_and_{name}_reorder",
-                 f"sub_{n} AS {name}_reorder_food_subtotal"]
-        prev, prev_name = f"date_{n}", f"{name}_reorder"
-    gaps = [f"days_between_{a}_and_{b}_reorder" for a, b in
-            (("current_order", "first"), ("first_reorder", "second"),
-             ("second_reorder", "third"), ("third_reorder", "fourth"))]
-    cond = [f"{gaps[0]} <= 60"] + [f"({g} <= 60 OR {g} IS NULL)" for g in gaps[1:]]
+def chain_sql(where: str = "") -> str:
+    """The relation ``next_orders``: each delivered delivery of the window with its
+    customer's next four orders.  ``where`` narrows the deliveries."""
+    following = {"id": "sys_delivery_id", "date": "order_date", "sub": "food_subtotal"}
+    leads = ", ".join(f"lead({col}, {n}) OVER later AS {tag}_{n}" for n in range(1, 5) for tag, col in following.items())
+    named, since, since_name = ["sys_delivery_id"], "order_date", "current_order"
+    for n, name in enumerate(ORD, 1):
+        named += [f"id_{n} AS {name}_reorder_sys_delivery_id",
+                  f"CAST(date_diff('day', {since}, date_{n}) AS BIGINT) AS days_between_{since_name}_and_{name}_reorder",
+                  f"sub_{n} AS {name}_reorder_food_subtotal"]
+        since, since_name = f"date_{n}", f"{name}_reorder"
     return f""",
-m1_staged AS (
-  SELECT fd.tenant_id, fd.sys_delivery_id, fo.order_date, fo.food_subtotal, fo.sys_custo_id, fo.order_datetime
-  FROM fact_deliveries fd JOIN fact_orders_resto fo ON fo.sys_order_id = fd.sys_order_id
-  WHERE fo.order_date BETWEEN {START} AND {END}
-    AND fd.delivery_status = 'DELIVERED' AND fd.tenant_id = 'ie'
-),
-m1_chain AS (
-  SELECT sys_delivery_id, order_date, {', '.join(leads)}
-  FROM m1_staged
-  WINDOW w AS (PARTITION BY tenant_id, sys_custo_id ORDER BY order_datetime NULLS FIRST, sys_delivery_id)
-),
-m1_out AS (
-  SELECT {', '.join(outs)} FROM m1_chain
-),
-reorder_info AS (
-  SELECT * FROM m1_out WHERE {' AND '.join(cond)}
+next_orders AS (
+  SELECT {', '.join(named)} FROM (
+    SELECT d.sys_delivery_id, o.order_date, {leads}
+    FROM fact_orders_resto o JOIN fact_deliveries d USING (sys_order_id)
+    WHERE d.delivery_status = 'DELIVERED' AND o.order_date BETWEEN {START} AND {END} {where}
+    WINDOW later AS (PARTITION BY d.tenant_id, o.sys_custo_id ORDER BY o.order_datetime NULLS FIRST, d.sys_delivery_id))
 )"""
 
 
-REORDER_CTES = _reorder_sql()
+def _near() -> str:
+    gaps = [f"days_between_{a}_and_{b}_reorder" for a, b in zip(
+        ("current_order", *(f"{n}_reorder" for n in ORD)), ORD)]
+    return " AND ".join([f"{gaps[0]} <= 60", *(f"coalesce({g} <= 60, TRUE)" for g in gaps[1:])])
+
+
+REORDER_CTES = chain_sql("AND d.tenant_id = 'ie'") + f""",
+reorder_info AS (SELECT * FROM next_orders WHERE {_near()})"""
 
 
 def utc(ts: str, tz: str = "timezone") -> str:
@@ -93,11 +83,19 @@ def ms_trunc(end: str, start: str) -> str:
     return f"trunc(date_diff('millisecond', {start}, {end}) / 1000)"
 
 
-def area_km2(poly: str) -> str:
-    edge = (f"(radians({poly}[i + 1].lon) - radians({poly}[i].lon)) * "
-            f"(2 + sin(radians({poly}[i].lat)) + sin(radians({poly}[i + 1].lat)))")
-    return (f"round(abs(list_sum(list_transform(range(1, len({poly})), lambda i: {edge}))) "
-            f"* 6371010.0 * 6371010.0 / 2 / 1000000, 1)")
+def area_km2(ring: str) -> str:
+    """Area inside a closed ring of great-circle edges: the solid angles of the triangles
+    that its first corner makes with each edge, by the corners' unit vectors."""
+    def dot(a: str, b: str) -> str:
+        return f"({a}[1] * {b}[1] + {a}[2] * {b}[2] + {a}[3] * {b}[3])"
+
+    a, b, c = "v[1]", "v[i]", "v[i + 1]"
+    volume = " + ".join(f"{a}[{i}] * ({b}[{j}] * {c}[{k}] - {b}[{k}] * {c}[{j}])" for i, j, k in ((1, 2, 3), (2, 3, 1), (3, 1, 2)))
+    triangle = f"2 * atan2({volume}, 1 + {dot(a, b)} + {dot(b, c)} + {dot(c, a)})"
+    corners = (f"list_transform({ring}, lambda p: [cos(radians(p.lat)) * cos(radians(p.lon)), "
+               f"cos(radians(p.lat)) * sin(radians(p.lon)), sin(radians(p.lat))])")
+    angle = f"list_transform([{corners}], lambda v: abs(list_sum(list_transform(range(2, len(v) - 1), lambda i: {triangle}))))[1]"
+    return f"(least({angle}, 4 * pi() - {angle}) * 6371010.0 * 6371010.0 / 1000000)"
 
 
 # The report ladders below have these limits and labels.

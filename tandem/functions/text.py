@@ -26,15 +26,45 @@ FOOD_QUALITY_LIKES = ["%food_quality%", "%quality_of_food%"]
 SATELLITE_ZONE_LIKE = "SAT - %"
 
 
-# Full-width forms of the printable ASCII characters, and the wide space.
-_WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "\u3000"
-_PLAIN = "".join(map(chr, range(0x21, 0x7F))) + " "
+def folded(word: str) -> str:
+    """The compatibility form of a text without case (NFKC, full case folding)."""
+    once = unicodedata.normalize("NFKC", word).casefold()
+    return unicodedata.normalize("NFKC", once)
+
+
+def _expansions() -> dict[str, str]:
+    """Single characters of the Latin and letter-like blocks and the Latin ligatures
+    whose folded form is several characters ('ß', 'ﬁ', '½', '™')."""
+    blocks = [*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2190), *range(0xFB00, 0xFB07)]
+    return {chr(c): folded(chr(c)) for c in blocks
+            if len(folded(chr(c))) > 1 and not folded(chr(c)).isspace() and not any(map(unicodedata.combining, folded(chr(c))))}
+
+
+_EXPANSIONS = _expansions()
+
+
+def written_out(text: Column) -> Column:
+    """``text`` with the characters that stand for several letters written out."""
+    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(several).alias("several")) for one, several in _EXPANSIONS.items()])
+    without = F.translate(text, "".join(_EXPANSIONS), "")  # in one pass: does the text hold any?
+    return F.when(F.octet_length(without) < F.octet_length(text),
+                  F.aggregate(pairs, text, lambda done, p: F.replace(done, p["one"], p["several"]))).otherwise(text)
+
+
+def contains_folded(plain: Column, word: str) -> Column:
+    """`contains_ci` for a text that is :func:`written_out` already."""
+    return F.contains(F.collate(plain, "UNICODE_CI"), F.collate(F.lit(folded(word)), "UNICODE_CI"))
 
 
 def contains_ci(text: Column, word: str) -> Column:
-    """Substring test without regard to case or character width; null text gives null."""
-    folded = F.lower(F.translate(text, _WIDE, _PLAIN))
-    return F.contains(folded, F.lit(unicodedata.normalize("NFKC", word).lower()))
+    """Substring test on normalised texts: without regard to case, character width or
+    other compatibility forms, and equal for composed and combining accents; null text
+    gives null.
+
+    The comparison is the JVM's (a Unicode collation without case).  It matches whole
+    characters only, so characters that stand for several letters are written out first,
+    in texts that hold any."""
+    return contains_folded(written_out(text), word)
 
 
 def contains_any_ci(text: Column, words) -> Column:

@@ -53,12 +53,17 @@ def gap_filter(max_days: int, depth: int = 4) -> Column:
     return cond
 
 
-def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame:
-    """Each delivery with its customer's next ``depth`` orders (no gap rule)."""
+def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False, drop_null_customer: bool = False) -> DataFrame:
+    """Each delivery with its customer's next ``depth`` orders (no gap rule).
+
+    The reference's window makes one customer of all orders without a customer.  With
+    ``drop_null_customer`` they follow no one: they are taken out before the chain, which
+    then neither sorts nor shuffles them, and come back with no next orders."""
     depth = p.reorder_depth
     staged = delivered_orders(cat, p, all_tenants)
+    known = staged.where(F.col("sys_custo_id").isNotNull()) if drop_null_customer else staged
     chained = lead_chain(
-        staged,
+        known,
         keys=["tenant_id", "sys_custo_id"],
         order=["order_datetime", "sys_delivery_id"],
         values={"sys_delivery_id": "__id_{n}", "order_date": "__date_{n}",
@@ -66,6 +71,8 @@ def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame
         depth=depth,
         bucket=hour_of("order_datetime"),
     )
+    if drop_null_customer:
+        chained = chained.unionByName(staged.where(F.col("sys_custo_id").isNull()), allowMissingColumns=True)
     names = reorder_columns(depth)
     out = [F.col("sys_delivery_id")]
     prev_date = F.col("order_date")
@@ -78,5 +85,5 @@ def chain(cat: Catalog, p: ReportParams, all_tenants: bool = False) -> DataFrame
     return chained.select(*out)
 
 
-def build(cat: Catalog, p: ReportParams) -> DataFrame:
-    return chain(cat, p).where(gap_filter(p.max_reorder_gap_days, p.reorder_depth))
+def build(cat: Catalog, p: ReportParams, drop_null_customer: bool = False) -> DataFrame:
+    return chain(cat, p, drop_null_customer=drop_null_customer).where(gap_filter(p.max_reorder_gap_days, p.reorder_depth))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import unicodedata
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import buckets as B
 from ..functions import dates as D
-from ..functions.geo import ring_area_km2
-from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, extract_all, token_count
+from ..functions.geo import polygon_area_km2, ring_area_km2
+from ..functions.text import COLLECT_TOKEN, UUID_PATTERN, contains_folded, extract_all, token_count, written_out
 from ..operators.rollup import with_euro_rate
 from ..operators.windows import dense_and_row_number, hour_of, latest_per_key, lead_chain
 from ..session import ensure_checkpoint_dir
@@ -52,6 +53,11 @@ def reorder_chain(spark, sf_dir):
     return reorders.chain(driver_catalog(spark, sf_dir), P, all_tenants=True)
 
 
+def reorder_chain_known_customers(spark, sf_dir):
+    """The chain with orders of no customer kept out of it."""
+    return reorders.chain(driver_catalog(spark, sf_dir), P, all_tenants=True, drop_null_customer=True)
+
+
 def reorder_chain_hot_split(spark, sf_dir):
     """The skew case of the chain: one group for each tenant, so that a few groups
     hold all rows; their hours keep them apart."""
@@ -156,6 +162,27 @@ def zone_area(spark, sf_dir):
     return z.select("sys_courier_delivery_zone_id", "name", ring_area_km2(F.col("polygon")).alias("zone_area_square_km"))
 
 
+def zone_area_parts(spark, sf_dir):
+    """Zones of two parts: a square, with a hole in every second zone, and a triangle
+    across the 180th meridian; every fifth zone has a ring round the north pole as well."""
+    z = driver_catalog(spark, sf_dir)["dim_zones"].select("sys_courier_delivery_zone_id", "name")
+    k = F.col("sys_courier_delivery_zone_id").cast("double")
+
+    def ring(*corners):
+        return F.array(*[F.struct(F.lit(x).cast("double").alias("lon"), F.lit(y).cast("double").alias("lat"))
+                         for x, y in (*corners, corners[0])])
+
+    def square(x, y, side):
+        return ring((x, y), (x + side, y), (x + side, y + side), (x, y + side))
+
+    shell, hole = square(k, F.lit(40.0), 0.5), square(k + 0.125, F.lit(40.125), 0.25)
+    across = F.array(ring((179.5, -k), (F.lit(-179.0), -k), (179.75, -k - 1.5)))
+    pole = F.array(ring((0, 85), (90, 85), (180, 84), (-90, 85)))
+    whole = F.array(F.when(k % 2 == 0, F.array(shell, hole)).otherwise(F.array(shell)), across)
+    parts = F.when(k % 5 == 0, F.concat(whole, F.array(pole))).otherwise(whole)
+    return z.select("*", F.size(parts).cast("long").alias("parts"), polygon_area_km2(parts).alias("zone_area_square_km"))
+
+
 # --- buckets -----------------------------------------------------------------
 
 def _bins(spark, sf_dir, col_name, bin_expr, src):
@@ -240,6 +267,15 @@ def left_to_inner(spark, sf_dir):
     return j.select("o_orderkey", "o_orderstatus", "l_linenumber", "l_returnflag")
 
 
+def _keyed_events(spark, sf_dir):
+    """Events with the key of their properties as text, which in some is no number."""
+    digits = F.regexp_extract(F.col("props"), r"(\d+)", 1)
+    e = F.col("event_id")
+    key = (F.when(e % 11 == 3, F.concat(F.lit("c-"), digits)).when(e % 13 == 5, F.lit(""))
+           .when(e % 17 == 7, F.concat(digits, F.lit("000000000000000000000"))).otherwise(digits))
+    return _read(spark, sf_dir, "events").select("event_id", key.alias("key"))
+
+
 def cast_key_join(spark, sf_dir):
     ev = _read(spark, sf_dir, "events").select("event_id", "props")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -247,18 +283,65 @@ def cast_key_join(spark, sf_dir):
     return ev.join(c, key == c.c_custkey, "inner").select("event_id", "c_custkey", "c_name")
 
 
-def _system_turn_lists(spark, sf_dir):
-    cv = _read(spark, sf_dir, "conversations")
-    turn = F.when(F.col("role") == "system", F.col("turn"))
-    return cv.groupBy("conv_id").agg(F.collect_list(turn).alias("system_turns"))
+def cast_key_tolerant(spark, sf_dir):
+    """The join of keys that are numbers, and the other keys as rows of their own."""
+    ev = _keyed_events(spark, sf_dir).withColumn("number", F.col("key").try_cast("bigint"))
+    c = _read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    joined = ev.join(c, ev.number == c.c_custkey, "inner").select(
+        "event_id", F.lit("joined").alias("outcome"), "key", "c_name")
+    rejected = ev.where("number is null").select(
+        "event_id", F.lit("rejected").alias("outcome"), "key", F.lit(None).cast("string").alias("c_name"))
+    return joined.unionByName(rejected)
+
+
+def contains_normalised(spark, sf_dir):
+    """Word tests on whole documents written in other forms of the same text: upper case,
+    combining accents, full width, ligatures, sharp s."""
+    d = _read(spark, sf_dir, "documents")
+    text, way = F.col("text"), F.col("doc_id") % 6
+    apart = text
+    for c in "àâäáçéèêëíîïñóôöúùûü":
+        apart = F.replace(apart, F.lit(c), F.lit(unicodedata.normalize("NFD", c)))
+    joined = text
+    for one, several in (("ﬃ", "ffi"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬆ", "st")):
+        joined = F.replace(joined, F.lit(several), F.lit(one))
+    plain = "".join(map(chr, range(0x21, 0x7F)))
+    other = (F.when(way == 0, F.upper(text)).when(way == 1, apart)
+             .when(way == 2, F.translate(text, plain, "".join(chr(ord(c) + 0xFEE0) for c in plain)))
+             .when(way == 3, joined).when(way == 4, F.replace(text, F.lit("ss"), F.lit("ß"))).otherwise(text))
+    words = {"has_tion": "TION", "has_accent": "é", "has_fi": "fi", "has_sts": "st s", "has_ss": "SS"}
+    plain = d.select("doc_id", other.alias("text")).select("doc_id", written_out(F.col("text")).alias("plain"))
+    return plain.select("doc_id", *[contains_folded(F.col("plain"), w).alias(n) for n, w in words.items()])
+
+
+def _turn_lists(spark, sf_dir):
+    """Per conversation two lists of any length, by turn: the user's and the assistant's
+    turns with their lengths.  Some conversations have a null list."""
+    def turns(role):
+        return F.sort_array(F.collect_list(F.when(F.col("role") == role, F.struct("turn", F.length("text").alias("chars")))))
+
+    cid = F.col("conv_id")
+    return (_read(spark, sf_dir, "conversations").groupBy("conv_id")
+            .agg(turns("user").alias("asked"), turns("assistant").alias("answered"))
+            .withColumn("asked", F.when(cid % 10 != 9, F.col("asked")))
+            .withColumn("answered", F.when(cid % 7 != 3, F.col("answered"))))
+
+
+def _unnested(lists: DataFrame, explode) -> DataFrame:
+    """Both lists one after the other: every pair, with the places in the lists."""
+    first = lists.select("conv_id", "answered", explode("asked").alias("ask_place", "ask"))
+    both = first.select("conv_id", "ask_place", "ask", explode("answered").alias("answer_place", "answer"))
+    return both.select("conv_id", F.col("ask_place").cast("long").alias("ask_place"), F.col("ask.turn").alias("ask_turn"),
+                       F.col("ask.chars").cast("long").alias("ask_chars"), F.col("answer_place").cast("long").alias("answer_place"),
+                       F.col("answer.turn").alias("answer_turn"))
 
 
 def unnest_inner(spark, sf_dir):
-    return _system_turn_lists(spark, sf_dir).select("conv_id", F.explode("system_turns").alias("turn"))
+    return _unnested(_turn_lists(spark, sf_dir), F.posexplode)
 
 
 def unnest_left(spark, sf_dir):
-    return _system_turn_lists(spark, sf_dir).select("conv_id", F.explode_outer("system_turns").alias("turn"))
+    return _unnested(_turn_lists(spark, sf_dir), F.posexplode_outer)
 
 
 def token_explode(spark, sf_dir):
@@ -356,6 +439,7 @@ def colocated_join(spark, sf_dir):
 
 QUERIES = {
     "reorder_chain": reorder_chain,
+    "reorder_chain_known_customers": reorder_chain_known_customers,
     "reorder_chain_hot_split": reorder_chain_hot_split,
     "date_window_filter": date_window_filter,
     "latest_event_per_user": latest_event_per_user,
@@ -368,6 +452,7 @@ QUERIES = {
     "datetime_add_minutes": datetime_add_minutes,
     "day_of_week_concat": day_of_week_concat,
     "zone_area": zone_area,
+    "zone_area_parts": zone_area_parts,
     "slack_bins": slack_bins,
     "ctod_bins": ctod_bins,
     "ctod_text": ctod_text,
@@ -379,6 +464,8 @@ QUERIES = {
     "inner_chain": inner_chain,
     "left_to_inner": left_to_inner,
     "cast_key_join": cast_key_join,
+    "cast_key_tolerant": cast_key_tolerant,
+    "contains_normalised": contains_normalised,
     "unnest_inner": unnest_inner,
     "unnest_left": unnest_left,
     "token_explode": token_explode,

@@ -25,6 +25,22 @@ def test_reorder_gap_rule(spark):
     assert kept == [2, 5]
 
 
+def test_orders_without_a_customer_follow_no_one(spark, cat):
+    """Half of the orders have no customer: the option leaves them without next orders and
+    everyone else's chain as it is."""
+    o = cat["fact_orders_resto"]
+    own = cat.with_table("fact_orders_resto", o.withColumn("sys_custo_id", F.when(F.col("sys_order_id") % 2 == 0, F.col("sys_custo_id"))))
+    nobodys = {r.d for r in own["fact_orders_resto"].where("sys_custo_id IS NULL").join(cat["fact_deliveries"], "sys_order_id")
+               .select(F.col("sys_delivery_id").alias("d")).collect()}
+    plain = {r.sys_delivery_id: tuple(r) for r in reorders.chain(own, P, all_tenants=True).collect()}
+    dropped = {r.sys_delivery_id: tuple(r) for r in reorders.chain(own, P, all_tenants=True, drop_null_customer=True).collect()}
+    assert set(plain) == set(dropped) and len(nobodys & set(plain)) > 100
+    assert all(dropped[d][1:] == (None,) * 12 for d in nobodys & set(plain))
+    assert any(plain[d][1] is not None for d in nobodys & set(plain))
+    assert all(dropped[d] == plain[d] for d in set(plain) - nobodys)
+    assert {r.sys_delivery_id for r in reorders.build(own, P, drop_null_customer=True).collect()}.isdisjoint(nobodys)
+
+
 def _pool_rows(spark, rows):
     schema = ("sys_delivery_id long, ccdd_id long, multi_collect_sequence long, "
               "collect_total_driving_time_min double, delivery_total_driving_time_min double, "
