@@ -14,15 +14,32 @@ from pyspark.sql import functions as F
 #: (host, path, verdict); a host without a dot is a top-level domain.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
-# The small labelled table's host words and paths.
-BLOCK_WORDS = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x", "poker-bonus", "xxx-cams",
-               "click-ads", "replica-watches", "payday-loans", "slots-jackpot", "seo-links", "viagra-shop", "lottery-prize",
-               "royal-casino", "pills-online", "bet-casino", "free-spam", "adult-cams", "track-ads")
-ALLOW_WORDS = ("thther", "library", "ththan", "university", "therin", "museum", "weather", "tionsh", "ththble", "recipes",
-               "thernt", "gardening", "ththwh", "science-news", "city-council", "history", "ththes", "open-data", "therou", "ththre",
-               "bakery", "thering", "railway", "ththor", "orchestra")
-BLOCK_PATHS = ("/win/now", "/en/728", "/de/buy-cheap", "/fr/176")
-ALLOW_PATHS = ("/en/676", "/de/articles", "/fr/825", "/es/533")
+# Words of hosts in the small labelled table, and words met in both kinds.
+BLOCK_WORDS = (
+    "spam", "pills", "casino", "bets", "ads", "adult", "poker", "xxx", "cams", "clicks", "replica", "payday", "slots",
+    "jackpot", "seo-links", "viagra", "cialis", "lottery", "prize", "bonus", "gambling", "roulette", "bingo", "porn",
+    "escort", "sexy", "hookup", "betting", "win-cash", "cheap-meds", "pharma-sale", "hair-loss", "weight-loss",
+    "fake-watches", "quick-loans", "torrent-crack", "warez", "keygen", "popunder", "adserver", "tracker-pixel",
+    "spam-farm", "link-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "win-prize")
+ALLOW_WORDS = (
+    "library", "university", "museum", "weather", "recipes", "gardening", "science", "council", "history", "open-data",
+    "bakery", "railway", "orchestra", "school", "news", "travel", "kitchen", "photography", "theatre", "hospital",
+    "football", "chess", "cycling", "astronomy", "physics", "biology", "literature", "poetry", "music", "cinema",
+    "archive", "journal", "magazine", "newspaper", "forum", "community", "software", "developer", "engineering", "design",
+    "architecture", "furniture", "clothing", "bookshop", "flowers", "coffee", "restaurant", "hotel", "airport", "harbour",
+    "mountain", "river", "forest", "nature", "animals", "birds", "garden", "farmers", "market", "insurance",
+    "mortgage", "bank", "energy", "water", "transport", "bicycle", "motor", "repair", "plumber", "carpenter",
+    "painting", "sculpture", "gallery", "dance", "theology", "church", "charity", "volunteers", "parliament", "government",
+    "statistics", "mathematics", "chemistry", "medicine", "dentist", "pharmacy", "nursing", "kindergarten", "family", "parenting",
+    "wedding", "holiday", "camping", "hiking", "climbing", "sailing", "fishing", "running", "tennis", "swimming",
+    "author", "theory", "method", "youth", "northern", "southern", "mother", "brother", "thread", "therapy",
+    "thermal", "theorem", "together", "another", "clothes", "earth", "health", "leather", "feather", "authentic",
+    "nation", "station", "education", "information", "tradition", "translation", "vegetable", "sustainable", "hour", "house")
+EITHER_WORDS = ("online", "best", "free", "my", "city", "the", "world", "shop", "club", "home", "top", "web", "hub", "net")
+SITES = ("www.{}.com", "{}.example.com", "{}.org", "blog.{}.example.org", "m.{}.io", "{}.co.uk", "pages.{}.info", "{}.de")
+PATHS = ("/en/728", "/de/articles", "/fr/176", "/", "/es/533.html", "/index", "/2020/10/page", "")
+#: The ends of hosts that many owners share.
+PUBLIC_SUFFIX = r"\.((co|com|org|net|ac|gov|edu)\.[a-z]{2}|[^.]*)$"
 
 
 def parsed(rows: DataFrame, url: str = "url") -> DataFrame:
@@ -56,18 +73,24 @@ def grams(column: Column, tag: str, sizes=(3, 4, 5)) -> Column:
 
 
 def gram_column() -> Column:
-    """Once each: the host's n-grams without its last two labels, which all pages of a
-    registry share, and those of the path without digits."""
-    own = F.regexp_replace("host", r"\.?[^.]*\.[^.]*$", "")
-    return F.array_distinct(F.concat(grams(F.when(own == "", F.col("host")).otherwise(own), "h:"),
-                                     grams(F.regexp_replace("path", "[0-9]+", "0"), "p:")))
+    """Once each: the n-grams of the host's labels without its public suffix, and those
+    of the path without digits.  A label begins and ends alike wherever it stands, so the
+    registered name reads the same with and without subdomains before it."""
+    own = F.regexp_replace("host", PUBLIC_SUFFIX, "")
+    labels = F.replace(own, F.lit("."), F.lit("$^"))
+    return F.array_distinct(F.concat(grams(labels, "h:"), grams(F.regexp_replace("path", "[0-9]+", "0"), "p:")))
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table: url, label (1: block)."""
-    rows = [(f"https://{w}.example.{tld}{p}", label)
-            for words, paths, label in ((BLOCK_WORDS, BLOCK_PATHS, 1.0), (ALLOW_WORDS, ALLOW_PATHS, 0.0))
-            for w in words for tld, p in zip(("com", "org", "com", "org"), paths)]
+    """The small labelled table: url, label (1: block).  Each word alone, in the
+    plural, with a word of either kind, and joined to another of its own kind, at every kind
+    of site, so that only the words tell."""
+    rows = []
+    for words, label in ((BLOCK_WORDS, 1.0), (ALLOW_WORDS, 0.0)):
+        for i, word in enumerate(words):
+            other, either = words[(i * 7 + 3) % len(words)], EITHER_WORDS[i % len(EITHER_WORDS)]
+            for k, name in enumerate((word, f"{either}-{word}", f"{word}{either}", f"{word}-{other}", f"{either}{word}", f"{word}s")):
+                rows += [(f"https://{site.format(name)}{PATHS[(i + k + n) % len(PATHS)]}", label) for n, site in enumerate(SITES)]
     return spark.createDataFrame(rows, "url string, label double")
 
 
@@ -77,7 +100,7 @@ def _hashed(buckets: int) -> HashingTF:
 
 def fit(labelled: DataFrame, buckets: int = 1 << 14) -> LogisticRegressionModel:
     rows = _hashed(buckets).transform(parsed(labelled).withColumn("__grams", gram_column()))
-    return LogisticRegression(featuresCol="__x", labelCol="label", regParam=0.01, maxIter=40).fit(rows.coalesce(1))
+    return LogisticRegression(featuresCol="__x", labelCol="label", regParam=0.003, maxIter=40).fit(rows.coalesce(1))
 
 
 def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, threshold: float = 0.5,
@@ -85,7 +108,9 @@ def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, thr
     """page_id, host, path, rule, verdict and the model's block score of each row.
 
     A null or odd url has an empty host and path; no rule fits it, and the model judges
-    the empty strings.  Repeated rows are judged alike; an empty table gives none.
+    the empty strings.  Urls of any length are read whole.  Repeated rows are judged
+    alike, and equal scores too; a score of exactly ``threshold`` blocks.  Columns other
+    than page_id and the url are not read; an empty table gives none.
     ``rules`` is a bounded list, written into the plan."""
     spark = pages.sparkSession
     model = fit(labelled if labelled is not None else labelled_urls(spark), buckets)

@@ -163,6 +163,55 @@ def test_url_model(spark):
     assert [got[i] for i in range(8)] == ["block"] * 4 + ["allow"] * 4
 
 
+#: Labelled by hand; none of these names is in the training table.
+HELD_OUT_SITES = {1: "grand-casino.com www.pokerstars-bonus.net cheapviagra.biz adult-video.io m.free-slots.org best-payday-loans.com "
+                     "xxx-tube.net blog.casino-royale.example.com online-betting.co.uk replica-rolex.com lottery-winner.info "
+                     "pages.spam-central.io freeporn.org jackpot-city.de cialis-discount.com gambling-tips.net adsserver.com "
+                     "www.bingo-bonus.co.uk link-spam.org hot-cams.tv",
+                  0: "www.national-gallery.org cityofbremen.de public-library.com pages.science-museum.io cooking-school.com "
+                     "www.birdwatching.co.uk gardencentre.com history-of-rome.org weather-report.net blog.photographer.com "
+                     "localnews.info medical-journal.org m.railway-museum.example.com kidsbooks.com openstreetmap.org "
+                     "chess-club.de mathforum.org farm-shop.co.uk marathon-training.com ththst.example.com "
+                     "blog.tionsh.example.org ththwh.example.com orchestra-hall.com"}
+
+
+def test_urls_of_unseen_sites(spark):
+    rows = [(f"https://{host}/en/{i}", label) for label, hosts in HELD_OUT_SITES.items() for i, host in enumerate(hosts.split())]
+    train = {r.url for r in urlfilter.labelled_urls(spark).collect()}
+    assert not {u.split("/")[2] for u, _ in rows} & {u.split("/")[2] for u in train}
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r.page_id: r.verdict == "block" for r in urlfilter.judged(df, rules=()).collect()}
+    right = sum(got[i] and label for i, (_, label) in enumerate(rows))
+    assert right / sum(label for _, label in rows) >= 0.9, [u for i, (u, y) in enumerate(rows) if y and not got[i]]
+    assert right / max(sum(got.values()), 1) >= 0.9, [u for i, (u, y) in enumerate(rows) if got[i] and not y]
+
+
+def test_subdomains_do_not_hide_the_site(spark):
+    urls = [f"https://{sub}{name}.com/" for name in ("casino-win", "library") for sub in ("", "www.", "m.", "pages.")]
+    df = spark.createDataFrame([*enumerate(urls)], "page_id long, url string")
+    got = [r.verdict for r in urlfilter.judged(df, rules=()).orderBy("page_id").collect()]
+    assert got == ["block"] * 4 + ["allow"] * 4
+
+
+def test_url_parts_and_rules_by_sql(spark):
+    """Host, path, rule and its verdict over the whole table against DuckDB."""
+    import duckdb
+    rules = ", ".join(str(r) for r in urlfilter.RULES)
+    want = duckdb.sql(f"""
+      WITH cut AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+                   FROM '{SF}/pages.parquet'),
+      part AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+      fits AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(says, length(r.host || r.path)) AS says
+               FROM part p JOIN (VALUES {rules}) r(host, path, says)
+                 ON ('.' || p.host) LIKE ('%.' || r.host) AND starts_with(p.path, r.path) GROUP BY page_id)
+      SELECT page_id, host, path, rule, says FROM part LEFT JOIN fits USING (page_id)""").fetchall()
+    got = {r.page_id: r for r in urlfilter.op8(spark.read.parquet(f"{SF}/pages.parquet")).collect()}
+    assert len(got) == len(want) and any(r[3] for r in want)
+    for page_id, host, path, rule, says in want:
+        r = got[page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (says or r.verdict)
+
+
 # --- secrets ----------------------------------------------------------------------
 def test_secrets(spark, odd, empty):
     key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
