@@ -43,6 +43,11 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return materialize(df, f"llm-{tag}")
 
 
+def whole(df: DataFrame) -> Column:
+    """A row of ``df`` as one column, so that no column of it meets a name used here."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def held_out(doc_id: Column) -> Column:
     """True on the quarter of the ids whose labels no model may learn from."""
     return F.crc32(doc_id.cast("string")) % 4 == 2

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole
 
 OTHER = "(other)"
 #: Target shares; what a table does not name (nulls too) counts as OTHER.  The tables
@@ -112,7 +112,12 @@ def op7(docs: DataFrame) -> DataFrame:
 
 
 def sampled(docs: DataFrame, **options) -> DataFrame:
-    return mixed(docs, **options).where("__take").select(*docs.columns)
+    """The rows of ``docs`` that are taken, with their columns, whatever their names.
+
+    Null sources, languages and texts count as the values 'other' and no words (see
+    `mixed`); texts are counted whole; rows of one id are taken or left together."""
+    packed = docs.select("doc_id", "text", "lang", "source", whole(docs).alias("doc"))
+    return mixed(packed, **options).where("__take").select("doc.*")
 
 
 def op7_sql(rate: float = 0.5, rounds: int = ROUNDS) -> str:

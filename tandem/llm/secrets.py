@@ -16,22 +16,27 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole
 
 # Runs of 16 or more key characters with a digit among them, what is
 # assigned to a name that holds a word for secrets (the value alone is the candidate, the
-# name its context), and blocks of private keys through their END line, or without one
-# through their lines of key characters.  Each run is tried once, from its start.
+# name its context), passwords in urls, and blocks of private keys through their END line,
+# or without one through their lines of key characters.  Each run is tried once, from its
+# start, and read to its end however long it is.
 _KEY = "A-Za-z0-9+/_=.~-"
 _LEAD = rf"(?:(?<![{_KEY}])[{_KEY}]*?)?"
-_WORD = r"(?i:passw(?:or)?d|passwd|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|token)[A-Za-z0-9_.-]{0,40}+"
+_WORD = (r"(?i:passw(?:or)?[dt]|passwd|pwd|kennwort|contrase(?:ñ|n)a|mot_?de_?passe|secret|api[_-]?key|access[_-]?key|private[_-]?key"
+         r"|credential|token)[A-Za-z0-9_.-]*+")
 _SET = r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
 _BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
 RUN = rf"(?<![{_KEY}])(?=[A-Za-z+/_=.~-]*+[0-9])[{_KEY}]{{16,}}+"
-PEM = (rf"{_BLOCK}(?:[^-]*+(?:-(?!----)[^-]*+){{0,200}}+-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
-       r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{16,}+){0,400}+)")
+PEM = (rf"{_BLOCK}(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
+       r"|(?:(?:\s|\\[nr])++[A-Za-z0-9+/=]{16,}+)*+)")
+_LOGIN = r"://[^\s/:@\"'<>]*+:"
+LOGIN = rf"{_LOGIN}[^\s/@\"'<>]{{3,}}+(?=@)"
 ASSIGNED = rf"{_LEAD}(?:{_WORD}{_SET}(?:{PEM}|(?!{_BLOCK})[^\s\"']{{6,}}+)|{PEM})"
-NAME = rf"^[{_KEY}]*?(?:{_WORD}{_SET}(?=[^\s\"']{{6}})|(?={_BLOCK}))"
+NAME = rf"^(?:{_LOGIN}|[{_KEY}]*?(?:{_WORD}{_SET}(?=[^\s\"']{{6}})|(?={_BLOCK})))"
+HINTS = ("passw", "pwd", "kennwort", "contrase", "passe", "secret", "token", "api", "access", "private", "credential", "://")
 MARK = "\ue000"  # stands round candidates; a text's own such characters count as spaces
 DICTIONARY = ("password", "example", "license", "version", "message", "default", "release", "article", "product", "content",
               "index", "image", "users", "admin", "token", "title", "there", "which", "about", "other", "their", "would",
@@ -41,27 +46,29 @@ SPEAKS_FOR = r"(?i)(token|secret|passw|api.?key|credential|auth|bearer|private|a
 SPEAKS_AGAINST = r"(?i)(commit|sha\d*|md5|digest|checksum|hash|uuid|guid|revision|etag|example|order|invoice|isbn|card|http|href|src)"
 
 
-def candidate_column(text: Column) -> Column:
-    """An array of (pos, candidate, before, after, skipped): ``skipped`` characters stand
-    between it and the one before."""
-    marked = F.regexp_replace(F.translate(text, MARK, " "), f"({ASSIGNED}|{RUN})", f"{MARK}$1{MARK}")
-    parts = F.split(marked, MARK)
-    one = lambda p: F.transform(
-        F.sequence(F.lit(1), F.size(p) - 1, F.lit(2)),
-        lambda i: F.struct(i.alias("pos"), F.get(p, i).alias("candidate"),
-                           F.substring(F.get(p, i - 1), -40, 40).alias("before"),
-                           F.substring(F.get(p, i + 1), 1, 24).alias("after"), F.length(F.get(p, i - 1)).alias("skipped")))
-    return F.when(F.size(parts) > 1, one(parts))
-
-
-def candidates(docs: DataFrame, row: Column | None = None) -> DataFrame:
-    """doc_id, row, start, end (code points), candidate, before, after.  ``row`` is a key of
-    each row of ``docs``; one is made where there is none."""
-    text = F.col("text")
-    low = F.lower(text)
-    hint = text.rlike("[0-9]") | reduce(or_, [low.contains(x) for x in ("passw", "pwd", "secret", "token", "api", "access", "private", "credential")])
-    rows = (docs.where(hint).select("doc_id", (F.monotonically_increasing_id() if row is None else row).alias("row"), candidate_column(text).alias("c"))
-            .where("c is not null").select("doc_id", "row", F.explode("c").alias("c")).select("doc_id", "row", "c.*"))
+def with_candidates(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """``rows`` with an array ``name`` of (pos, candidate, before, after, skipped), null
+    for none; ``skipped`` characters stand between a candidate and the one before.
+
+    The pattern runs once for a text: its parts come out of a generator of one row, which
+    Spark does not copy into the expressions that use them several times."""
+    low, col = F.lower(F.col(text)), F.col(text)
+    hint = col.rlike("[0-9]") | reduce(or_, [low.contains(x) for x in HINTS])
+    marked = F.regexp_replace(F.translate(col, MARK, " "), f"({ASSIGNED}|{LOGIN}|{RUN})", f"{MARK}$1{MARK}")
+    parts = F.col(f"{name}_parts")
+    found = F.transform(
+        F.sequence(F.lit(1), F.size(parts) - 1, F.lit(2)),
+        lambda i: F.struct(i.alias("pos"), F.get(parts, i).alias("candidate"),
+                           F.substring(F.get(parts, i - 1), -40, 40).alias("before"),
+                           F.substring(F.get(parts, i + 1), 1, 24).alias("after"), F.length(F.get(parts, i - 1)).alias("skipped")))
+    return (rows.select("*", F.explode(F.array(F.when(hint, F.split(marked, MARK)))).alias(f"{name}_parts"))
+            .withColumn(name, F.when(F.size(parts) > 1, found)).drop(f"{name}_parts"))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """doc_id, row, start, end (code points), candidate, before, after, from ``rows``
+    (doc_id, row, c): ``row`` is a key of each row, c its array of `with_candidates`."""
+    rows = rows.select("doc_id", "row", F.explode("c").alias("c")).select("doc_id", "row", "c.*")
     # short rows only from here on; a window holds one document's candidates
     upto = F.sum(F.col("skipped") + F.length("candidate")).over(
         Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
@@ -88,6 +95,9 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "placeholder": flag(c, r"^(\$[{(A-Z_]|<|%[({A-Z]|\{\{|\*{3})"), "path": flag(c, r"^\.{0,2}/|/[^/]*/|\.[a-z]{2,4}$|^www\."), "in_url": flag(before, r"(://|@|[/?&=#.])$"),
         "assigned": flag(before, r"[:=]\s{0,3}[\"']?$"), "quoted": (flag(before, "[\"']$") + flag(after, "^[\"']")) / 2,
         "for": flag(before, SPEAKS_FOR + r"(\W{0,6}(is|was|ist|=|:)?\W{0,4}|[A-Za-z0-9_.-]{0,40}[\"']?\s{0,3}[:=]\s{0,3}[\"']?)$"), "against": flag(before, SPEAKS_AGAINST + r"[^.;]{0,16}$"),
+        "login": flag(before, r"://[^\s/:@]*:$") * flag(after, "^@"), "hashed": flag(c, r"^(?i:sha-?(1|256|384|512)|md5)[-:=]"),
+        "points": flag(before, r"(?i)(name|header|file|path|url|uri|field|type|id|endpoint|expiry|ttl|hash|count|length|limit)[\"']?\s{0,3}[:=]\s{0,3}[\"']?$"),
+        "plain": flag(c, "^[A-Za-z][a-z]*([ _-][A-Za-z][a-z]*)*[.,;:!?]?$"),
     }
 
 
@@ -107,6 +117,10 @@ def labelled_findings(spark: SparkSession, n: int = 1200) -> DataFrame:
         ("DB_PASSWORD=", F.substring(b64, 1, 13), "\n"), ("export AWS_SECRET_ACCESS_KEY=", F.concat(b64, F.substring(h, 1, 12)), "\n"),
         ("&client_secret=", F.substring(h, 1, 32), "\n"), ("AWS_ACCESS_KEY_ID=", F.concat(F.lit("AKIA"), upper), "\n"),
         ("key: ", F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), b64, b64, F.lit("\n"), b64, F.lit("\n-----END PRIVATE KEY-----")), "\n"),
+        ("db = postgres://app:", F.substring(b64, 2, 11), "@db1.example.com/main"), ("https://bob:", F.substring(h, 3, 12), "@git.example.org/x"),
+        ("amqp://svc:", F.concat(F.initcap(word), F.substring(digits, 1, 3), F.lit("!")), "@queue"),
+        ("kennwort: ", F.concat(F.initcap(word), F.substring(digits, 1, 2), F.lit("x"), F.substring(upper, 1, 2)), "\n"),
+        ("passwort=", F.concat(F.initcap(word), F.substring(digits, 1, 4), F.lit("!")), "\n"),
     )
     no = (
         ("see commit ", h, " of"), ("sha1: ", h, "\n"), ("id ", uuid, " in"), ("https://www.example.com", F.concat(F.lit("/en/"), word, F.lit("/"), digits, F.lit(".html")), " the"),
@@ -115,6 +129,11 @@ def labelled_findings(spark: SparkSession, n: int = 1200) -> DataFrame:
         ("md5 checksum ", F.md5(h), "\n"), ("the token = \"", F.concat(F.lit("example"), word, F.lit("123")), "\" and"),
         ("DB_PASSWORD=", F.concat(F.lit("${"), F.upper(word), F.lit("_PASSWORD}")), "\n"), ("", F.concat(F.lit("BUILD_ID="), digits), "\n"),
         ("&", F.concat(F.lit("page_title="), word, F.lit("-"), F.substring(digits, 1, 5)), "\n"), ("secret_name: ", F.concat(F.lit("example-"), word), "\n"),
+        ("integrity ", F.concat(F.lit("sha512-"), b64, b64, F.lit("==")), "\n"), ("integrity=\"", F.concat(F.lit("sha384-"), b64, F.substring(b64, 1, 9)), "\" cross"),
+        ("digest: ", F.concat(F.lit("sha256:"), h, F.substring(h, 1, 24)), "\n"), ("api_key_header: ", F.concat(F.lit("X-"), F.initcap(word), F.lit("-Key")), "\n"),
+        ("token_type: ", F.concat(F.lit("Bearer-"), word), "\n"), ("password_file=", F.concat(F.lit("/run/secrets/"), word), "\n"),
+        ("http://user:", F.lit("password"), "@host"), ("ftp://", F.concat(F.lit("${"), F.upper(word), F.lit("}")), "@host"), ("secret: ", F.concat(word, F.lit("-"), word), "\n"),
+        ("access_token_url=", F.concat(F.lit("https://auth.example.com/"), word), "\n"), ("max_tokens: ", F.substring(digits, 1, 6), "\n"),
     )
     pick = lambda rows, k: F.element_at(F.array(*[F.struct(
         F.lit(a).alias("before"), c.alias("candidate"), F.lit(b).alias("after")) for a, c, b in rows]), (k % len(rows) + 1).cast("int"))
@@ -125,7 +144,7 @@ def labelled_findings(spark: SparkSession, n: int = 1200) -> DataFrame:
 
 NAMES = (
     "length", "digits", "uppers", "vowels", "letter_digit", "digit_letter", "case", "signs", "distinct", "dictionary", "hex",
-    "number", "uuid", "known", "placeholder", "path", "in_url", "assigned", "quoted", "for", "against")
+    "number", "uuid", "known", "placeholder", "path", "in_url", "assigned", "quoted", "for", "against", "login", "hashed", "points", "plain")
 
 
 def vectors(rows: DataFrame) -> DataFrame:
@@ -138,10 +157,11 @@ def fit(labelled: DataFrame) -> RandomForestClassificationModel:
     return RandomForestClassifier(featuresCol="__x", labelCol="label", numTrees=30, maxDepth=6, seed=7).fit(vectors(labelled))
 
 
-def _judged(docs: DataFrame, labelled: DataFrame | None, threshold: float, row: Column | None = None) -> DataFrame:
-    """doc_id, row, start, end, candidate, score, is_secret of each candidate."""
-    model = fit(labelled if labelled is not None else labelled_findings(docs.sparkSession))
-    found = vectors(candidates(docs, row))
+def _judged(rows: DataFrame, labelled: DataFrame | None, threshold: float) -> DataFrame:
+    """doc_id, row, start, end, candidate, score, is_secret of each candidate of ``rows``
+    (see `candidates`)."""
+    model = fit(labelled if labelled is not None else labelled_findings(rows.sparkSession))
+    found = vectors(candidates(rows))
     score = vector_to_array("__p")[1]
     return model.setProbabilityCol("__p").transform(found).select(
         "doc_id", "row", "start", "end", "candidate", score.alias("score"), (score >= threshold).alias("is_secret"))
@@ -151,8 +171,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     """A row for each candidate: doc_id, start, end, candidate, score, is_secret.
 
     Null and empty texts have none; repeated rows (and null ids) are scanned each on its
-    own; an empty table gives no rows."""
-    return _judged(docs.select("doc_id", "text"), labelled, threshold).drop("row")
+    own; texts and secrets of any length are read whole; a score of exactly ``threshold``
+    is a secret.  An empty table gives no rows; other columns are not read."""
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    return _judged(with_candidates(rows, "text", "c").select("doc_id", "row", "c"), labelled, threshold).drop("row")
 
 
 def op3(docs: DataFrame) -> DataFrame:
@@ -162,17 +184,24 @@ def op3(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, to: str = "[SECRET]") -> DataFrame:
     """``docs`` with the span of each confirmed secret replaced in the text and n_chars,
     where there is such a column, brought up to date.  Each row has its own findings,
-    whatever its doc_id; they are as many as its text has room for."""
-    kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "redact")  # the keys must not change between reads
-    found = _judged(kept.select("doc_id", "text", "__row"), labelled, threshold, F.col("__row")).where("is_secret")
-    spans = (found.groupBy(F.col("row").alias("__of"))
-             .agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))).alias("__spans")))
-    joined = kept.join(spans, F.col("__row") == F.col("__of"), "left")
-    text, at, found_any = F.col("text"), F.col("__spans"), F.col("__spans").isNotNull()
+    whatever its doc_id; they are as many as its text has room for.
+
+    Null and empty texts stay as they are, and so do all other columns, whatever their
+    names; repeated rows are redacted each; an empty table stays empty."""
+    # stored once with its candidates: the keys must not change between the two reads,
+    # and the second one then reads no text
+    packed = docs.select(whole(docs).alias("doc"), F.col("text").alias("text"), F.monotonically_increasing_id().alias("row"))
+    kept = stored(with_candidates(packed, "text", "c").drop("text"), "redact")
+    found = _judged(kept.select(F.lit(None).cast("long").alias("doc_id"), "row", "c"), labelled, threshold).where("is_secret")
+    spans = (found.groupBy(F.col("row").alias("of"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))).alias("spans")))
+    joined = kept.select("doc", "row").join(spans, F.col("row") == F.col("of"), "left")
+    text, at, found_any = F.col("doc.text"), F.col("spans"), F.col("spans").isNotNull()
     upto = lambda i: F.coalesce(F.get(at, i - 1)["end"], F.lit(0))
     parts = F.transform(at, lambda x, i: F.concat(F.substring(text, upto(i) + 1, x["start"] - upto(i)), F.lit(to)))
-    new = F.concat(F.array_join(parts, ""), F.substring(text, upto(F.size(at)) + 1, F.length(text)))
-    joined = joined.withColumn("text", F.when(found_any, new).otherwise(text))
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(found_any, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return joined.select(*docs.columns)
+    new = F.when(found_any, F.concat(F.array_join(parts, ""), F.substring(text, upto(F.size(at)) + 1, F.length(text)))).otherwise(text)
+    out = joined.select("doc", new.alias("new"), found_any.alias("changed"))
+    size = F.when(F.col("changed"), F.length("new"))
+    column = {"text": F.col("new"), "n_chars": F.coalesce(size, F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)} \
+        if "n_chars" in docs.columns else {"text": F.col("new")}
+    return out.select(*[column.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

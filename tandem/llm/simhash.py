@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, vector_udf
+from .common import stored, vector_udf, whole
 
 
 def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
@@ -130,16 +130,19 @@ def op4(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id.
 
-    Rows that repeat a doc_id are one document; the row with the smallest text stays.
-    A group whose doc_ids are all null keeps one row, again that with the smallest text."""
-    cols = docs.columns
+    Rows that repeat a doc_id are one document; of them the row with the smallest text
+    stays, then that whose columns come first as JSON text, so that the choice does not
+    depend on the order of rows.  A group whose doc_ids are all null keeps one row, chosen
+    alike.  Null and empty texts are documents like others.  Columns of any names are
+    kept; an empty table stays empty."""
     ids = stored(docs.select("doc_id", simhash(F.col("text"), shingle).alias("fp")), "simhash")
     groups = grouped(ids, max_bits)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.join(keep, F.col("doc_id") == F.col("__id")).groupBy("__id").agg(
-        F.min_by(F.struct(*cols), F.coalesce("text", F.lit(""))).alias("__row")).select("__row.*")
-    nameless = docs.where(F.col("doc_id").isNull()).withColumn("__fp", simhash(F.col("text"), shingle))
-    alone = groups.where(F.col("component_id").isNull()).select(F.col("fp").alias("__of"), F.col("root").alias("__root")).distinct()
-    nameless = nameless.join(alone, F.col("__fp") == F.col("__of")).groupBy("__root").agg(
-        F.min_by(F.struct(*cols), F.coalesce("text", F.lit(""))).alias("__row")).select("__row.*")
-    return named.unionByName(nameless)
+    # the rows travel as one column, so that no name of theirs meets one used here
+    packed = docs.select(whole(docs).alias("doc"), F.col("doc_id").alias("id"),
+                         F.struct(F.coalesce("text", F.lit("")).alias("text"), F.to_json(whole(docs)).alias("all")).alias("rank"))
+    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    named = packed.join(keep, F.col("id") == F.col("kept")).groupBy("kept").agg(F.min_by("doc", "rank").alias("doc"))
+    nameless = packed.where("id is null").withColumn("fp", simhash(F.col("doc.text"), shingle))
+    alone = groups.where(F.col("component_id").isNull()).select(F.col("fp").alias("of"), F.col("root").alias("group")).distinct()
+    nameless = nameless.join(alone, F.col("fp") == F.col("of")).groupBy("group").agg(F.min_by("doc", "rank").alias("doc"))
+    return named.select("doc.*").unionByName(nameless.select("doc.*"))

@@ -52,3 +52,37 @@ def test_encoding_stage_hands_on_the_ids(spark, odd):
     tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = cp.encoding_stage(spark, odd, SF).collect()
     assert len(rows) == odd.count() and all(list(r.ids) == tik.encode_ordinary(r.text or "") for r in rows)
+
+
+def test_stages_hand_on_columns_of_any_name(spark, odd):
+    """Columns named like the operators' own, repeated ids with other columns."""
+    names = ("n_tokens", "ids", "ids_sha256", "__id", "__row", "__p", "__x", "__take", "__of", "doc", "row", "c", "text_parts", "kept", "score",
+             "bpe", "fp", "root", "spans", "new", "id", "rank", "cell", "w", "topic", "c_parts", "changed", "of")
+    docs = odd.withColumns({n: F.lit(n) for n in names}).withColumn("a.b", F.lit(1))
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == n for r in out.collect() for n in names), name
+    out = cp.encoding_stage(spark, docs, SF)
+    assert sorted(c.lower() for c in out.columns) == sorted({*(c.lower() for c in docs.columns), "decoded_sha256"})
+    out.write.format("noop").mode("overwrite").save()
+
+
+def test_the_kept_row_does_not_depend_on_the_order(spark):
+    rows = [(1, "one two three four", "de", "s1", 18), (1, "one two three four", "en", "s2", 18), (1, "one two three four", None, "s3", 18),
+            (None, "a b c d", "x", None, 7), (None, "a b c d", "w", "q", 7), (2, None, "z", "z", None), (2, None, "y", "z", None)]
+    kept = set()
+    for k in range(4):
+        some = rows[k:] + rows[:k]
+        df = spark.createDataFrame(some if k % 2 else some[::-1], "doc_id long, text string, lang string, source string, n_chars long")
+        kept.add(tuple(sorted(map(str, cp.near_duplicate_stage(spark, df.repartition(1 + k), SF).collect()))))
+    assert len(kept) == 1 and len(next(iter(kept))) == 3
+
+
+def test_the_secret_pattern_runs_once(spark, odd):
+    """In the plan of the scan and of the stage's writing job."""
+    from tandem.llm import secrets as S
+    rows = odd.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    for df in (S.scan(odd), S.with_candidates(rows, "text", "c")):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("regexp_replace(translate(text") == 1
