@@ -20,10 +20,10 @@ import pandas as pd
 import public_tokenizers
 import sentencepiece
 import tiktoken
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import read_ranks
+from .bpe import TextCodec, Vocabulary, read_ranks
 from .common import stored, vector_udf
 
 SEPARATORS = "\t\n\x0b\x0c\r "  # words are runs of other code points; `bytes.split` cuts at just these
@@ -40,7 +40,7 @@ LEAST = {"chars_per_token": 0.25, "byte_share": 0.1, "entropy": 0.1}
 #: the byte share) this much above it.
 BANDS = {"chars_per_token": (0.4, 2.5), "byte_share": 0.25, "entropy": 0.5}
 BIN = 1 / 200  # width of the histograms' bins; the quantiles are exact to one bin
-LONGEST = 100_000  # the byte-level library takes longer words in parts of so many characters
+LONG = 4_096  # words of more characters go through the prefix encoder, whose time grows with their length only
 
 #: First and last letters of each script's blocks.
 SCRIPTS = {
@@ -138,21 +138,26 @@ class Tokens:
                 float(-(p * np.log(p)).sum() / most) if n_tokens > 1 else 0.0)
 
 
-def fallback_tokens(path: str) -> Tokens:
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return Tokens(lambda words: model.encode(words, num_threads=1), np.array([model.is_byte(i) for i in range(model.vocab_size())]))
+def fallback_tokens(model: bytes) -> Tokens:
+    own = sentencepiece.SentencePieceProcessor(model_proto=model)
+    return Tokens(lambda words: own.encode(words, num_threads=1), np.array([own.is_byte(i) for i in range(own.vocab_size())]))
 
 
-def byte_level_tokens(path: str) -> Tokens:
-    """Each word as after a space; parts of very long words are encoded each on its own."""
-    ranks = read_ranks(path)
+def byte_level_tokens(ranks: dict[bytes, int] | str) -> Tokens:
+    """Each word as after a space, by ranks or a file of them.  Both encoders give the same
+    tokens for any word."""
+    ranks = read_ranks(ranks) if isinstance(ranks, str) else ranks
     of_byte = np.zeros(max(ranks.values()) + 1, bool)
     of_byte[[rank for token, rank in ranks.items() if len(token) == 1]] = True
     encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    @lru_cache(1)
+    def for_long_words() -> TextCodec:
+        return TextCodec(Vocabulary(ranks), public_tokenizers.PATTERN)
+
     def one(word: bytes) -> list[int]:
         text = f" {word.decode()}"
-        return [x for k in range(0, len(text), LONGEST) for x in encode(text[k:k + LONGEST])]
+        return encode(text) if len(text) <= LONG else for_long_words().encode(text)
 
     return Tokens(lambda words: map(one, words), of_byte)
 
@@ -161,8 +166,8 @@ class Measure:
     """Measures texts.  The tokens of words seen before are kept; at ``max_words`` words
     they are forgotten.  Only speed depends on that, no result."""
 
-    def __init__(self, path: str, multi_path: str, max_words: int = 1_000_000):
-        self.vocabularies = (fallback_tokens(path), byte_level_tokens(multi_path))
+    def __init__(self, model: bytes, ranks: dict[bytes, int], max_words: int = 1_000_000):
+        self.vocabularies = (fallback_tokens(model), byte_level_tokens(ranks))
         self.max_words = max_words
         self.number = Numbers()
 
@@ -200,18 +205,25 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 @lru_cache(maxsize=2)
-def _measure(path: str, multi_path: str) -> Measure:
-    return Measure(path, multi_path)
+def _measure(shared) -> Measure:
+    return Measure(*shared.value)
+
+
+def vocabularies(path: str | None = None) -> tuple[bytes, dict[bytes, int]]:
+    """The two public vocabularies, files of fixed size, as read on the driver."""
+    with open(path or public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return model, read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def measured(text: Column, path: str | None = None) -> Column:
-    """A struct of `SCHEMA` for each text; null and empty texts have zeros and script 'none'."""
-    path = path or public_tokenizers.path("piece_bpe_32k.model")
-    multi_path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    """A struct of `SCHEMA` for each text; null and empty texts have zeros and script 'none'.
+    The vocabularies are broadcast; texts and words of any length are read whole."""
+    shared = SparkSession.active().sparkContext.broadcast(vocabularies(path))
 
     @vector_udf(SCHEMA)
     def run(texts: pd.Series) -> pd.DataFrame:
-        row = _measure(path, multi_path).row
+        row = _measure(shared).row
         return pd.DataFrame([row(t or "") for t in texts], columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return run(text)
@@ -247,7 +259,8 @@ def quality_rules(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     Null and empty texts have no words and fail the plain rules.  A script without
     any document that passes them has no band, and none of its documents is kept
-    anyway.  Repeated rows are judged alike; an empty table gives none."""
+    anyway.  Repeated rows are judged alike, and a measure on the end of its band fits;
+    an empty table gives none."""
     rows = docs.select("doc_id", measured(F.col("text"), path).alias("m")).select("doc_id", "m.*")
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = stored(rows, "fertility")

@@ -107,6 +107,9 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
 
 
 _GOES_ON = re.compile(r"[ ./:-]?[0-9]").match  # more digits behind a span
+_CLOCK = re.compile(r":[0-9]{2}(?![0-9])").match  # a time of day that began in the span
+_DAY, _MONTH, _YEAR = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])", "(?:19|20)[0-9]{2}"
+_DATED = re.compile(rf"(?:{_YEAR}([ ./-]){_MONTH}\1{_DAY}|{_DAY}([ ./-]){_MONTH}\2{_YEAR})(?![0-9])").match
 
 
 def span_features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -125,6 +128,7 @@ def span_features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(groups[:1] != [] and len(groups[0]) == 4 and groups[0][:2] in ("19", "20")),
         float(any(c in "abcdefABCDEF" for c in span)), float(span[:1] == "0"),
         float(span[:2] == "00"), float("::" in span), float(_GOES_ON(text, end) is not None),
+        float(_CLOCK(text, end) is not None), float(_DATED(span) is not None),
     ]
 
 
@@ -190,6 +194,9 @@ def labelled_spans(n: int = 1600, seed: int = 11) -> list[tuple[str, str, int, i
         digits = r.choice("345") + d(14)
         return next(digits + c for c in "0123456789" if luhn(digits + c))
 
+    def date(sep: str) -> str:
+        return f"{r.choice(('19', '20'))}{d(2)}{sep}{r.randint(1, 12):02}{sep}{r.randint(1, 28):02}"
+
     def grouped(s: str, sep: str) -> str:
         return sep.join(s[i:i + 4] for i in range(0, len(s), 4))
 
@@ -210,7 +217,10 @@ def labelled_spans(n: int = 1600, seed: int = 11) -> list[tuple[str, str, int, i
         "card": (lambda: d(16), lambda: grouped(d(15) + "0", "."), lambda: grouped(d(16), " "), lambda: grouped(d(16), "-")),
         "phone": (lambda: f"20{d(2)}-{r.randint(10, 12)}-{r.randint(10, 28)}", lambda: f"{r.randint(10, 28)}.{r.randint(10, 12)}.19{d(2)}", lambda: f"{d(2)}/{d(2)}/{d(4)}",
                   lambda: f"{d(2)}.{d(3)}.{d(2)}", lambda: f"{d(3)} {d(3)} {d(3)}", lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(4)} {d(3)} {d(2)}",
-                  lambda: f"0{d(1)} {d(2)} {d(2)} {d(2)}|{' ' + d(2)}", lambda: f"{d(3)}-{d(3)}-{d(3)}|{d(1)}", lambda: f"1{d(9)}", lambda: f"000{d(7)}"),
+                  lambda: f"0{d(1)} {d(2)} {d(2)} {d(2)}|{' ' + d(2)}", lambda: f"{d(3)}-{d(3)}-{d(3)}|{d(1)}", lambda: f"1{d(9)}", lambda: f"000{d(7)}",
+                  lambda: grouped(card(), "."), lambda: grouped(card(), "."),
+                  lambda: f"{date('-')} {r.randint(10, 23)}|:{r.randint(10, 59)}:{r.randint(10, 59)}", lambda: f"{date('/')} {r.randint(10, 23)}|:{r.randint(10, 59)}",
+                  lambda: f"{date('-')} {d(3)}", lambda: f"{r.randint(1, 28):02}.{r.randint(1, 12):02}.20{d(2)} {r.randint(10, 23)}|:{r.randint(10, 59)}"),
     }
     out = []
     for i in range(n):

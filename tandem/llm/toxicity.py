@@ -252,47 +252,48 @@ def logistic(hits: list[list[int]], y: np.ndarray, size: int, ridge: float = 0.5
 
 
 def chosen_inputs(sample: DataFrame, shared_costs, n_inputs: int) -> list[str]:
-    """The inputs that tell labelled documents apart best: in at least three documents of
-    label 1 and at least four times as frequent there, by their log-likelihood ratio."""
-    def count(batches: Iterator[pd.DataFrame], only: frozenset | None, label: int) -> Iterator[pd.DataFrame]:
-        decoder, keep, seen = Decoder(shared_costs.value), Memo(_chunk_inputs, 100_000), Counter()
-        frame = lambda: pd.DataFrame({"x": pd.Series([*seen], dtype=object), "n": [*seen.values()]})
+    """The ``n_inputs`` inputs that tell labelled documents apart best: in at least three
+    documents of label 1 and at least four times as frequent there, by their
+    log-likelihood ratio.  All inputs of the sample are counted and ranked by Spark."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decoder, keep, seen = Decoder(shared_costs.value), Memo(_chunk_inputs, 100_000), (Counter(), Counter())
+
+        def frame(label: int) -> pd.DataFrame:
+            return pd.DataFrame({"x": pd.Series([*seen[label]], dtype=object), "label": label, "n": [*seen[label].values()]})
+
         for batch in batches:
-            for text in batch["text"]:
+            for text, label in zip(batch["text"], batch["label"]):
+                own = seen[int(label == 1)]
                 if text:
-                    got = inputs(text, decoder, keep)
-                    seen.update(got if only is None else got & only)
-                if len(seen) > 150_000:  # bounded memory; Spark adds the parts up
-                    yield frame()
-                    seen.clear()
-        if seen:
-            yield frame()
+                    own.update(inputs(text, decoder, keep))
+                if len(own) > 150_000:  # bounded memory; Spark adds the parts up
+                    yield frame(int(label == 1))
+                    own.clear()
+        for label in (0, 1):
+            if seen[label]:
+                yield frame(label)
 
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     yes, no = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
     if not yes or not no:
         return []
-    positive = sample.where("label = 1").select("text").mapInPandas(lambda it: count(it, None, 1), "x string, n long")
-    positive = positive.groupBy("x").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "x").limit(60_000)
-    pos = {r.x: r.n for r in positive.collect()}  # at most 60,000 short strings
-    only = sample.sparkSession.sparkContext.broadcast(frozenset(pos))
-    negative = (sample.where("label != 1").select("text")
-                .mapInPandas(lambda it: count(it, only.value, 0), "x string, n long").groupBy("x").agg(F.sum("n").alias("n")))
-    neg = {r.x: r.n for r in negative.collect()}
+    of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0)).cast("double")
+    both = (sample.select("text", "label").mapInPandas(count, "x string, label int, n long")
+            .groupBy("x").agg(of(1).alias("a"), of(0).alias("b")))
+    a, b = F.col("a"), F.col("b")
+    q = (a + b) / (yes + no)
 
-    def ratio(x: str) -> float:
-        a, b = pos[x], neg.get(x, 0)
-        part = lambda k, n, q: k * np.log(max(k, 1e-9) / (n * q)) + (n - k) * np.log(max(n - k, 1e-9) / (n * (1 - q)))
-        q = (a + b) / (yes + no)
-        return part(a, yes, q) + part(b, no, q) if 0 < q < 1 else 0.0
+    def part(k, n: int):
+        return k * F.log(F.greatest(k, F.lit(1e-9)) / (n * q)) + (n - k) * F.log(F.greatest(n - k, F.lit(1e-9)) / (n * (1 - q)))
 
-    good = [(ratio(x), x) for x, a in pos.items() if a / yes >= 4 * (neg.get(x, 0) + 0.5) / no]
-    return [x for _, x in sorted(good, key=lambda t: (-t[0], t[1]))[:n_inputs]]
+    ratio = F.when((q > 0) & (q < 1), part(a, yes) + part(b, no)).otherwise(0.0)
+    good = both.where((a >= 3) & (a / yes >= 4 * (b + 0.5) / no)).select("x", ratio.alias("ratio"))
+    return [r.x for r in good.orderBy(F.desc("ratio"), "x").limit(n_inputs).collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, n_inputs: int = 1500) -> Model:
-    """The channel's language model from all documents; the classifier from at most
-    ``max_rows`` labelled documents that are not held out."""
+    """The channel's language model from all documents; the classifier, on ``n_inputs``
+    inputs, from at most ``max_rows`` labelled documents that are not held out."""
     spark = docs.sparkSession
     table = costs(corpus_model(docs))
     sample = labelled_sample(labels, "toxic", max_rows)
@@ -350,8 +351,10 @@ def restored_column(text: Column, model: Model, spark) -> Column:
 
 
 def op1(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted.  Repeated rows score alike, an empty table gives
-    no rows; without labels of both kinds every score is the base one."""
+    """doc_id, held_out, score, predicted.  Repeated rows and equal texts score alike, a
+    score of exactly ``threshold`` is toxic, an empty table gives no rows; null and empty
+    texts have the base score, and without labels of both kinds every text has it.  Texts
+    of any length are read whole; other columns are not read."""
     model = train(docs, labels)
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
                          score_column(F.col("text"), model, docs.sparkSession).alias("score"))
@@ -359,6 +362,10 @@ def op1(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the documents that score ``threshold`` or more."""
+    """``docs`` without the documents that score ``threshold`` or more.
+
+    Null and empty texts have the model's base score, about the share of label 1 in the
+    sample, and go only if that reaches the threshold.  Rows that repeat a doc_id are
+    judged each by its own text; columns of any names are kept; an empty table stays empty."""
     model = train(docs, labels)
     return docs.where(score_column(F.col("text"), model, docs.sparkSession) < threshold)
