@@ -131,7 +131,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id.
 
     Rows that repeat a doc_id are one document; of them the row with the smallest text
-    stays, then that whose columns come first as JSON text, so that the choice does not
+    stays, then that whose other columns come first as JSON text, so that the choice does not
     depend on the order of rows.  A group whose doc_ids are all null keeps one row, chosen
     alike.  Null and empty texts are documents like others.  Columns of any names are
     kept; an empty table stays empty."""
@@ -139,7 +139,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     groups = grouped(ids, max_bits)
     # the rows travel as one column, so that no name of theirs meets one used here
     packed = docs.select(whole(docs).alias("doc"), F.col("doc_id").alias("id"),
-                         F.struct(F.coalesce("text", F.lit("")).alias("text"), F.to_json(whole(docs)).alias("all")).alias("rank"))
+                         F.struct(F.coalesce("text", F.lit("")).alias("text"), F.to_json(whole(docs.drop("text"))).alias("others")).alias("rank"))
     keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
     named = packed.join(keep, F.col("id") == F.col("kept")).groupBy("kept").agg(F.min_by("doc", "rank").alias("doc"))
     nameless = packed.where("id is null").withColumn("fp", simhash(F.col("doc.text"), shingle))

@@ -109,7 +109,7 @@ _LONE = re.compile(r"(?:^|\s)\S[ ]\S[ ]\S(?!\w)|\b\w[._*-]\w[._*-]\w\b").search
 class Decoder:
     def __init__(self, costs: list[float]):
         self.costs = costs
-        self.readings = Memo(lambda key: self.read(*key), 200_000)
+        self.readings = Memo(lambda key: self.read(*key), 120_000)
 
     def read(self, left: str, region: str, right: str) -> str:
         """The cheapest reading of ``region`` between its plain neighbours."""
@@ -222,7 +222,7 @@ class Model:
     def start(self) -> None:
         self.decoder = Decoder(self.costs)
         number = {n: i for i, n in enumerate(self.names)}
-        self.keep = Memo(lambda c: tuple(number[x] for x in _chunk_inputs(c) if x in number), 200_000)
+        self.keep = Memo(lambda c: tuple(number[x] for x in _chunk_inputs(c) if x in number), 120_000)
 
     def hits(self, text: str | None) -> list[int]:
         return sorted(inputs(text, self.decoder, self.keep)) if text else []
@@ -251,55 +251,60 @@ def logistic(hits: list[list[int]], y: np.ndarray, size: int, ridge: float = 0.5
     return w, base
 
 
-def chosen_inputs(sample: DataFrame, shared_costs, n_inputs: int) -> list[str]:
-    """The ``n_inputs`` inputs that tell labelled documents apart best: in at least three
-    documents of label 1 and at least four times as frequent there, by their
-    log-likelihood ratio.  All inputs of the sample are counted and ranked by Spark."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder, keep, seen = Decoder(shared_costs.value), Memo(_chunk_inputs, 100_000), (Counter(), Counter())
-
-        def frame(label: int) -> pd.DataFrame:
-            return pd.DataFrame({"x": pd.Series([*seen[label]], dtype=object), "label": label, "n": [*seen[label].values()]})
-
+def chosen_inputs(sample: DataFrame, shared_costs, n_inputs: int, n_candidates: int | None = None) -> list[str]:
+    """The inputs that tell labelled documents apart best: in at least three documents of
+    label 1 and at least four times as frequent there, by their log-likelihood ratio.
+    ``n_candidates`` bounds how many are looked at, the most frequent in documents of
+    label 1 first; None looks at all, as many as the sample's own texts hold."""
+    def count(batches: Iterator[pd.DataFrame], only: frozenset | None, label: int) -> Iterator[pd.DataFrame]:
+        decoder, keep, seen = Decoder(shared_costs.value), Memo(_chunk_inputs, 100_000), Counter()
+        frame = lambda: pd.DataFrame({"x": pd.Series([*seen], dtype=object), "n": [*seen.values()]})
         for batch in batches:
-            for text, label in zip(batch["text"], batch["label"]):
-                own = seen[int(label == 1)]
+            for text in batch["text"]:
                 if text:
-                    own.update(inputs(text, decoder, keep))
-                if len(own) > 150_000:  # bounded memory; Spark adds the parts up
-                    yield frame(int(label == 1))
-                    own.clear()
-        for label in (0, 1):
-            if seen[label]:
-                yield frame(label)
+                    got = inputs(text, decoder, keep)
+                    seen.update(got if only is None else got & only)
+                if len(seen) > 150_000:  # bounded memory; Spark adds the parts up
+                    yield frame()
+                    seen.clear()
+        if seen:
+            yield frame()
 
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     yes, no = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
     if not yes or not no:
         return []
-    of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0)).cast("double")
-    both = (sample.select("text", "label").mapInPandas(count, "x string, label int, n long")
-            .groupBy("x").agg(of(1).alias("a"), of(0).alias("b")))
-    a, b = F.col("a"), F.col("b")
-    q = (a + b) / (yes + no)
-
-    def part(k, n: int):
-        return k * F.log(F.greatest(k, F.lit(1e-9)) / (n * q)) + (n - k) * F.log(F.greatest(n - k, F.lit(1e-9)) / (n * (1 - q)))
-
-    ratio = F.when((q > 0) & (q < 1), part(a, yes) + part(b, no)).otherwise(0.0)
-    good = both.where((a >= 3) & (a / yes >= 4 * (b + 0.5) / no)).select("x", ratio.alias("ratio"))
-    return [r.x for r in good.orderBy(F.desc("ratio"), "x").limit(n_inputs).collect()]
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, n_inputs: int = 1500) -> Model:
+    positive = sample.where("label = 1").select("text").mapInPandas(lambda it: count(it, None, 1), "x string, n long")
+    positive = positive.groupBy("x").agg(F.sum("n").alias("n")).where("n >= 3")
+    if n_candidates is not None:
+        positive = positive.orderBy(F.desc("n"), "x").limit(n_candidates)
+    pos = {r.x: r.n for r in positive.collect()}  # short strings, bounded with the sample
+    only = sample.sparkSession.sparkContext.broadcast(frozenset(pos))
+    negative = (sample.where("label != 1").select("text")
+                .mapInPandas(lambda it: count(it, only.value, 0), "x string, n long").groupBy("x").agg(F.sum("n").alias("n")))
+    neg = {r.x: r.n for r in negative.collect()}
+
+    def ratio(x: str) -> float:
+        a, b = pos[x], neg.get(x, 0)
+        part = lambda k, n, q: k * np.log(max(k, 1e-9) / (n * q)) + (n - k) * np.log(max(n - k, 1e-9) / (n * (1 - q)))
+        q = (a + b) / (yes + no)
+        return part(a, yes, q) + part(b, no, q) if 0 < q < 1 else 0.0
+
+    good = [(ratio(x), x) for x, a in pos.items() if a / yes >= 4 * (neg.get(x, 0) + 0.5) / no]
+    return [x for _, x in sorted(good, key=lambda t: (-t[0], t[1]))[:n_inputs]]
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, n_inputs: int = 1500,
+          n_candidates: int | None = None) -> Model:
     """The channel's language model from all documents; the classifier, on ``n_inputs``
-    inputs, from at most ``max_rows`` labelled documents that are not held out."""
+    inputs chosen from ``n_candidates`` (None: all), from at most ``max_rows`` labelled
+    documents that are not held out."""
     spark = docs.sparkSession
     table = costs(corpus_model(docs))
     sample = labelled_sample(labels, "toxic", max_rows)
     texts = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
                    .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")), "toxic-sample")
-    names = chosen_inputs(texts, spark.sparkContext.broadcast(table), n_inputs)
+    names = chosen_inputs(texts, spark.sparkContext.broadcast(table), n_inputs, n_candidates)
     model = Model(table, names, np.zeros(len(names)), 0.0)
     hits = (texts.select("doc_id", "label", hit_column(F.col("text"), model, spark).alias("hits"))
             .orderBy("doc_id").limit(max_rows).collect())  # at most max_rows short lists
