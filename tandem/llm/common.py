@@ -18,8 +18,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 2_000  # texts handed to a Python worker at a time: Spark's 10,000 are tens of MB, held several times over
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this library's modules to the executors, once per application."""
+    """Sends this library's modules to the executors, once per application, and bounds the
+    rows of a batch where the session leaves Spark's default."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, str(BATCH_ROWS))
     sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(sc, "_tandem_shipped", False):
         return
