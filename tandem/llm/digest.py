@@ -86,9 +86,8 @@ def histogram(texts: list[bytes]) -> np.ndarray:
     return total
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The rank of each entropy, rarest first, by counts over all windows of all documents;
-    entropies that never occur, and those under LEAST_BIN, come last."""
+def window_counts(docs: DataFrame) -> np.ndarray:
+    """How many windows of all documents have each entropy."""
     @vector_udf("array<long>")
     def run(texts: pd.Series) -> pd.Series:
         total = histogram([t.encode() for t in texts if t])
@@ -96,13 +95,27 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
     counts = (docs.select(F.posexplode(run("text")).alias("bin", "n")).where("n > 0")
               .groupBy("bin").agg(F.sum("n").alias("n")).collect())  # at most 1001 rows
-    seen = sorted((r.n, r.bin) for r in counts if r.bin >= LEAST_BIN)
+    total = np.zeros(ENTROPY_BINS + 1, np.int64)
+    for row in counts:
+        total[row.bin] = row.n
+    return total
+
+
+def ranked(counts: np.ndarray) -> np.ndarray:
+    """The rank of each entropy, rarest first; entropies that never occur, and those under
+    LEAST_BIN, come last."""
+    seen = sorted((int(counts[b]), b) for b in range(LEAST_BIN, len(counts)) if counts[b])
     rank = np.full(ENTROPY_BINS + 1, ENTROPY_BINS + 1, np.int64)
     for k, (_, b) in enumerate(seen):
         rank[b] = k
     return rank
 
 
+def rarity(docs: DataFrame) -> np.ndarray:
+    """The rank of each entropy by counts over all windows of all documents."""
+    return ranked(window_counts(docs))
+
+
 def _hash(rows: np.ndarray) -> np.ndarray:
     h = np.zeros(len(rows), np.uint64)
     with np.errstate(over="ignore"):
@@ -196,61 +209,93 @@ def digest_texts(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
     return [bloom(h) for h in features([t.encode() for t in texts], rank)]
 
 
-def with_next(docs: DataFrame, n_buckets: int = 512) -> DataFrame:
-    """``docs`` dealt into buckets of neighbouring ids, plus for each bucket a copy of the
-    row that follows its last one (is_next true): bucket, doc_id, text, is_next.
-
-    The split points are quantiles of the ids: n_buckets numbers on the driver, as are
-    the buckets' largest ids.  Null ids come after all others, in a bucket of their own."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    splits = sorted({int(x) for x in docs.approxQuantile("doc_id", [k / n_buckets for k in range(1, n_buckets)], 1 / (4 * n_buckets))}) \
-        if docs.select("doc_id").where("doc_id is not null").limit(1).count() else []
-    ids = F.col("doc_id")
-    bucket = F.when(ids.isNull(), -1)
-    if splits:
-        inside = F.array(*[F.lit(s) for s in splits])
-        bucket = bucket.otherwise(F.size(F.filter(inside, lambda s: s < ids)))
-    else:
-        bucket = bucket.otherwise(0)
-    dealt = docs.withColumn("bucket", bucket.cast("int"))
-    tops = sorted(((r.bucket, r.top) for r in dealt.select("bucket", "doc_id").groupBy("bucket")
-                   .agg(F.max("doc_id").alias("top")).collect()), reverse=True)  # at most n_buckets + 1 rows
-    if not tops:
-        return dealt.withColumn("is_next", F.lit(False))
-    after = {top: tops[(k - 1) % len(tops)][0] for k, (_, top) in enumerate(tops)}  # goes to the bucket before it
-    known = [t for t in after if t is not None]
-    first = dealt.where(ids.isin(known) | ids.isNull()).groupBy("doc_id").agg(F.min("text").alias("text"))
-    to = F.when(ids.isNull(), after.get(None, -1))
-    pairs = F.create_map(*[F.lit(x) for t in known for x in (t, after[t])]) if known else None
-    first = first.withColumn("bucket", (to.otherwise(pairs[ids]) if known else to).cast("int"))
-    return dealt.withColumn("is_next", F.lit(False)).unionByName(first.withColumn("is_next", F.lit(True)))
+def _order_keys(absent: pd.Series, down: pd.Series, tie: pd.Series) -> np.ndarray:
+    """The order of the documents (ids descending, null last, then the hash of the text) as
+    byte strings that compare alike."""
+    out = np.empty((len(absent), 3), ">u8")
+    out[:, 0] = absent.to_numpy(bool)
+    for k, x in enumerate((down, tie), 1):
+        out[:, k] = x.to_numpy(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    return out.view("S24").ravel()
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    ids, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    return docs.select(text.alias("text"), ids.isNull().alias("absent"),
+                       F.coalesce(F.bitwise_not(ids), F.lit(0).cast("long")).alias("down"), F.xxhash64(text).alias("tie"))
+
+
+def split_points(docs: DataFrame, total: int, n_buckets: int = 512, bucket_bytes: int = 1 << 28) -> np.ndarray:
+    """The keys that begin a bucket, the least key of all first.
+
+    Buckets are of about ``total`` bytes over ``n_buckets``, and of ``bucket_bytes`` at most.
+    A row is looked at with a chance of its length over an eighth of that, so the
+    driver holds about eight keys of 24 bytes a bucket whatever the corpus, 75 MB for
+    100 TB.  The draw moves the borders only, never a result."""
+    keyed = _keyed(docs).select("absent", "down", "tie", F.length("text").alias("size"))
+    least = keyed.agg(F.min(F.struct("absent", "down", "tie")).alias("k")).first().k
+    if least is None:
+        return np.zeros(0, "S24")
+    step = max(1.0, min(total / n_buckets, bucket_bytes) / 8)
+    drawn = keyed.where(F.rand(5) < (F.col("size") + WINDOW) / F.lit(step)).select("absent", "down", "tie").toPandas()
+    first = pd.DataFrame([tuple(least)], columns=["absent", "down", "tie"])
+    borders = np.sort(_order_keys(drawn["absent"], drawn["down"], drawn["tie"]))[8::8]
+    return np.unique(np.concatenate([_order_keys(first["absent"], first["down"], first["tie"]), borders]))
+
+
+def with_next(docs: DataFrame, splits: np.ndarray) -> DataFrame:
+    """``docs`` dealt into buckets of neighbours, plus for each bucket a copy of the row that
+    follows its last one (is_next true): bucket, is_next, absent, down, tie, text, where
+    down is the id with all bits turned.
+
+    Each split point is the key of a row, so the first row of every bucket is known without
+    a look at the others; its copy goes to the bucket before.  Rows of one id, or of none,
+    are split by the hash of their texts; only equal texts of one id stay together."""
+    shared = docs.sparkSession.sparkContext.broadcast(splits)
+
+    @vector_udf("array<int>")
+    def places(absent: pd.Series, down: pd.Series, tie: pd.Series) -> pd.Series:
+        starts, keys = shared.value, _order_keys(absent, down, tie)
+        at = np.searchsorted(starts, keys, side="right") - 1
+        return pd.Series([[b, (b - 1) % len(starts)] if first else [b] for b, first in zip(at.tolist(), starts[at] == keys)])
+
+    placed = _keyed(docs).select("*", F.posexplode(places("absent", "down", "tie")).alias("copy", "bucket"))
+    return placed.select("bucket", (F.col("copy") == 1).alias("is_next"), "absent", "down", "tie", "text")
 
 
 OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
        "near_edited double, near_next double")
 
 
-def op5(docs: DataFrame, n_buckets: int = 512) -> DataFrame:
+def op5(docs: DataFrame, n_buckets: int = 512, bucket_bytes: int = 1 << 28) -> DataFrame:
     """The digest of each document and of its edited text, and their likeness.
 
-    Null texts count as empty; empty texts have an empty digest.  The next document of
-    rows with equal ids goes by their texts; a single document is its own next.  An empty
-    table gives none."""
+    Null texts count as empty; empty texts have an empty digest.  Rows with equal ids, or
+    with none, follow each other by a hash of their texts; a single document is its own
+    next.  Equal rows are answered each.  Texts of any length are read whole, other
+    columns are not read, and an empty table gives none."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(rarity(docs))
-    rows = (with_next(docs, n_buckets).repartition("bucket")
-            .sortWithinPartitions("bucket", "is_next", F.desc_nulls_last("doc_id"), "text"))
+    counts = window_counts(docs)
+    shared = spark.sparkContext.broadcast(ranked(counts))
+    splits = split_points(docs, int(counts.sum()), n_buckets, bucket_bytes)
+    rows = (with_next(docs, splits).repartition("bucket")
+            .sortWithinPartitions("bucket", "is_next", "absent", "down", "tie", "text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rank, open_ = shared.value, None  # open_: the row that waits for the one after it
 
+        def digests(texts: list[str]) -> list[np.ndarray]:
+            """Each distinct text once."""
+            found = list(dict.fromkeys(texts))
+            made = dict(zip(found, digest_texts(found, rank)))
+            return [made[t] for t in texts]
+
         def made(group: list[tuple]) -> pd.DataFrame:
             """group: (bucket, doc_id, text, is_next) rows; all but the last are answered."""
             pairs = [(x, y) for x, y in zip(group, group[1:]) if not x[3]]
             edited = [x[2][:len(x[2]) - len(x[2]) // 2] + y[2][:len(x[2]) // 2] for x, y in pairs]
-            own = digest_texts([r[2] for r in group], rank)
-            other = digest_texts(edited, rank)
+            own, other = digests([r[2] for r in group]), digests(edited)
             out, k = [], 0
             for i, x in enumerate(group[:-1]):
                 if x[3]:
@@ -263,7 +308,7 @@ def op5(docs: DataFrame, n_buckets: int = 512) -> DataFrame:
             return frame.astype({c: object for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
         for batch in batches:
-            ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
+            ids = [None if absent else ~down for absent, down in zip(batch["absent"], batch["down"].tolist())]
             group, size = [open_] if open_ else [], 0
             for row in zip(batch["bucket"], ids, batch["text"], batch["is_next"]):
                 group.append(row)
@@ -279,4 +324,4 @@ def op5(docs: DataFrame, n_buckets: int = 512) -> DataFrame:
             open_ = group[-1]
         # the last row of a partition is always a bucket's next one: nothing waits
 
-    return rows.select("bucket", "doc_id", "text", "is_next").mapInPandas(run, OUT)
+    return rows.select("bucket", "absent", "down", "text", "is_next").mapInPandas(run, OUT)

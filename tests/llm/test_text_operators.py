@@ -268,6 +268,33 @@ def test_fingerprints_of_next_documents(spark, texts):
     assert np.mean([a > b for a, b in near]) > 0.9 and np.mean([b for _, b in near]) < 0.1
 
 
+@pytest.mark.parametrize("hot", [5, None, 2 ** 60 + 1])
+def test_fingerprints_of_a_hot_id(spark, texts, hot):
+    """Nine tenths of the rows on one id or on none: followers in order, buckets of like size."""
+    some = [t for _, t in sorted(texts.items())][:400]
+    ids = [hot if i % 10 else 2 ** 60 + 2 * i - 400 for i in range(len(some))]
+    docs = spark.createDataFrame([*zip(ids, some), *[(hot, some[1])] * 40], "doc_id long, text string").repartition(5)
+    total = sum(map(len, some))
+    splits = digest.split_points(docs, total, n_buckets=20)
+    dealt = digest.with_next(docs, splits).groupBy("bucket", "is_next").agg(F.sum(F.length("text")).alias("size")).collect()
+    own = {r.bucket: r.size for r in dealt if not r.is_next}
+    assert len(own) == len(splits) > 12 and {r.bucket for r in dealt if r.is_next} == set(own)
+    longest = max(41 * len(some[1]), max(map(len, some)))
+    assert max(own.values()) < total / 20 * 3 + longest
+
+    def key(row):
+        h = xxhash.xxh64_intdigest(row[1].encode(), seed=42)
+        return row[0] is None, -(row[0] or 0), h - (h >> 63 << 64)
+
+    order = sorted([*zip(ids, some), *[(hot, some[1])] * 40], key=key)
+    want = []
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want.append((str(i), len(t), hashlib.sha256((t[:len(t) - half] + n[:half]).encode()).hexdigest()))
+    got = [(str(r.doc_id), r.n_chars, r.edited_sha256) for r in digest.op5(docs, n_buckets=20).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_fingerprints_odd_rows(spark, odd, empty):
     rows = digest.op5(clashing(odd)).collect()
     assert sorted((str(r.doc_id), r.n_chars) for r in rows) == sorted((str(i), len(t or "")) for i, t, *_ in ODD)
@@ -275,6 +302,7 @@ def test_fingerprints_odd_rows(spark, odd, empty):
     assert all(r.fingerprint == "" for r in rows if r.n_chars == 0)
     assert digest.op5(empty).count() == 0
     assert digest.op5(odd.where("doc_id = 7")).first().near_next == 1.0
+    assert digest.op5(odd.where("doc_id = 9 or doc_id = 10"), n_buckets=4, bucket_bytes=100).count() == 2
     assert digest.from_text(digest.to_text(np.arange(512, dtype=np.uint8).reshape(2, 256))).shape == (2, 256)
 
 
