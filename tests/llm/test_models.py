@@ -115,6 +115,57 @@ def test_quality_held_out(docs, labels):
     assert held_out_auc(rows, labels, "quality") > 0.95
 
 
+def plain_quality_features(text):
+    """The features by plain loops over characters, words and lines."""
+    words = text.split()
+    if not words:
+        return dict.fromkeys(gam.FEATURES, 0.0)
+    lines = [x for x in text.split("\n") if x.strip()]
+    letters, n, chars = len("".join(words)), len(words), len(text)
+    share = lambda test, things, of: sum(bool(test(x)) for x in things) / of
+    triples = [tuple(words[i:i + 3]) for i in range(n - 2)] if n > 3 else []
+    capital = lambda c: "A" <= c <= "Z" or ("À" <= c <= "Þ" and c != "×")
+    return {
+        "log_words": np.log(1 + n), "mean_word": letters / n, "long_words": share(lambda w: len(w) >= 16, words, n),
+        "distinct_words": len(set(words)) / n, "top_word": max(words.count(w) for w in set(words)) / n,
+        "upper": share(capital, text, letters), "digits": share(lambda c: "0" <= c <= "9", text, letters),
+        "marks": share(lambda c: c in ".,;:'\"()?!-", text, chars), "symbols": share(lambda c: c in "#*$%&<>@^~=+\\/", text, chars),
+        "bangs": share(lambda c: c == "!", text, n), "pipes": share(lambda c: c == "|", text, n),
+        "sentence_ends": share(lambda w: w.endswith((".", "?", "!")), words, n), "words_per_line": n / len(lines),
+        "dup_lines": share(lambda i: lines[i] in lines[:i], range(len(lines)), len(lines)),
+        "dup_trigrams": share(lambda i: triples[i] in triples[:i], range(len(triples)), len(triples)) if triples else 0.0,
+        "mid_marks": share(lambda w: len(w) > 2 and not w[-1].isalnum() and not w[-2].isalnum(), words, n),
+        "title_words": share(lambda w: w[0].isupper(), words, n), "non_ascii": share(lambda c: ord(c) > 127, text, chars),
+        "braces": share(lambda c: c in "{}[]<>", text, chars), "log_lines": np.log(1 + len(lines)),
+    }
+
+
+def test_quality_features_against_plain_version(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").union(spark.createDataFrame(ODD, "a long, b string, c string, d string, e long"))
+    seen = rows.select("text", gam.feature_column(F.col("text")).alias("x")).collect()
+    short = [r for r in seen if len(r.text or "") < 6_000]
+    assert len(short) > 150
+    for r in short:
+        assert dict(zip(gam.FEATURES, r.x)) == pytest.approx(plain_quality_features(r.text or ""), abs=1e-12), r.text
+
+
+def test_trees_split_where_the_gain_is_greatest():
+    """Against all ways to cut the bins in two; more leaves cut one run of the tree before."""
+    r = np.random.default_rng(7)
+    for _ in range(20):
+        sums, weight, ridge = r.normal(size=12), r.integers(1, 9, 12).astype(float), 1.5
+
+        def gain(edges):
+            return sum(sums[a:b].sum() ** 2 / (weight[a:b].sum() + ridge) for a, b in zip(edges, edges[1:]))
+
+        best = max(([0, m, 12] for m in range(1, 12)), key=gain)
+        third = max((sorted([*best, m]) for m in range(1, 12) if m not in best), key=gain)
+        for leaves, edges in ((2, best), (3, third)):
+            if gain(edges) > gain(edges[:1] + edges[-1:]) + 1e-9 and (leaves == 2 or gain(third) > gain(best) + 1e-9):
+                want = np.concatenate([np.full(b - a, sums[a:b].sum() / (weight[a:b].sum() + ridge)) for a, b in zip(edges, edges[1:])])
+                assert np.allclose(gam._tree(sums, weight, leaves, ridge), want)
+
+
 def test_additive_model_learns_a_pair():
     r = np.random.default_rng(2)
     x = r.random((4000, len(gam.FEATURES)))

@@ -1,6 +1,7 @@
 """The text operators against plain versions on small tables."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
 import xxhash
 from conftest import ODD, clashing
@@ -184,6 +186,59 @@ def test_bands_follow_the_tails_on_both_sides(spark):
         assert v - far - 0.02 <= band[f"{m}_low"] < v - 0.06 < v + 0.06 < band[f"{m}_high"] <= v + far + 0.02
 
 
+def plain_band(values, measure):
+    """Median and tails from sorted values in bins, then the limits of `bands`."""
+    bins = sorted(math.floor(v / fertility.BIN) for v in values)
+    at = lambda q: bins[max(0, math.ceil(q * len(bins)) - 1)] * fertility.BIN + fertility.BIN / 2
+    low, mid, high = at(fertility.TAIL), at(0.5), at(1 - fertility.TAIL)
+    kind = measure.removesuffix("_multi")
+    least = fertility.LEAST[kind] * (mid if kind == "chars_per_token" else 1)
+    outer = {"chars_per_token": [mid * x for x in fertility.BANDS["chars_per_token"]] if kind == "chars_per_token" else None,
+             "byte_share": (0.0, mid + fertility.BANDS["byte_share"]), "entropy": (fertility.BANDS["entropy"] * mid, 1 + fertility.BIN)}[kind]
+    return (max(outer[0], mid - max(fertility.REACH * (mid - low), least)), min(outer[1], mid + max(fertility.REACH * (high - mid), least)))
+
+
+def test_bands_and_verdicts_against_plain_version(spark):
+    """`kept` of all documents from the returned measures, by sorted lists of each script."""
+    rows = fertility.op10(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    passed = {}
+    for r in rows:
+        if not r.base_failed:
+            passed.setdefault(r.script, []).append(r)
+    ends = {(s, m): plain_band([r[m] for r in some], m) for s, some in passed.items() for m in fertility.MEASURES}
+    on_an_end = 0
+    for r in rows:
+        inside = [ends[r.script, m][0] <= r[m] <= ends[r.script, m][1] for m in fertility.MEASURES] if not r.base_failed else [False]
+        if not r.base_failed and any(0 < abs(r[m] - e) < 1e-9 for m in fertility.MEASURES for e in ends[r.script, m]):
+            on_an_end += 1  # rounding of the last bit decides
+            continue
+        assert r.kept == all(inside), r.doc_id
+    assert len(rows) > 900 and on_an_end < 0.01 * len(rows) and any(not r.kept and not r.base_failed for r in rows)
+
+
+def test_tokeniser_measures_against_the_libraries(spark, texts):
+    """Each word encoded alone by the libraries and counted plainly."""
+    model, ranks = fertility.vocabularies()
+    piece = sentencepiece.SentencePieceProcessor(model_proto=model)
+    byte_level = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    length = {v: len(k) for k, v in ranks.items()}
+    ways = (("", piece.encode, piece.is_byte, piece.vocab_size()),
+            ("_multi", lambda w: byte_level.encode_ordinary(" " + w), lambda t: length[t] == 1, max(ranks.values()) + 1))
+    rows = {r.doc_id: r for r in fertility.op10(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    for i, text in texts.items():
+        words = re.findall(r"[^ \t-\r]+", text or "")
+        if not words or len(words) > 2_000:
+            continue
+        for end, encode, is_byte, size in ways:
+            counts = Counter(t for w in words for t in encode(w))
+            n = counts.total()
+            parts = [c / n for c in counts.values()]
+            entropy = -sum(p * math.log(p) for p in parts) / math.log(min(n, size)) if n > 1 else 0.0
+            got = [rows[i][m + end] for m in ("chars_per_token", "byte_share", "entropy")]
+            want = [sum(map(len, words)) / n, sum(c for t, c in counts.items() if is_byte(t)) / n, entropy]
+            assert got == pytest.approx(want, abs=1e-9), (i, end)
+
+
 def test_words_of_any_length_have_the_library_s_tokens():
     """Words up to and beyond 100,000 characters, in no way cut."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
