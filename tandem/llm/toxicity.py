@@ -9,6 +9,12 @@
     model picks the reading.  A region is decoded with the two plain characters on
     either side, which separate it exactly from the rest under a trigram model, so that
     readings can be kept by (region, neighbours).
+    The space beside a short fragment is a lattice of two paths, noise or a word's end;
+    which is cheaper depends on the two letters on either side only, so one table of
+    28**4 answers holds it for all texts.
+    Designations (mp3, 2nd, sha256, h2o) and spaced single characters that make no word
+    of four letters (a b c) stay as they are; so do disguised words of three characters
+    and the space beside a fragment that a digit or hyphen touches (m0 ron, x-ray).
 3.  Words and word beginnings of the text and of the restored text, chosen by their
     counts in labelled documents, are the inputs of a logistic regression.
 """
@@ -38,6 +44,8 @@ COST_LETTER, COST_NOTHING, COST_ITSELF, COST_DOUBLE = 0.5, 8.0, 6.0, 0.7
 COST_PUNCTUATION, PUNCTUATION = 1.5, "!|+(#"  # two or more of these in a row
 COST_SEPARATOR_NOTHING, COST_SEPARATOR_ITSELF = 0.5, 1.0
 COST_SPACE_NOTHING, COST_SPACE_END = 0.0, 0.5  # between single characters
+COST_SPLIT, FRAGMENT = 4.0, 4  # a space inside a word, beside a fragment of at most so many letters
+LEAST_WORD = 4  # letters of a word put together, and of the longest word of a spaced-out run
 
 N_CODES, OTHER = 28, 27
 _CODES = np.full(0x250, 0, np.uint8)
@@ -53,15 +61,21 @@ def code(char: str) -> int:
     return int(_CODES[ord(char)]) if ord(char) < 0x250 else OTHER if char.isalpha() else 0
 
 
+def text_codes(text: str) -> np.ndarray:
+    """The code of each character."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    codes = _CODES[np.minimum(points, 0x24F)]
+    high = points >= 0x250
+    if high.any():
+        codes[high] = [code(chr(p)) for p in points[high]]
+    return codes
+
+
 def trigram_counts(texts: Iterable[str]) -> np.ndarray:
     """Counts of the three-code sequences of the texts; runs of non-letters are one gap."""
     total = np.zeros(N_CODES ** 3, np.int64)
     for text in texts:
-        points = np.frombuffer(("\n" + text.lower() + "\n").encode("utf-32-le"), np.uint32)
-        codes = _CODES[np.minimum(points, 0x24F)]
-        high = points >= 0x250
-        if high.any():
-            codes[high] = [code(chr(p)) for p in points[high]]
+        codes = text_codes("\n" + text.lower() + "\n")
         codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])].astype(np.int32)
         if len(codes) > 2:
             total += np.bincount((codes[:-2] * N_CODES + codes[1:-1]) * N_CODES + codes[2:], minlength=N_CODES ** 3)
@@ -101,15 +115,34 @@ _ANY = "[" + re.escape("".join({*SIGNS, *SEPARATORS})) + "]"
 REGION = re.compile(rf"(?<={_L}){_ANY}+(?={_L})|(?<!\w){_SIGN}+(?={_L})|(?<={_L}){_SIGN}+|({_L})\1\1+").finditer
 #: Three or more single characters with one separator between each.
 SPACED = re.compile(rf"(?<![^\s])(?:{_L}|{_SIGN})(?:(?:[ ._*-])(?:{_L}|{_SIGN})){{2,}}(?!\w)").sub
+#: Digits that belong to a name or number: after one or two letters, two different ones
+#: after a word, before one or two letters, between two single letters.
+DESIGNATION = re.compile(rf"(?:{_L}{{1,2}}\d+|{_L}+(?!(\d)\1*(?!\d))\d\d+|\d+{_L}{{1,2}}|{_L}\d+{_L})(?![\w$@€£*])").match
+WORD_END = re.compile(r"[.,;:!?]*(?!\S)").match
+#: Single letters between separators, as in i.e. and a-b-c.
+SINGLES = re.compile(rf"(?<!\S){_L}(?:[._*-]{_L})+(?!\w)").finditer
 _HINT = re.compile(_SIGN + "|[-_~'*]|\\.\\w").search
 _TRIPLES = [c * 3 for c in "abcdefghijklmnopqrstuvwxyz"]
-_LONE = re.compile(r"(?:^|\s)\S[ ]\S[ ]\S(?!\w)|\b\w[._*-]\w[._*-]\w\b").search
+#: Spaced-out runs by space and by other separators, each after a cheaper pattern that any such run meets.
+_LONE = [(re.compile(r" \S \S(?!\w)").search, re.compile(r"(?:^|\s)\S[ ]\S[ ]\S(?!\w)").search),
+         (re.compile(r"[._*-]\w[._*-]\w\b").search, re.compile(r"\b\w[._*-]\w[._*-]\w\b").search)]
+
+
+def designates(text: str, at: int) -> bool:
+    """Whether the digits at ``at`` belong to a designation."""
+    while at and text[at - 1].isalpha():
+        at -= 1
+    return not (at and (text[at - 1].isalnum() or text[at - 1] == "_")) and DESIGNATION(text, at) is not None
 
 
 class Decoder:
     def __init__(self, costs: list[float]):
         self.costs = costs
         self.readings = Memo(lambda key: self.read(*key), 120_000)
+        c = np.array(costs).reshape(N_CODES, N_CODES, N_CODES)
+        apart = c[:, :, 0, None, None] + c[:, 0, :, None] + c[0]
+        #: By the two letters before a space and the two after it: the space is noise.
+        self.noise = apart > c[:, :, :, None] + c + COST_SPLIT
 
     def read(self, left: str, region: str, right: str) -> str:
         """The cheapest reading of ``region`` between its plain neighbours."""
@@ -161,11 +194,29 @@ class Decoder:
     def _spaced(self, match: re.Match) -> str:
         """Between single characters each separator is noise or a word's end."""
         start, end = match.span()
-        return self.readings[match.string[max(0, start - 2):start], " ".join(match[0][::2]), match.string[end:end + 2]]
+        read = self.readings[match.string[max(0, start - 2):start], " ".join(match[0][::2]), match.string[end:end + 2]]
+        return read if max(map(len, read.split()), default=0) >= LEAST_WORD else match[0]
+
+    def rejoin(self, text: str) -> str:
+        """The text without the spaces that are noise inside a word."""
+        codes = text_codes(text)
+        gaps = np.flatnonzero(codes == 0)
+        before, after = np.diff(gaps, prepend=-1) - 1, np.diff(gaps, append=len(codes)) - 1
+        least = np.minimum(before, after)
+        near = np.flatnonzero((least > 0) & (least <= FRAGMENT) & (before + after >= LEAST_WORD))
+        codes, at = np.concatenate([[0, 0], codes, [0, 0]]), gaps[near]  # each code moves by two places
+        near = near[self.noise[codes[at], codes[at + 1], codes[at + 3], codes[at + 4]]]
+        out, start = [], 0
+        for i, a, b in zip(gaps[near].tolist(), before[near].tolist(), after[near].tolist()):
+            if text[i] == " " and (i == a or text[i - a - 1].isspace()) and WORD_END(text, i + b + 1):
+                out.append(text[start:i])
+                start = i + 1
+        return "".join((*out, text[start:])) if out else text
 
     def restore_regions(self, text: str) -> str:
         out, at, readings = [], 0, self.readings
-        found = REGION(text)
+        stay = {i for m in SINGLES(text) for i in range(*m.span())}
+        found = (m for m in REGION(text) if m.start() not in stay and not (m[0].isdigit() and designates(text, m.start())))
         m = next(found, None)
         while m is not None:
             start, end = m.span()
@@ -181,11 +232,14 @@ class Decoder:
     def restore(self, text: str) -> str:
         """The lower-cased text with its disguised regions read."""
         text = text.lower()
-        if not (_HINT(text) or any(t in text for t in _TRIPLES) or _LONE(text)):
-            return text
-        if _LONE(text):
+        lone = any(first(text) and run(text) for first, run in _LONE)
+        if lone:
             text = SPACED(self._spaced, text)
-        return self.restore_regions(text)
+        text = self.rejoin(text)
+        if not (lone or _HINT(text) or any(t in text for t in _TRIPLES)):
+            return text
+        read = self.restore_regions(text)
+        return text if read == text else self.rejoin(read)  # once more: a fragment may have held a sign
 
 
 _WORDS = re.compile(_L + "+").findall

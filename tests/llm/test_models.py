@@ -69,6 +69,51 @@ def test_decoder_restores_spaced_phrases(docs):
         assert "idiot" in decoder.restore(f"and the {said} that").split(), said
 
 
+def test_decoder_rejoins_split_words(docs):
+    decoder = toxicity.Decoder(toxicity.costs(toxicity.corpus_model(docs)))
+    for said, word in (("id iot", "idiot"), ("stu pid", "stupid"), ("mo ron", "moron"), ("lo ser", "loser"), ("!d iot", "idiot"), ("stup!d id iot", "idiot")):
+        assert word in decoder.restore(f"and the {said} that").split(), said
+    texts = [r.text.lower() for r in docs.where("text is not null").orderBy("doc_id").limit(200).collect()]
+    words, left = (sum(len(f(t).split()) for t in texts) for f in (str, decoder.rejoin))
+    assert words - left < 0.01 * words
+
+
+CLEAN = ("mp3 mp4 utf8 sha256 win32 b2b h2o x2 v2 3d 2nd 1st area51 covid19 i18n k8s co2 q2 p99 h1 5pm 16gb x-ray "
+         "a.b.c u.s.a. a-b-c e.g. i.e.").split() + ["2 x 4", "a b c", "i a m", "a man", "it is to be", ""]
+
+
+def test_decoder_leaves_designations(docs):
+    decoder = toxicity.Decoder(toxicity.costs(toxicity.corpus_model(docs)))
+    for said in CLEAN:
+        assert decoder.restore(f"the {said} of") == f"the {said} of", said
+
+
+def test_rejoin_equals_the_cheaper_path():
+    """Each space beside a short fragment against the costs of both readings of the whole text."""
+    table = toxicity.costs(np.random.default_rng(2).integers(0, 9, 28 ** 3))
+    decoder, draw = toxicity.Decoder(table), np.random.default_rng(3)
+
+    def cost(text):
+        a = b = total = 0
+        for c in text + "  ":
+            k = toxicity.code(c)
+            if k or b:
+                total += table[(a * 28 + b) * 28 + k]
+                a, b = b, k
+        return total
+
+    seen = set()
+    for _ in range(3000):
+        left, right = ("".join(draw.choice([*"abcdeéж"], draw.integers(1, 8))) for _ in range(2))
+        short = min(len(left), len(right)) <= toxicity.FRAGMENT and len(left + right) >= toxicity.LEAST_WORD
+        noise = short and cost(f"{left} {right}") > cost(left + right) + toxicity.COST_SPLIT
+        assert decoder.rejoin(f"{left} {right}") == (left + right if noise else f"{left} {right}")
+        seen.add((short, noise))
+    assert seen == {(True, True), (True, False), (False, False)}
+    for text in ("", " ", "a", "1 2", "x\ny", "  ab  "):
+        assert decoder.rejoin(text) == text
+
+
 def test_readings_equal_all_readings():
     """Viterbi against the cheapest of all readings, on a random model."""
     table = toxicity.costs(np.random.default_rng(1).integers(0, 50, 28 ** 3))
