@@ -17,7 +17,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pandas as pd
@@ -244,10 +243,19 @@ def _groups(texts: Iterable[str | None], size: int = 3_000_000) -> Iterator[list
     yield group
 
 
-@lru_cache(maxsize=2)
-def _codec(shared, pattern: str, cache: int) -> TextCodec:
-    ranks, splits = shared.value
-    return TextCodec(Vocabulary(ranks, splits), pattern, cache)
+class _Shared:
+    """The broadcast vocabulary.  A worker's codec with its caches hangs on it, so both are
+    dropped together when the worker's next task has another broadcast; kept by the module,
+    the codecs of earlier runs would stay for as long as the worker lives."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int):
+        self.ranks, self.splits = ranks, Vocabulary(ranks).splits
+        self.pattern, self.cache, self._codec = pattern, cache, None
+
+    def codec(self) -> TextCodec:
+        if self._codec is None:
+            self._codec = TextCodec(Vocabulary(self.ranks, self.splits), self.pattern, self.cache)
+        return self._codec
 
 
 def encoded(text: Column, spark, path: str | None = None, pattern: str | None = None,
@@ -261,13 +269,12 @@ def encoded(text: Column, spark, path: str | None = None, pattern: str | None =
     ties, repeated rows and other columns do not matter; an empty table gives none.
     """
     ranks = read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    shared = spark.sparkContext.broadcast((ranks, Vocabulary(ranks).splits))
-    pattern = pattern or public_tokenizers.PATTERN
+    shared = spark.sparkContext.broadcast(_Shared(ranks, pattern or public_tokenizers.PATTERN, cache))
     kind = T.StructType([T.StructField(f, FIELDS[f]) for f in fields])
 
     @vector_udf(kind)
     def run(texts: pd.Series) -> pd.DataFrame:
-        codec = _codec(shared, pattern, cache)
+        codec = shared.value.codec()
         decode, name = codec.vocabulary.decode, codec.names.__getitem__
         make = {
             "n_tokens": len,

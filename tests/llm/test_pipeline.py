@@ -86,3 +86,19 @@ def test_the_secret_pattern_runs_once(spark, odd):
     for df in (S.scan(odd), S.with_candidates(rows, "text", "c")):
         text = df._jdf.queryExecution().optimizedPlan().toString()
         assert text.count("regexp_replace(translate(text") == 1
+
+
+def test_codecs_of_earlier_runs_leave_the_workers(spark, odd):
+    """Workers outlive a run: what they hold must not grow with the number of runs."""
+    from tandem.llm.common import vector_udf
+    for _ in range(2):
+        odd.select(bpe.encoded(F.col("text"), spark, fields=("n_tokens",))).collect()
+
+    @vector_udf("int")
+    def codecs(texts):
+        import gc
+        import pandas as pd
+        gc.collect()
+        return pd.Series([sum(isinstance(x, bpe.TextCodec) for x in gc.get_objects())] * len(texts))
+
+    assert {r.n for r in odd.select(codecs("text").alias("n")).collect()} == {0}
