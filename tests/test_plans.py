@@ -112,3 +112,55 @@ def test_summary_plan_has_no_expand(spark, stored, shuffled):
     text = plan(summary.build(cat, spark, m2, reorders.build(cat, P), tickets.build(cat, P, m2)))
     rollup = text.split("SortMergeJoin")[0]  # what stands above the joins
     assert "Expand" not in rollup and "HashAggregate" in rollup
+
+
+def test_assignments_are_found_without_sorting_the_log(spark, shuffled):
+    """The latest message per courier and delivery, ties and missing times included."""
+    from tandem.sources.catalog import Catalog
+    one, two = ("0" * 8 + "-0000-0000-0000-" + f"{n:012d}" for n in (1, 2))
+    both, own = f"COLLECT:{one};COLLECT:{two}", f"COLLECT:{one}"
+    rows = [(1, "2024-01-01 10:00:00", both), (1, "2024-01-01 11:00:00", own),  # 1: last message with one job
+            (2, "2024-01-01 09:00:00", own), (2, None, f"{both}"), (2, "2024-01-01 09:00:00", own),  # no time: before all others
+            (3, None, own), (3, None, own)]
+    schema = "courierId long, t string, jobs string"
+    log = spark.createDataFrame(rows, schema).selectExpr(
+        "courierId", "cast(t as timestamp_ntz) as timestamp", "named_struct('assignedJobs', jobs) as jobChanges")
+
+    def flags(log):
+        df = staging.assignment_flags(Catalog(spark, {"assignment_log": lambda: log}))
+        assert "Sort" not in plan(df) and "Window" not in plan(df)
+        return {r.delivery_uuid: r.is_assigned_as_multi_collect for r in df.collect()}
+
+    assert flags(log) == {one: 0, two: 1}
+    tie = log.union(log.where("courierId = 1").limit(1).selectExpr(
+        "courierId", "timestamp'2024-01-01 11:00:00'::timestamp_ntz", f"named_struct('assignedJobs', '{both}')"))
+    assert flags(tie) == {one: 1, two: 1}
+
+
+def test_zone_areas_are_worked_out_per_zone(spark, stored, shuffled):
+    """No staging row carries a polygon."""
+    cat, _ = stored
+    df = staging.build(cat, P)
+    lines = [ln for ln in plan(df).splitlines() if "polygon" in ln]
+    assert lines and all("fd_" not in ln and "sys_order_id" not in ln for ln in lines)
+    areas = {r.k: r.a for r in df.selectExpr("sys_courier_delivery_zone_id as k", "zone_area_square_km as a").distinct().collect()}
+    own = spark.read.parquet(f"{SF}/nation.parquet").count()
+    assert areas and len(areas) <= own and all(a and a > 0 for a in areas.values())
+
+
+def test_adjustments_join_without_a_second_exchange(spark, cat, shuffled):
+    other = spark.range(10).withColumnRenamed("id", "sys_delivery_id")
+    text = plan(other.join(cat["global_adjustments"], "sys_delivery_id", "left"))
+    assert sum("Exchange hashpartitioning" in ln for ln in text.splitlines()) == 2
+
+
+def test_wide_stages_stay_within_compiled_methods(spark, cat):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    try:
+        for given, want in (("65535", "8000"), ("20000", "20000")):  # a limit set by the user stays
+            spark.conf.set(key, given)
+            staging.build(cat, P)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, old)
